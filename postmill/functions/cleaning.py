@@ -35,8 +35,9 @@ QUOTED_REST = (
 LAST_SIGNATURE = rf"(?s)\A(?:(.*)\n)?[{BLANK}]*(?:{'|'.join(SIGNATURE_MARKERS)}).*\z"
 
 # A link ends at its last character that is not tail punctuation. One with nothing
-# but tail punctuation after the slashes still counts, as the bare scheme.
-URL = rf"(?iu)https?://(?:[^{WS}]*[^{WS}{URL_TAIL}]|(?=[{URL_TAIL}]))"
+# but tail punctuation after the slashes still counts, as the bare scheme. The long s
+# is the one character beyond ASCII that equals a letter of the scheme but for case.
+URL = rf"(?i)http[s\x{{17f}}]?://(?:[^{WS}]*[^{WS}{URL_TAIL}]|(?=[{URL_TAIL}]))"
 
 
 def _without_quotes(lines: Column) -> Column:
@@ -87,6 +88,5 @@ def hard_cut(text: Column, limit: int = BODY_LIMIT) -> Column:
 
 def with_subject(subject: Column, text: Column) -> Column:
     """Put the subject on a line of its own before the text, if there is one."""
-    return F.when(
-        F.length(subject) > 0, F.concat(F.lit("Subject: "), subject, F.lit("\n"), text)
-    ).otherwise(text)
+    line = F.concat(F.lit("Subject: "), subject, F.lit("\n"))
+    return F.concat(F.when(F.length(subject) > 0, line).otherwise(""), text)

@@ -32,7 +32,7 @@ def html_to_text(html: Column) -> Column:
     """Text nodes joined by one space; scripts, styles and comments are left out."""
     gaps = F.regexp_replace(F.coalesce(html, F.lit("")), markup_pattern(), GAP)
     text = F.regexp_replace(F.btrim(gaps, F.lit(GAP)), f"{GAP}+", " ")
-    return F.when(F.contains(text, F.lit("&")), decode_references(text)).otherwise(text)
+    return decode_references(text)
 
 
 def decode_references(text: Column) -> Column:
@@ -45,17 +45,16 @@ def decode_references(text: Column) -> Column:
         number = F.regexp_extract(piece, r"^#0*([0-9]{1,7})(?![0-9])", 1)
         hexed = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]{1,6})(?![0-9a-fA-F])", 1)
         code = F.when(number != "", number).otherwise(F.conv(hexed, 16, 10))
-        return (
-            F.when(index == 0, piece)
-            .when(named.isNotNull(), F.concat(named, F.regexp_replace(piece, "^[^;]*;", "")))
-            .when(
-                piece.rlike(r"^#(?:[0-9]|[xX][0-9a-fA-F])"),
-                F.concat(
-                    _character(code.cast("int")),
-                    F.regexp_replace(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", ""),
-                ),
-            )
-            .otherwise(F.concat(F.lit("&"), piece))
+        numeric = F.when(
+            piece.rlike(r"^#(?:[0-9]|[xX][0-9a-fA-F])"),
+            F.concat(
+                _character(code.cast("int")),
+                F.regexp_replace(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", ""),
+            ),
+        )
+        spelled = F.concat(named, F.regexp_replace(piece, "^[^;]*;", ""))
+        return F.when(index == 0, piece).otherwise(
+            F.coalesce(spelled, numeric, F.concat(F.lit("&"), piece))
         )
 
     return F.array_join(F.transform(F.split(text, "&", -1), decoded), "")

@@ -15,7 +15,7 @@ from postmill.functions.cleaning import (
 )
 from postmill.sources.mime import body_text
 
-_VISIBLE = "__visible"
+_VISIBLE, _FLAT = "__visible", "__flat"
 
 
 def clean_emails(
@@ -31,16 +31,16 @@ def clean_emails(
     """
     subject = F.col(subject) if isinstance(subject, str) else subject
     body = F.col(body) if isinstance(body, str) else body
-    # The visible text is a column of its own because two columns are made from it.
-    staged = mails.withColumn(_VISIBLE, visible_text(body))
-    return staged.withColumns(
+    # Texts that are used more than once are columns of their own, or Spark would run
+    # the regular expressions behind them once per use.
+    staged = mails.withColumn(_VISIBLE, visible_text(body)).withColumns(
         {
-            "clean_text": with_subject(
-                subject, truncate_thread(normalize_whitespace(F.col(_VISIBLE)))
-            ),
+            _FLAT: normalize_whitespace(F.col(_VISIBLE)),
             "urls": extract_urls(F.col(_VISIBLE)),
         }
-    ).drop(_VISIBLE)
+    )
+    text = with_subject(subject, truncate_thread(F.col(_FLAT)))
+    return staged.withColumn("clean_text", text).drop(_VISIBLE, _FLAT)
 
 
 def clean_parsed(parsed: DataFrame, source: str = CORPUS_NAME) -> DataFrame:

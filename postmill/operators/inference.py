@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill.schemas import CHAT_MESSAGES, REPLY
+from postmill.session import ship_package
 
 Teacher = Callable[[DataFrame], DataFrame]
 
@@ -42,6 +43,7 @@ def model_teacher(
         raise ValueError(f"unknown error policy: {on_error}")
 
     def ask(requests: DataFrame) -> DataFrame:
+        ship_package(requests.sparkSession)
         schema = StructType([*requests.schema.fields, *REPLY.fields])
 
         def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

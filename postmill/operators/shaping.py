@@ -15,7 +15,7 @@ from postmill.fixed_values import (
     SEED,
     SEQUENCE_LIMIT,
 )
-from postmill.functions.pytext import WS, strip
+from postmill.functions.pytext import WS
 
 HASH_DIGITS = 3  # 16**3 buckets of the shuffled order
 CHUNK_BATCHES = 50  # batches that are sorted by length together
@@ -24,9 +24,7 @@ MERGE_WAYS = 256
 
 def word_tokens(text: Column) -> Column:
     """Whitespace-separated words, the counter used when no tokenizer is given."""
-    text = strip(text)
-    empty = F.array().cast("array<string>")
-    return F.when(text == "", empty).otherwise(F.split(text, f"[{WS}]+"))
+    return F.regexp_extract_all(text, F.lit(f"[^{WS}]+"), F.lit(0))
 
 
 def tokenizer_tokens(make_encoder: Callable[[], Callable[[str], list[int]]]):

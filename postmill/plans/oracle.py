@@ -12,12 +12,17 @@ from html.entities import name2codepoint
 
 from postmill import fixed_values as fixed
 from postmill.functions.html import GAP, markup_pattern
-from postmill.functions.pytext import LINE_BREAK, WS
 from postmill.functions.summary import PREFIXES
 from postmill.operators.shaping import CHUNK_BATCHES
 from postmill.plans import fixtures, queries, stub_teacher
 
 NL = "chr(10)"
+# Whitespace as a list of code points, not by category as on the Spark side.
+WS = (
+    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+LINE_BREAK = r"\r\n|[\x{0a}-\x{0d}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 
 
 def quote(text: str) -> str:

@@ -48,6 +48,7 @@ from postmill.sources.jsonl import (
 from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import body_text, parse_mails
 from postmill.sources.texts import nonblank_bodies
+from postmill.streaming.incremental import start_email_stream
 
 CAP = 500
 SKIP_EVERY = 11
@@ -311,16 +312,10 @@ def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
         .parquet(folder)
         .selectExpr("doc_id", f"{fixtures.SUBJECT} as subject", f"{fixtures.BODY} as body")
     )
-    cleaned = clean_emails(stream).select("doc_id", "clean_text", _flat(F.col("urls")))
-    query = (
-        cleaned.writeStream.format("parquet")
-        .option("path", f"{target}/out")
-        .option("checkpointLocation", f"{target}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(cleaned.schema).parquet(f"{target}/out")
+    start_email_stream(stream, "doc_id", f"{target}/out", f"{target}/state").awaitTermination()
+    written = "doc_id bigint, clean_text string, urls array<string>"
+    back = spark.read.schema(written).json(f"{target}/out")
+    return back.select("doc_id", "clean_text", _flat(F.col("urls")))
 
 
 QUERIES = {

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,27 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/postmill/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Functions that run in workers are sent by name, so the workers need the modules.
+    Spark's own file service hands the archive to every executor, also to later ones.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="postmill-")) / "postmill.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for module in sorted(package.rglob("*.py")):
+            target.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Use every core on a scan that has fewer splits than the session has cores.
 

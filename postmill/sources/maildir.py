@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.schemas import PARSED_MAIL, RAW_MAIL
-from postmill.session import shared_dir
+from postmill.session import shared_dir, ship_package
 from postmill.sources.mime import parsing
 
 LISTING = "path string, is_folder boolean"
@@ -63,6 +63,7 @@ def list_mails(spark: SparkSession, root: str) -> DataFrame:
     depth, each writing its listing to the shared folder. The paths never pass through
     the driver, and a level survives the loss of the executors that listed it.
     """
+    ship_package(spark)
     target = shared_dir(spark, "listing")
     level = spark.createDataFrame([(_local_root(root),)], "path string")
     depth = 0
@@ -116,6 +117,7 @@ def read_raw_mails(paths: DataFrame) -> DataFrame:
                     row.update(modificationTime=changed, length=len(content))
                 yield pa.RecordBatch.from_pylist([row], names)
 
+    ship_package(paths.sparkSession)
     return _spread_paths(paths).mapInArrow(read, RAW_MAIL)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.fixed_values import SAMPLE_BODY, SAMPLE_LIMIT
-from postmill.functions.pytext import strip
+from postmill.functions.pytext import WS, strip
 
 
 def read_text_bodies(spark: SparkSession, path: str) -> DataFrame:
@@ -20,7 +20,7 @@ def read_text_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 def nonblank_bodies(table: DataFrame, body: str = "body") -> DataFrame:
     """Trim the bodies and drop rows with nothing left."""
-    return table.withColumn(body, strip(F.col(body))).where(F.length(body) > 0)
+    return table.where(F.col(body).rlike(f"[^{WS}]")).withColumn(body, strip(F.col(body)))
 
 
 def sample_messages(

@@ -1,16 +1,36 @@
-"""Incremental runs of the cleaner over a folder that new mails arrive in."""
+"""Incremental runs of the cleaner over mails that keep arriving.
+
+The cleaner keeps no state, so a micro-batch is cleaned like a table. Each micro-batch
+overwrites the folder of its own number: one that is run again after a failure leaves
+its rows once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from postmill.operators.cleaning import clean_parsed, quarantined
+from postmill.operators.cleaning import clean_emails, clean_parsed, quarantined
 from postmill.schemas import RAW_MAIL
+from postmill.session import spread
 from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import parse_mails
 
 
+def _start(stream: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def _save(table: DataFrame, output: str, number: int) -> None:
+    target = f"{output}/batch={number}"
+    table.write.mode("overwrite").option("ignoreNullFields", "false").json(target)
+
+
 def stream_raw_mails(spark: SparkSession, folder: str, max_files: int = 100_000) -> DataFrame:
     """New mail files as a stream. Names hidden from Spark's file sources are not seen."""
     stream = (
@@ -23,27 +43,29 @@ def stream_raw_mails(spark: SparkSession, folder: str, max_files: int = 100_000)
     return stream.where(is_mail_name(stream["path"]))
 
 
-def start_clean_stream(
+def start_mail_stream(
     raw: DataFrame, output: str, checkpoint: str, **trigger: str | bool
 ) -> StreamingQuery:
-    """Parse and clean arriving mails into ``output/clean`` and ``output/quarantine``.
-
-    The cleaner keeps no state. Each micro-batch overwrites the folder of its own
-    number, so a batch that is run again after a failure leaves its rows once.
-    """
+    """Parse and clean raw mails into ``output/clean``, failures into ``output/quarantine``."""
 
     def write(batch: DataFrame, number: int) -> None:
+        # Both outputs read the parsed mails; lost blocks are parsed again.
         parsed = parse_mails(batch).persist()
         try:
-            for name, table in (("clean", clean_parsed(parsed)), ("quarantine", quarantined(parsed))):
-                target = f"{output}/{name}/batch={number}"
-                table.write.mode("overwrite").option("ignoreNullFields", "false").json(target)
+            _save(clean_parsed(parsed), f"{output}/clean", number)
+            _save(quarantined(parsed), f"{output}/quarantine", number)
         finally:
             parsed.unpersist()
 
-    return (
-        raw.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return _start(raw, write, checkpoint, trigger)
+
+
+def start_email_stream(
+    emails: DataFrame, key: str, output: str, checkpoint: str, **trigger: str | bool
+) -> StreamingQuery:
+    """Clean mails that come as rows with ``subject`` and ``body`` into ``output``."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        _save(clean_emails(spread(batch, key)), output, number)
+
+    return _start(emails, write, checkpoint, trigger)
