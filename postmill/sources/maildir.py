@@ -138,8 +138,8 @@ def read_mails(spark: SparkSession, root: str) -> DataFrame:
 def read_binary_mails(spark: SparkSession, *folders: str) -> DataFrame:
     """Raw mails from any Hadoop file system, through Spark's binary file source.
 
-    Unlike ``read_mails`` it cannot see names that start with ``_``, nor folders that
-    start with ``_`` or ``.`` unless they are named in ``folders``.
+    Unlike ``read_mails`` it cannot see empty files and names that start with ``_``, nor
+    folders that start with ``_`` or ``.`` unless they are named in ``folders``.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
     return raw.where(is_mail_name(F.col("path")))

@@ -12,8 +12,7 @@ from postmill.functions.pytext import WS, strip
 def read_text_bodies(spark: SparkSession, path: str) -> DataFrame:
     """Each file as one body, with its path."""
     return (
-        spark.read.option("wholetext", "true")
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
     )
 

@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 from postmill.functions.summary import (
     PREFIXES,
     coerce_summary,
@@ -13,34 +11,34 @@ GOOD = "\n".join(f"{p} x" for p in PREFIXES)
 BARE = "\n".join(PREFIXES)
 
 
-@pytest.mark.parametrize(
-    ("text", "strict", "lenient"),
-    [
-        (GOOD, True, True),
-        (f"\n  {GOOD}\n\n", True, True),
-        (GOOD.replace("\n", "\n \t\n\n"), True, True),
-        (GOOD.replace("\n", "\r\n"), True, True),
-        (GOOD.replace("\n", "\u2028"), True, True),
-        (BARE, True, False),
-        (GOOD.lower(), False, True),
-        (GOOD.replace("\n2)", "\n 2)"), False, True),
-        (GOOD.replace("1) P", "7)P"), False, True),
-        (GOOD.replace("1) ", "\u0663)\u00a0"), False, True),
-        (GOOD.replace("1) ", "10) "), False, False),
-        (GOOD + "\nextra", False, False),
-        (GOOD.replace("3) Action needed: x\n", ""), False, False),
-        ("\n".join(reversed(GOOD.split("\n"))), False, True),
-        ("\n".join([GOOD.split("\n")[0]] * 5), False, True),
-        (GOOD.replace("Purpose: x", "Purpose:\u00a0"), True, False),
-        (GOOD.replace("Purpose: x", "Purpose:"), True, False),
-        (GOOD.replace("Key", "\u212aey"), False, True),
-        ("", False, False),
-        (" \n ", False, False),
-    ],
-)
-def test_validators(apply, text, strict, lenient):
-    assert apply(is_strict_summary, [text]) == [strict]
-    assert apply(is_lenient_summary, [text]) == [lenient]
+DRAFTS = [
+    (GOOD, True, True),
+    (f"\n  {GOOD}\n\n", True, True),
+    (GOOD.replace("\n", "\n \t\n\n"), True, True),
+    (GOOD.replace("\n", "\r\n"), True, True),
+    (GOOD.replace("\n", "\u2028"), True, True),
+    (BARE, True, False),
+    (GOOD.lower(), False, True),
+    (GOOD.replace("\n2)", "\n 2)"), False, True),
+    (GOOD.replace("1) P", "7)P"), False, True),
+    (GOOD.replace("1) ", "\u0663)\u00a0"), False, True),
+    (GOOD.replace("1) ", "10) "), False, False),
+    (GOOD + "\nextra", False, False),
+    (GOOD.replace("3) Action needed: x\n", ""), False, False),
+    ("\n".join(reversed(GOOD.split("\n"))), False, True),
+    ("\n".join([GOOD.split("\n")[0]] * 5), False, True),
+    (GOOD.replace("Purpose: x", "Purpose:\u00a0"), True, False),
+    (GOOD.replace("Purpose: x", "Purpose:"), True, False),
+    (GOOD.replace("Key", "\u212aey"), False, True),
+    ("", False, False),
+    (" \n ", False, False),
+]
+
+
+def test_validators(apply):
+    texts, strict, lenient = zip(*DRAFTS, strict=True)
+    assert apply(is_strict_summary, texts) == list(strict)
+    assert apply(is_lenient_summary, texts) == list(lenient)
 
 
 def test_coerce(apply):

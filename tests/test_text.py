@@ -3,8 +3,6 @@
 import random
 import sys
 
-import pytest
-
 from postmill.functions import cleaning, pytext
 
 ODD = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000\u200b\u180e\ufeff"
@@ -36,73 +34,73 @@ def test_split_lines(apply):
     assert apply(pytext.split_lines, texts) == [t.splitlines() for t in texts]
 
 
-@pytest.mark.parametrize(
-    ("text", "kept"),
-    [
-        ("hello\nOn Mon, Bob wrote:\n> x", "hello"),
-        ("hello\n  on mon WROTE: \t\nx", "hello"),
-        ("hello\nOn Monday we wrote: a lot", "hello\nOn Monday we wrote: a lot"),
-        ("On wrote:\nx", ""),
-        ("a\nFrom: x@y\nb", "a"),
-        ("a\nFrom:\nb", "a\nFrom:\nb"),
-        ("a\nFrom:   \nb", "a\nFrom:   \nb"),
-        ("a\n\u3000SENT:\u00a0now\nb", "a"),
-        ("a\n\u017fubject: long s\nb", "a"),
-        ("Subject: x\nbody", ""),
-        ("a\nSubject:x\nb", "a\nSubject:x\nb"),
-        ("a\n original message \nb", "a"),
-        ("a\n-----Original Message-----\nb", "a\n-----Original Message-----\nb"),
-        ("a\r\nb\x0bFrom: x\x0cc", "a\nb"),
-        ("a\x85From: x", "a"),
-        ("a\nxFrom: y", "a\nxFrom: y"),
-        ("  a\r\nb  ", "a\nb"),
-        ("", ""),
-    ],
-)
-def test_quoted_history(apply, text, kept):
-    assert apply(cleaning.strip_quoted_history, [text]) == [kept]
-
-
-@pytest.mark.parametrize(
-    ("text", "kept"),
-    [
-        ("hello\nThanks,\nAnn", "hello"),
-        ("hello\n--\nAnn\nBest\nx", "hello\n--\nAnn"),
-        ("Thanks for the note\nbody", ""),
-        ("hello\nthanks", "hello\nthanks"),
-        ("hello\n\t Bestseller list\nx", "hello"),
-        ("hello\r\nSincerely", "hello"),
-        ("a\u2028Regards", "a"),
-        ("no marker\n here ", "no marker\n here"),
-        ("in line Thanks", "in line Thanks"),
-        ("a\n\n-- \nb", "a"),
-        ("", ""),
-        (" \n ", ""),
-    ],
-)
-def test_signature(apply, text, kept):
-    assert apply(cleaning.remove_signature, [text]) == [kept]
-
-
-@pytest.mark.parametrize(
-    ("text", "urls"),
-    [
-        ("see http://a.com/x), and HTTPS://B.org. http://a.com/x ok",
-         ["HTTPS://B.org", "http://a.com/x"]),
-        ("http://", []),
-        ("http:// x", []),
-        ("http://. x", ["http://"]),
-        ("none", []),
-        ("(http://q.com/a_(b)).", ["http://q.com/a_(b"]),
-        ("http://x.y\u00a0z", ["http://x.y"]),
-        ("http://a.,)b", ["http://a.,)b"]),
-        ("http://.http://x", ["http://.http://x"]),
-        ("http\u017f://a http\u1e9e://b", ["http\u017f://a"]),
-        ("xhttp://a.b\x1fhttps://c", ["http://a.b", "https://c"]),
-    ],
-)
-def test_urls(apply, text, urls):
-    assert apply(cleaning.extract_urls, [text]) == [urls]
+QUOTED_HISTORY = [
+    ("hello\nOn Mon, Bob wrote:\n> x", "hello"),
+    ("hello\n  on mon WROTE: \t\nx", "hello"),
+    ("hello\nOn Monday we wrote: a lot", "hello\nOn Monday we wrote: a lot"),
+    ("On wrote:\nx", ""),
+    ("a\nFrom: x@y\nb", "a"),
+    ("a\nFrom:\nb", "a\nFrom:\nb"),
+    ("a\nFrom:   \nb", "a\nFrom:   \nb"),
+    ("a\n\u3000SENT:\u00a0now\nb", "a"),
+    ("a\n\u017fubject: long s\nb", "a"),
+    ("Subject: x\nbody", ""),
+    ("a\nSubject:x\nb", "a\nSubject:x\nb"),
+    ("a\n original message \nb", "a"),
+    ("a\n-----Original Message-----\nb", "a\n-----Original Message-----\nb"),
+    ("a\r\nb\x0bFrom: x\x0cc", "a\nb"),
+    ("a\x85From: x", "a"),
+    ("a\nxFrom: y", "a\nxFrom: y"),
+    ("  a\r\nb  ", "a\nb"),
+    ("", ""),
+]
+
+
+def test_quoted_history(apply):
+    texts, expected = zip(*QUOTED_HISTORY, strict=True)
+    assert apply(cleaning.strip_quoted_history, texts) == list(expected)
+
+
+SIGNATURE = [
+    ("hello\nThanks,\nAnn", "hello"),
+    ("hello\n--\nAnn\nBest\nx", "hello\n--\nAnn"),
+    ("Thanks for the note\nbody", ""),
+    ("hello\nthanks", "hello\nthanks"),
+    ("hello\n\t Bestseller list\nx", "hello"),
+    ("hello\r\nSincerely", "hello"),
+    ("a\u2028Regards", "a"),
+    ("no marker\n here ", "no marker\n here"),
+    ("in line Thanks", "in line Thanks"),
+    ("a\n\n-- \nb", "a"),
+    ("", ""),
+    (" \n ", ""),
+]
+
+
+def test_signature(apply):
+    texts, expected = zip(*SIGNATURE, strict=True)
+    assert apply(cleaning.remove_signature, texts) == list(expected)
+
+
+URLS = [
+    ("see http://a.com/x), and HTTPS://B.org. http://a.com/x ok",
+     ["HTTPS://B.org", "http://a.com/x"]),
+    ("http://", []),
+    ("http:// x", []),
+    ("http://. x", ["http://"]),
+    ("none", []),
+    ("(http://q.com/a_(b)).", ["http://q.com/a_(b"]),
+    ("http://x.y\u00a0z", ["http://x.y"]),
+    ("http://a.,)b", ["http://a.,)b"]),
+    ("http://.http://x", ["http://.http://x"]),
+    ("http\u017f://a http\u1e9e://b", ["http\u017f://a"]),
+    ("xhttp://a.b\x1fhttps://c", ["http://a.b", "https://c"]),
+]
+
+
+def test_urls(apply):
+    texts, expected = zip(*URLS, strict=True)
+    assert apply(cleaning.extract_urls, texts) == list(expected)
 
 
 def test_truncate(apply):
