@@ -25,14 +25,17 @@ from postmill.functions.pytext import BLANK, WS, collapse_whitespace, strip, uni
 # From the first line that looks like a quote header to the end of the text. A header
 # label counts only with something after it, since the line is compared trimmed.
 QUOTED_REST = (
-    f"^[{BLANK}]*(?:"
-    f"{QUOTE_INTRO_START}.*{QUOTE_INTRO_END}[{BLANK}]*$"
-    f"|(?:{'|'.join(QUOTE_HEADER_LABELS)}):[{BLANK}]+[^{WS}]"
-    f"|{QUOTE_TITLE}[{BLANK}]*$"
+    f"(?m)^[{BLANK}]*(?:"
+    f"(?iu:{QUOTE_INTRO_START}).*(?iu:{QUOTE_INTRO_END})[{BLANK}]*$"
+    f"|(?iu:{'|'.join(QUOTE_HEADER_LABELS)}):[{BLANK}]+[^{WS}]"
+    f"|(?iu:{QUOTE_TITLE})[{BLANK}]*$"
     ")(?s:.*)"
 )
 # The greedy group runs up to the last line that begins with a marker.
-LAST_SIGNATURE = rf"(?s)\A(?:(.*)\n)?[{BLANK}]*(?:{'|'.join(SIGNATURE_MARKERS)}).*\z"
+LAST_SIGNATURE = rf"(?sm)\A(.*)^[{BLANK}]*(?:{'|'.join(SIGNATURE_MARKERS)}).*\z"
+
+# Line breaks that the matcher's ``^`` and ``$`` do not know.
+SILENT_BREAK = r"[\x0b\f\x1c\x1d\x1e]"
 
 # A link ends at its last character that is not tail punctuation. One with nothing
 # but tail punctuation after the slashes still counts, as the bare scheme. The long s
@@ -41,7 +44,7 @@ URL = rf"(?i)http[s\x{{17f}}]?://(?:[^{WS}]*[^{WS}{URL_TAIL}]|(?=[{URL_TAIL}]))"
 
 
 def _without_quotes(lines: Column) -> Column:
-    return F.regexp_replace(lines, "(?dmiu)" + QUOTED_REST, "")
+    return F.regexp_replace(lines, QUOTED_REST, "")
 
 
 def _without_signature(lines: Column) -> Column:
@@ -61,10 +64,12 @@ def remove_signature(text: Column) -> Column:
 def visible_text(body: Column) -> Column:
     """Body without quoted history and signature; a missing body is empty.
 
-    The same as ``remove_signature(strip_quoted_history(body))``, but line breaks
-    are unified only once.
+    Up to whitespace this is ``remove_signature(strip_quoted_history(body))``. Trimming
+    and unifying of line breaks are left out for the steps that follow: they treat all
+    whitespace alike, and each of the two is another pass over the text.
     """
-    return strip(_without_signature(strip_quoted_history(F.coalesce(body, F.lit("")))))
+    lines = F.regexp_replace(F.coalesce(body, F.lit("")), SILENT_BREAK, "\n")
+    return _without_signature(_without_quotes(lines))
 
 
 def normalize_whitespace(text: Column) -> Column:

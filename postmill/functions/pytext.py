@@ -15,8 +15,7 @@ WS = r"\p{Z}\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85"
 # Those that end a line, and the others.
 ENDS = r"\n\x0b\f\r\x1c\x1d\x1e\x85\x{2028}\x{2029}"
 BLANK = r"\p{Zs}\t\x1f"
-# Line breaks other than a plain newline (a whole pattern, not a class).
-OTHER_BREAK = r"[\x0b\f\x1c\x1d\x1e\x85\r\x{2028}\x{2029}](?:(?<=\r)\n)?"
+LINE_BREAK = r"[\v\x1c\x1d\x1e](?:(?<=\r)\n)?"  # Java only
 
 WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
@@ -27,7 +26,7 @@ def strip(text: Column) -> Column:
 
 def unify_lines(text: Column) -> Column:
     """Turn every line break into ``\\n``."""
-    return F.regexp_replace(text, OTHER_BREAK, "\n")
+    return F.regexp_replace(text, LINE_BREAK, "\n")
 
 
 def split_lines(text: Column) -> Column:

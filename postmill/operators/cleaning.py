@@ -13,6 +13,7 @@ from postmill.functions.cleaning import (
     visible_text,
     with_subject,
 )
+from postmill.schemas import CLEAN_EMAIL
 from postmill.sources.mime import body_text
 
 _VISIBLE, _FLAT = "__visible", "__flat"
@@ -43,17 +44,23 @@ def clean_emails(
     return staged.withColumn("clean_text", text).drop(_VISIBLE, _FLAT)
 
 
-def clean_parsed(parsed: DataFrame, source: str = CORPUS_NAME) -> DataFrame:
-    """Clean-mail records of the parsed mails that did not fail."""
-    good = parsed.where(F.col("error").isNull()).select(
+def clean_records(parsed: DataFrame, source: str = CORPUS_NAME) -> DataFrame:
+    """Clean-mail records of all parsed mails, with ``error`` for those that failed."""
+    bodies = parsed.select(
         F.lit(source).alias("source"),
         "path",
         F.coalesce("subject", F.lit("")).alias("subject"),
         body_text(F.col("body_kind"), F.col("body")).alias("body"),
+        "error",
     )
-    return clean_emails(good).select("source", "path", "subject", "clean_text", "urls")
+    return clean_emails(bodies).select(*CLEAN_EMAIL.names, "error")
 
 
-def quarantined(parsed: DataFrame) -> DataFrame:
+def accepted(records: DataFrame) -> DataFrame:
+    """The records of the mails that did not fail."""
+    return records.where(F.col("error").isNull()).drop("error")
+
+
+def quarantined(records: DataFrame) -> DataFrame:
     """Path and reason of the mails that failed."""
-    return parsed.where(F.col("error").isNotNull()).select("path", "error")
+    return records.where(F.col("error").isNotNull()).select("path", "error")

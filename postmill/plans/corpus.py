@@ -9,7 +9,7 @@ from postmill.fixed_values import CORPUS_NAME, CHAT_TEACHER_BUDGET
 from postmill.functions.chat import CHATML, ChatTemplate, render_chat
 from postmill.functions.cleaning import hard_cut
 from postmill.functions.prompts import chat_teacher_messages, summary_messages
-from postmill.operators.cleaning import clean_parsed, quarantined
+from postmill.operators.cleaning import accepted, clean_records, quarantined
 from postmill.operators.inference import Teacher, chat_requests
 from postmill.operators.labelling import (
     LENIENT_TEACHER,
@@ -28,14 +28,15 @@ def clean_corpus(
 ) -> DataFrame:
     """Mail folder to clean-mail JSON Lines; returns the failures, path and reason.
 
-    Parsed mails are written once to the shared folder: both the clean records and the
-    failures are read from there, and no mail is opened twice.
+    The records are written once to the shared folder, already cleaned and cut to
+    length: output and failures are both read from there, no mail is opened twice, and
+    whole bodies are never stored.
     """
-    parsed_path = shared_dir(spark, "parsed")
-    read_mails(spark, mail_root).write.parquet(parsed_path)
-    parsed = spark.read.parquet(parsed_path)
-    write_clean_emails(clean_parsed(parsed, source), output)
-    return quarantined(parsed)
+    staged = shared_dir(spark, "records")
+    clean_records(read_mails(spark, mail_root), source).write.parquet(staged)
+    records = spark.read.parquet(staged)
+    write_clean_emails(accepted(records), output)
+    return quarantined(records)
 
 
 def strict_requests(clean: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from postmill.functions.prompts import (
     task_error,
 )
 from postmill.functions.summary import coerce_summary, is_lenient_summary, is_strict_summary
-from postmill.operators.cleaning import clean_emails, clean_parsed, quarantined
+from postmill.operators.cleaning import accepted, clean_emails, clean_records, quarantined
 from postmill.operators.inference import chat_requests, model_teacher
 from postmill.operators.labelling import (
     LENIENT_TEACHER,
@@ -110,7 +110,7 @@ def _scanned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mail_scan(spark: SparkSession, folder: str) -> DataFrame:
-    records = clean_parsed(_scanned(spark, folder))
+    records = accepted(clean_records(_scanned(spark, folder)))
     return records.select("source", "path", "subject", "clean_text", _flat(F.col("urls")))
 
 
@@ -307,9 +307,9 @@ def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
     target = shared_dir(spark, "stream")
     schema = fixtures.table(spark, folder, "documents").select("doc_id", "text").schema
     stream = (
+        # A pattern, because a stream's plain path must be a folder and the table may be a file.
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(folder)
+        .parquet(f"{folder}/documents[.]parquet")
         .selectExpr("doc_id", f"{fixtures.SUBJECT} as subject", f"{fixtures.BODY} as body")
     )
     start_email_stream(stream, "doc_id", f"{target}/out", f"{target}/state").awaitTermination()

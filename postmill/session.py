@@ -9,13 +9,12 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the jobs are tuned for. Mail rows are wide, so Arrow batches are kept short:
-# a batch is what one Python worker holds in memory at a time.
+# Settings the jobs rely on. Speculation would ask a model twice for the same mails.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.speculation": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill.schemas import CHAT_EXAMPLE, CLEAN_EMAIL
@@ -10,9 +11,12 @@ from postmill.schemas import CHAT_EXAMPLE, CLEAN_EMAIL
 CORRUPT = "_corrupt_record"
 
 
-def _write(table: DataFrame, path: str) -> None:
-    # All keys are kept, also those of null fields.
-    table.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def _write(table: DataFrame, path: str) -> int:
+    """Write with all keys, also those of null fields; the rows are counted on the way."""
+    written = Observation("written")
+    counted = table.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return written.get["rows"]
 
 
 def _read(spark: SparkSession, path: str, schema: StructType, strict: bool) -> DataFrame:
@@ -25,8 +29,9 @@ def _read(spark: SparkSession, path: str, schema: StructType, strict: bool) -> D
     )
 
 
-def write_clean_emails(table: DataFrame, path: str) -> None:
-    _write(table.select(*CLEAN_EMAIL.names), path)
+def write_clean_emails(table: DataFrame, path: str) -> int:
+    """Overwrite ``path`` with clean mails; returns how many."""
+    return _write(table.select(*CLEAN_EMAIL.names), path)
 
 
 def read_clean_emails(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
@@ -38,8 +43,9 @@ def read_clean_emails(spark: SparkSession, path: str, *, strict: bool = True) ->
     return _read(spark, path, CLEAN_EMAIL, strict)
 
 
-def write_chat_examples(table: DataFrame, path: str) -> None:
-    _write(table.select(*CHAT_EXAMPLE.names), path)
+def write_chat_examples(table: DataFrame, path: str) -> int:
+    """Overwrite ``path`` with chat examples; returns how many were kept."""
+    return _write(table.select(*CHAT_EXAMPLE.names), path)
 
 
 def read_chat_examples(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:

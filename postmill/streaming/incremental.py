@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from postmill.operators.cleaning import clean_emails, clean_parsed, quarantined
+from postmill.operators.cleaning import accepted, clean_emails, clean_records, quarantined
 from postmill.schemas import RAW_MAIL
 from postmill.session import spread
 from postmill.sources.maildir import is_mail_name
@@ -49,13 +49,13 @@ def start_mail_stream(
     """Parse and clean raw mails into ``output/clean``, failures into ``output/quarantine``."""
 
     def write(batch: DataFrame, number: int) -> None:
-        # Both outputs read the parsed mails; lost blocks are parsed again.
-        parsed = parse_mails(batch).persist()
+        # Both outputs read the cleaned records; blocks that get lost are made again.
+        records = clean_records(parse_mails(batch)).persist()
         try:
-            _save(clean_parsed(parsed), f"{output}/clean", number)
-            _save(quarantined(parsed), f"{output}/quarantine", number)
+            _save(accepted(records), f"{output}/clean", number)
+            _save(quarantined(records), f"{output}/quarantine", number)
         finally:
-            parsed.unpersist()
+            records.unpersist()
 
     return _start(raw, write, checkpoint, trigger)
 

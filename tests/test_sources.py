@@ -6,7 +6,7 @@ from email.message import EmailMessage
 import pytest
 from pyspark.sql import functions as F
 
-from postmill.operators.cleaning import clean_parsed, quarantined
+from postmill.operators.cleaning import accepted, clean_records, quarantined
 from postmill.plans.corpus import clean_corpus, label_corpus, training_text
 from postmill.sources.jsonl import (
     read_chat_examples,
@@ -162,10 +162,10 @@ def test_stream_equals_batch(spark, maildir, tmp_path):
     folders = stream_raw_mails(spark, f"{maildir}/bob", max_files=2)
     start_mail_stream(folders, output, state).awaitTermination()
     batch = parse_mails(read_binary_mails(spark, f"{maildir}/bob"))
-    columns = ["source", "path", "subject", "clean_text", "urls"]
-    schema = clean_parsed(batch).schema
+    expected = accepted(clean_records(batch))
+    columns, schema = expected.columns, expected.schema
     streamed = spark.read.schema(schema).json(f"{output}/clean")
-    assert sorted(streamed.select(columns).collect()) == sorted(clean_parsed(batch).collect())
+    assert sorted(streamed.select(columns).collect()) == sorted(expected.collect())
     failed = spark.read.schema("path string, error string").json(f"{output}/quarantine")
     assert sorted(failed.select("path", "error").collect()) == sorted(quarantined(batch).collect())
     # A second run with the same state finds nothing new.
@@ -186,8 +186,8 @@ def test_clean_jsonl(spark, tmp_path):
         ("a", "p2", None, "", []),
     ]
     table = spark.createDataFrame(rows, "source string, path string, subject string, clean_text string, urls array<string>")
-    write_clean_emails(table, path)
-    write_clean_emails(table, path)
+    write_clean_emails(table.limit(1), path)
+    assert write_clean_emails(table, path) == 2
     lines = [r.value for r in spark.read.option("lineSep", "\n").text(path).collect()]
     assert any("é\U0001f600" in line for line in lines)
     assert all(set(json.loads(line)) == set(table.columns) for line in lines)
@@ -207,7 +207,7 @@ def test_chat_jsonl(spark, tmp_path):
     path = str(tmp_path / "chat")
     schema = "id int, messages array<struct<role:string,content:string>>"
     table = spark.createDataFrame([(1, [("user", "a\nb"), ("assistant", "c")])], schema)
-    write_chat_examples(table, path)
+    assert write_chat_examples(table, path) == 1
     assert read_chat_examples(spark, path).first().messages == table.first().messages
 
 

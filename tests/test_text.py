@@ -121,8 +121,23 @@ def test_truncate(apply):
 def test_long_runs_stay_linear(apply):
     """Runs of blanks, breaks and slashes as long as a book must not take quadratic time."""
     texts = [" " * 300_000 + "x", "\n" * 300_000 + "x", "a" + " \n" * 200_000 + "b", "On " * 100_000]
-    assert apply(cleaning.visible_text, texts) == ["x", "x", apply(cleaning.visible_text, [texts[2]])[0], texts[3].strip()]
-    assert apply(cleaning.normalize_whitespace, texts[:3]) == ["x", "x", "a b"]
+    expected = ["x", "x", "a b", texts[3].strip()]
+    cleaned = lambda x: cleaning.normalize_whitespace(cleaning.visible_text(x))
+    assert apply(cleaned, texts) == expected
+    assert apply(cleaning.remove_signature, texts)[:2] == ["x", "x"]
+    assert apply(cleaning.strip_quoted_history, texts)[:2] == ["x", "x"]
+
+
+def test_visible_text_is_the_two_cuts(apply):
+    """On texts put together from markers and all kinds of breaks and blanks."""
+    pieces = [
+        "On x", "wrote:", "From:", "sent: ", "Subject:\u00a0", "Original Message", "--", "Thanks",
+        "Best", "a", "b c", " ", "\t", "\u2003", "\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c",
+        "\x1e", "\x1f", "\x85", "\u2028", "\u2029", "\n\n",
+    ]
+    texts = random_texts(3000, pieces)
+    both = apply(lambda x: cleaning.remove_signature(cleaning.strip_quoted_history(x)), texts)
+    assert [t.split() for t in apply(cleaning.visible_text, texts)] == [t.split() for t in both]
 
 
 def test_clean_emails(spark):
