@@ -16,6 +16,7 @@ from postmill.fixed_values import (
     SEQUENCE_LIMIT,
 )
 from postmill.functions.pytext import WS
+from postmill.session import shared_dir
 
 HASH_DIGITS = 3  # 16**3 buckets of the shuffled order
 CHUNK_BATCHES = 50  # batches that are sorted by length together
@@ -72,13 +73,19 @@ def length_batches(
     into chunks of at most 50 batches, and each chunk is sorted by length, longest first. The
     order is global but no task sees all of it: a position is the number of rows in the
     lower hash buckets plus the rank inside the bucket. Ids must be unique; the hash
-    then fills all buckets evenly whatever the data. Only id, length and hash move.
+    then fills all buckets evenly whatever the data.
+
+    Id, length and hash are first written to the shared folder, since they are read
+    twice, for the counts and for the ranks, and the texts behind them should be read once.
     """
-    hashed = examples.select(
+    narrow = examples.select(
         F.col(id_column).alias("id"),
         F.col(length).cast("bigint").alias("length"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string"))).alias("hash"),
     ).withColumn("bucket", F.substring("hash", 1, HASH_DIGITS))
+    path = shared_dir(examples.sparkSession, "lengths")
+    narrow.write.parquet(path)
+    hashed = examples.sparkSession.read.schema(narrow.schema).parquet(path)
     # At most 16**HASH_DIGITS rows, however large the input: one task sums them, all read them.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
