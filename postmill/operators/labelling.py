@@ -36,16 +36,12 @@ LENIENT_TEACHER = LabelPolicy("lenient", "drop", "chat", strip_reply=True)
 SERVING = LabelPolicy("strict", "coerce", "serving", strip_reply=True)
 
 
-def _attempt(requests: DataFrame, teacher: Teacher, policy: LabelPolicy, path: str) -> DataFrame:
-    """Ask the teacher and write the replies before anything branches on them.
-
-    Without the written table each branch below would call the model again. It also is
-    what a rerun resumes from: only ids that it lacks are asked.
-    """
-    spark = requests.sparkSession
+def _ask(requests: DataFrame, teacher: Teacher, policy: LabelPolicy, path: str) -> StructType:
+    """Ask the teacher for what the attempt table lacks and append the judged replies."""
     try:
         ids = StructType([requests.schema["id"]])
-        requests = requests.join(spark.read.schema(ids).parquet(path), "id", "left_anti")
+        done = requests.sparkSession.read.schema(ids).parquet(path)
+        requests = requests.join(done, "id", "left_anti")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -55,7 +51,23 @@ def _attempt(requests: DataFrame, teacher: Teacher, policy: LabelPolicy, path: s
     valid = F.col("free_form") | policy.is_valid(F.col("reply"))
     judged = replied.withColumn("valid", F.col("error").isNull() & valid)
     judged.write.mode("append").parquet(path)
-    return spark.read.schema(judged.schema).parquet(path)
+    return judged.schema
+
+
+def _attempt(
+    requests: DataFrame, teacher: Teacher, policy: LabelPolicy, path: str, slices: int
+) -> DataFrame:
+    """Write the replies before anything branches on them.
+
+    Without the written table each later branch would call the model again. The table
+    is also what a rerun resumes from.
+    """
+    for number in range(slices):
+        part = requests
+        if slices > 1:
+            part = requests.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == number)
+        schema = _ask(part, teacher, policy, path)
+    return requests.sparkSession.read.schema(schema).parquet(path)
 
 
 def label_requests(
@@ -63,23 +75,27 @@ def label_requests(
     teacher: Teacher,
     policy: LabelPolicy,
     run_dir: str | None = None,
+    slices: int = 1,
 ) -> DataFrame:
     """One row per request: ``id, messages, label, status, attempts, error``.
 
     ``status`` is ``accepted``, ``coerced``, ``dropped`` or ``failed`` (the call itself);
     only the first two have a label. Nothing is joined in a first run: the attempt table
-    carries the prompt along, so the retry is a filter. Pass a ``run_dir`` in shared
-    storage to resume a run that was stopped.
+    carries the prompt along, so the retry is a filter.
+
+    Pass a ``run_dir`` in shared storage to resume a run that was stopped. A task's replies
+    are kept when its job ends, so split a run of days into ``slices``: each is a job of its
+    own over a hash slice of the ids, and a crash costs at most one of them.
     """
     run_dir = run_dir or shared_dir(requests.sparkSession, "labels")
-    first = _attempt(requests, teacher, policy, f"{run_dir}/attempt=1")
+    first = _attempt(requests, teacher, policy, f"{run_dir}/attempt=1", slices)
     pending = first.where(~F.col("valid") & F.col("error").isNull()).select(
         "id",
         correction(F.col("messages"), F.col("reply"), policy.correction).alias("messages"),
         "max_new_tokens",
         "free_form",
     )
-    second = _attempt(pending, teacher, policy, f"{run_dir}/attempt=2")
+    second = _attempt(pending, teacher, policy, f"{run_dir}/attempt=2", slices)
 
     # A retry's request ends in the correction turns; the label goes with the first prompt.
     added = 2 if policy.correction == "chat" else 1

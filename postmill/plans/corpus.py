@@ -60,12 +60,13 @@ def label_corpus(
     lenient: bool = False,
     limit: int = 0,
     run_dir: str | None = None,
+    slices: int = 1,
 ) -> DataFrame:
     """Clean mails to chat examples in JSON Lines; returns the label table."""
     clean = cap_items(read_clean_emails(spark, clean_path), limit, "path")
     requests = lenient_requests(clean) if lenient else strict_requests(clean)
     policy = LENIENT_TEACHER if lenient else STRICT_TEACHER
-    labels = label_requests(requests, teacher, policy, run_dir)
+    labels = label_requests(requests, teacher, policy, run_dir, slices)
     write_chat_examples(chat_examples(labels), output)
     return labels
 

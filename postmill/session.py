@@ -29,6 +29,9 @@ def build_session(app: str = "postmill", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the folder that ``spark.checkpoint.dir`` names.
 
@@ -39,8 +42,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="postmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _local_dirs:
+            _local_dirs[application] = tempfile.mkdtemp(prefix="postmill-")
+        base = _local_dirs[application]
     return f"{base.rstrip('/')}/postmill/{name}-{uuid.uuid4().hex}"
 
 

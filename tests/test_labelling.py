@@ -123,6 +123,34 @@ def test_rerun_resumes(spark, log, tmp_path):
     assert grown.count() == 4 and len(calls(log)) == before + 1
 
 
+def test_slices_give_the_same_labels(spark, log):
+    bodies = ["first", "second", "never"] * 7
+    teacher = model_teacher(lambda: Scripted(log))
+    whole = label_requests(requests(spark, bodies), teacher, STRICT_TEACHER).collect()
+    before = len(calls(log))
+    sliced = label_requests(requests(spark, bodies), teacher, STRICT_TEACHER, slices=3).collect()
+    assert sorted(sliced) == sorted(whole) and len(calls(log)) == 2 * before
+
+
+def test_stopped_run_keeps_its_slices(spark, log, tmp_path):
+    """A run that dies halfway is taken up where the last finished slice ended."""
+    run_dir = str(tmp_path / "run")
+    bodies = ["first"] * 8 + ["broken"] + ["first"] * 8
+    with pytest.raises(Exception, match="down"):
+        label_requests(
+            requests(spark, bodies), model_teacher(lambda: Scripted(log)), STRICT_TEACHER, run_dir, 6
+        )
+    kept = 0
+    if os.path.exists(f"{run_dir}/attempt=1"):
+        kept = spark.read.parquet(f"{run_dir}/attempt=1").count()
+    open(log, "w").close()
+    skipping = model_teacher(lambda: Scripted(log), on_error="skip")
+    labels = label_requests(requests(spark, bodies), skipping, STRICT_TEACHER, run_dir, 6)
+    assert labels.where("status = 'accepted'").count() == 16
+    assert labels.where("status = 'failed'").count() == 1
+    assert len(calls(log)) == 17 - kept
+
+
 def test_callers_and_pauses(spark, log):
     import time
 
