@@ -24,7 +24,7 @@ def markup_pattern(possessive: str = "+") -> str:
     backtracking take an empty one.
     """
     attrs = _ATTRS.format(p=possessive)
-    unread = "|".join(rf"<{t}\b{attrs}.*?(?:</{t}\b[^>]*>|\z)" for t in _UNREAD)
+    unread = "|".join(rf"<{t}\b{attrs}.*?(?:</{t}\b[^>]*{possessive}(?:>|\z)|\z)" for t in _UNREAD)
     return rf"(?is)<!--.*?(?:-->|\z)|{unread}|</?[a-z]{attrs}|<[!?][^>]*(?:>|\z)"
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,28 +35,24 @@ LENIENT_TEACHER = LabelPolicy("lenient", "drop", "chat", strip_reply=True)
 SERVING = LabelPolicy("strict", "coerce", "serving", strip_reply=True)
 
 
-def _ask(requests: DataFrame, teacher: Teacher, policy: LabelPolicy, path: str) -> StructType:
-    """Ask the teacher for what the attempt table lacks and append the judged replies."""
-    try:
-        ids = StructType([requests.schema["id"]])
-        done = requests.sparkSession.read.schema(ids).parquet(path)
-        requests = requests.join(done, "id", "left_anti")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-    replied = teacher(requests)
-    if policy.strip_reply:
-        replied = replied.withColumn("reply", strip(F.col("reply")))
-    valid = F.col("free_form") | policy.is_valid(F.col("reply"))
-    judged = replied.withColumn("valid", F.col("error").isNull() & valid)
-    judged.write.mode("append").parquet(path)
-    return judged.schema
+def _unanswered(requests: DataFrame, path: str) -> DataFrame:
+    """The requests whose ids the attempt table lacks."""
+    spark = requests.sparkSession
+    ids = StructType([requests.schema["id"]])
+    # Adds no row, but a run that was never started then has an empty table to look into.
+    spark.createDataFrame([], ids).write.mode("append").parquet(path)
+    return requests.join(spark.read.schema(ids).parquet(path), "id", "left_anti")
 
 
 def _attempt(
-    requests: DataFrame, teacher: Teacher, policy: LabelPolicy, path: str, slices: int
+    requests: DataFrame,
+    teacher: Teacher,
+    policy: LabelPolicy,
+    path: str,
+    resume: bool,
+    slices: int,
 ) -> DataFrame:
-    """Write the replies before anything branches on them.
+    """Ask the teacher and write the judged replies before anything branches on them.
 
     Without the written table each later branch would call the model again. The table
     is also what a rerun resumes from.
@@ -65,9 +60,16 @@ def _attempt(
     for number in range(slices):
         part = requests
         if slices > 1:
-            part = requests.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == number)
-        schema = _ask(part, teacher, policy, path)
-    return requests.sparkSession.read.schema(schema).parquet(path)
+            part = part.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == number)
+        if resume:
+            part = _unanswered(part, path)
+        replied = teacher(part)
+        if policy.strip_reply:
+            replied = replied.withColumn("reply", strip(F.col("reply")))
+        valid = F.col("free_form") | policy.is_valid(F.col("reply"))
+        judged = replied.withColumn("valid", F.col("error").isNull() & valid)
+        judged.write.mode("append").parquet(path)
+    return requests.sparkSession.read.schema(judged.schema).parquet(path)
 
 
 def label_requests(
@@ -87,15 +89,16 @@ def label_requests(
     are kept when its job ends, so split a run of days into ``slices``: each is a job of its
     own over a hash slice of the ids, and a crash costs at most one of them.
     """
+    resume = run_dir is not None
     run_dir = run_dir or shared_dir(requests.sparkSession, "labels")
-    first = _attempt(requests, teacher, policy, f"{run_dir}/attempt=1", slices)
+    first = _attempt(requests, teacher, policy, f"{run_dir}/attempt=1", resume, slices)
     pending = first.where(~F.col("valid") & F.col("error").isNull()).select(
         "id",
         correction(F.col("messages"), F.col("reply"), policy.correction).alias("messages"),
         "max_new_tokens",
         "free_form",
     )
-    second = _attempt(pending, teacher, policy, f"{run_dir}/attempt=2", slices)
+    second = _attempt(pending, teacher, policy, f"{run_dir}/attempt=2", resume, slices)
 
     # A retry's request ends in the correction turns; the label goes with the first prompt.
     added = 2 if policy.correction == "chat" else 1

@@ -194,5 +194,6 @@ def raw_mails(spark: SparkSession, folder: str) -> DataFrame:
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """``path, content``: the web pages as raw mails, with their address as plain text."""
     pages = spread(table(spark, folder, "pages"), "page_id")
-    content = raw_mail(F.col("page_id") % MAIL_SHAPES, F.lit(None).cast("string"), F.col("url"), F.col("html"))
+    no_subject = F.lit(None).cast("string")
+    content = raw_mail(F.col("page_id") % MAIL_SHAPES, no_subject, F.col("url"), F.col("html"))
     return pages.select(F.col("page_id").cast("string").alias("path"), content.alias("content"))
