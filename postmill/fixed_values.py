@@ -61,6 +61,10 @@ LONG_BUDGET = 256
 SHORT_BUDGET = 160
 CHAT_TEACHER_BUDGET = 140
 
+# Sampling settings for a model client; the top-p holds for all but the strict teacher.
+TEMPERATURE = 0.2
+TOP_P = 0.9
+
 # Batch arithmetic of the training run.
 BATCH_SIZE = 1
 ACCUMULATION_STEPS = 16

@@ -18,7 +18,10 @@ Teacher = Callable[[DataFrame], DataFrame]
 
 
 class Client(Protocol):
-    """What a model connection must offer. It is made once per partition, on the executor."""
+    """What a model connection must offer. It is made once per partition, on the executor.
+
+    How to sample is the client's business; ``fixed_values`` has the usual settings.
+    """
 
     def generate(self, messages: list[dict[str, str]], max_new_tokens: int | None) -> str: ...
 

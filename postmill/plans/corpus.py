@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.fixed_values import CORPUS_NAME, CHAT_TEACHER_BUDGET
+from postmill.fixed_values import CHAT_TEACHER_BUDGET, CORPUS_NAME, LABEL_CAP
 from postmill.functions.chat import CHATML, ChatTemplate, render_chat
 from postmill.functions.cleaning import hard_cut
 from postmill.functions.prompts import chat_teacher_messages, summary_messages
@@ -58,11 +58,17 @@ def label_corpus(
     teacher: Teacher,
     *,
     lenient: bool = False,
-    limit: int = 0,
+    limit: int | None = None,
     run_dir: str | None = None,
     slices: int = 1,
 ) -> DataFrame:
-    """Clean mails to chat examples in JSON Lines; returns the label table."""
+    """Clean mails to chat examples in JSON Lines; returns the label table.
+
+    ``limit`` keeps the first mails by path, 0 keeps all. Unless given, it is 2,000 for
+    lenient runs and 0 for strict ones.
+    """
+    if limit is None:
+        limit = LABEL_CAP if lenient else 0
     clean = cap_items(read_clean_emails(spark, clean_path), limit, "path")
     requests = lenient_requests(clean) if lenient else strict_requests(clean)
     policy = LENIENT_TEACHER if lenient else STRICT_TEACHER

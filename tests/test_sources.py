@@ -155,6 +155,8 @@ def test_label_corpus(spark, maildir, tmp_path):
         examples = read_chat_examples(spark, out)
         assert examples.count() == labels.where("label is not null").count() > 0
         assert training_text(examples).columns == ["text"]
+    everything = label_corpus(spark, clean, out, model_teacher(StubClient))
+    assert everything.count() == len(MAILS) - 2
 
 
 def test_stream_equals_batch(spark, maildir, tmp_path):
