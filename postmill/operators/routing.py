@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.prompts import output_budget, task_error, task_messages
+from postmill.functions.pytext import WS
 from postmill.operators.cleaning import clean_emails
 from postmill.operators.inference import Teacher
 from postmill.operators.labelling import SERVING, label_requests
-from postmill.sources.texts import nonblank_bodies
+
+BLANK_ERROR = "no email content"
 
 
 def route_requests(requests: DataFrame) -> DataFrame:
@@ -35,18 +37,21 @@ def serve_requests(
 ) -> DataFrame:
     """Answer task requests: ``id, label, status, attempts, error``.
 
-    Blank bodies are left out and bodies are cleaned without their subject. Summaries
-    are validated, retried and repaired; the other tasks' replies are taken as they
-    are. Requests with a bad task are not sent; they come back as ``rejected``.
+    Bodies are cleaned without their subject, or with ``clean=False`` sent as they are,
+    blank ones too. Summaries are validated, retried and
+    repaired; the other tasks' replies are taken as they are. Requests with a blank body
+    or a bad task are not sent but come back as ``rejected`` with the reason.
     """
-    bodies = nonblank_bodies(requests)
+    bodies = requests.withColumn("blank", F.lit(False))
     if clean:
+        has_content = F.coalesce(F.col("body").rlike(f"[^{WS}]"), F.lit(False))
         bodies = (
-            clean_emails(bodies, subject=F.lit(""))
+            clean_emails(requests.withColumn("blank", ~has_content), subject=F.lit(""))
             .withColumn("body", F.col("clean_text"))
             .drop("clean_text", "urls")
         )
-    routed = route_requests(bodies)
+    reason = F.when(F.col("blank"), F.lit(BLANK_ERROR)).otherwise(F.col("route_error"))
+    routed = route_requests(bodies).withColumn("route_error", reason)
     good = routed.where(F.col("route_error").isNull()).select(
         F.col(id_column).alias("id"),
         "messages",

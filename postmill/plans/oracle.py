@@ -13,6 +13,7 @@ from html.entities import name2codepoint
 from postmill import fixed_values as fixed
 from postmill.functions.html import GAP, markup_pattern
 from postmill.functions.summary import PREFIXES
+from postmill.operators.routing import BLANK_ERROR
 from postmill.operators.shaping import CHUNK_BATCHES
 from postmill.plans import fixtures, queries, stub_teacher
 
@@ -364,15 +365,15 @@ ORACLE = {
           (examples + 15) // 16 * 2 as total_steps from n""",
     "cap_items": f"{CLEAN} select doc_id, clean_text from c order by doc_id limit {queries.CAP}",
     "task_serving": f"""with {REQUESTS},
-        nb as (select * exclude (body), {strip("coalesce(body, '')")} as body from q
-          where {strip("coalesce(body, '')")} <> ''),
-        {cleaned('nb', subject="''")},
-        f as (select *, lower(task) <> 'summarize' as free_form from c
-          where lower(task) in ({KNOWN_TASKS})),
+        nb as (select * exclude (body), {strip("coalesce(body, '')")} as body from q),
+        sent as (select * from nb where body <> '' and lower(task) in ({KNOWN_TASKS})),
+        {cleaned('sent', subject="''")},
+        f as (select *, lower(task) <> 'summarize' as free_form from c),
         {labelled('f', task_user('clean_text'), strict, True)}
         select {LABEL_COLUMNS} from lab
         union all
-        select doc_id, null, 'rejected', 0, {TASK_ERROR} from nb
-        where lower(task) not in ({KNOWN_TASKS})""",
+        select doc_id, null, 'rejected', 0,
+          case when body = '' then '{BLANK_ERROR}' else {TASK_ERROR} end from nb
+        where body = '' or lower(task) not in ({KNOWN_TASKS})""",
     "stream_clean_emails": f"{CLEAN} select doc_id, clean_text, urls from c",
 }

@@ -176,8 +176,11 @@ def test_serving_requests(spark, log):
     ]
     table = spark.createDataFrame(rows, "id int, task string, subject string, body string")
     out = {r.id: r for r in serve_requests(table, model_teacher(lambda: Scripted(log))).collect()}
-    assert sorted(out) == [0, 1, 2, 3]
+    assert sorted(out) == [0, 1, 2, 3, 4]
     assert out[0].status == "coerced" and out[0].attempts == 2
     assert (out[1].label, out[1].status, out[1].attempts) == ("one line", "accepted", 1)
-    assert out[2].status == out[3].status == "rejected"
+    assert [out[i].status for i in (2, 3, 4)] == ["rejected"] * 3
+    assert out[4].error == "no email content" and out[4].label is None
     assert sorted(line.split()[1] for line in calls(log)) == ["256"] * 3
+    raw = serve_requests(table.where("id = 0"), model_teacher(lambda: Scripted(log)), clean=False)
+    assert raw.first().status == "coerced"
