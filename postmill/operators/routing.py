@@ -38,9 +38,9 @@ def serve_requests(
     """Answer task requests: ``id, label, status, attempts, error``.
 
     Bodies are cleaned without their subject, or with ``clean=False`` sent as they are,
-    blank ones too. Summaries are validated, retried and
-    repaired; the other tasks' replies are taken as they are. Requests with a blank body
-    or a bad task are not sent but come back as ``rejected`` with the reason.
+    blank ones too. Summaries are validated, retried and repaired; the other tasks' replies
+    are taken as they are. Requests with a blank body or a bad task are not sent but come
+    back as ``rejected`` with the reason.
     """
     bodies = requests.withColumn("blank", F.lit(False))
     if clean:
