@@ -8,57 +8,49 @@ from pyspark.sql import functions as F
 from postmill.llm.staging import staged
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the least of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = _least(both).select("node", F.least("least", "node").alias("least"))
+    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    least = least.select("node", F.least("least", "node").alias("least"))
     larger = both.where("b > a")
-    return (
-        larger.join(least, larger.a == least.node)
-        .select(F.col("b").alias("a"), F.col("least").alias("b"))
-        .distinct()
+    return larger.join(least, larger.a == least.node).select(
+        F.col("b").alias("a"), F.col("least").alias("b")
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the least of these."""
-    least = _least(edges)
-    joined = edges.join(least, edges.a == least.node).select("a", "b", "least")
-    return (
-        joined.where("b != least")
-        .select(F.col("b").alias("a"), F.col("least").alias("b"))
-        .unionByName(least.select(F.col("node").alias("a"), F.col("least").alias("b")))
-        .distinct()
-    )
+    least = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    joined = edges.join(least, edges.a == least.node).where("b != least")
+    linked = joined.select(F.col("b").alias("a"), F.col("least").alias("b"))
+    own = least.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return linked.unionByName(own).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b: bigint); the component is its least node.
+def _print(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+
 
-    Edges may repeat, point either way and join a node to itself; nulls are left out. Each
-    round writes its edges to the shared folder, and only counts reach the driver. Rounds
-    end when every node hangs directly on its least one, after some log(size) of them. A
-    hub's edges are never gathered: its least neighbour is a sum by key, and the join back
-    is one that adaptive execution splits.
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``edges`` (a, b: bigint) that has an edge to another;
+    the component is its least node.
+
+    Edges may repeat and point either way; nulls and edges of a node to itself are left out.
+    Each round writes its edges to the shared folder; only their count and a hash of them
+    reach the driver. Rounds end when nothing changes, which is when every node hangs
+    directly on its least one, after some log(size) of them. A hub's edges are never
+    gathered: its least neighbour is a sum by key, and the join back is one that adaptive
+    execution splits.
     """
     plain = edges.where("a != b").select(
         F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b")
     )
     now = staged(plain.distinct(), "edges")
-    stars = 0 if now.isEmpty() else None
-    while stars is None:
+    seen, mark = None, _print(now)
+    while mark != seen and mark[0]:
         now = staged(_small_star(_large_star(now)), "edges")
-        # Done when no node has two parents and no parent has a parent.
-        roots = now.select(F.col("b").alias("a")).distinct()
-        nested = now.join(roots, "a", "left_semi").limit(1).count()
-        twice = now.groupBy("a").count().where("count > 1").limit(1).count()
-        stars = 0 if not nested and not twice else None
-    loops = edges.where("a = b").select(F.col("a").cast("bigint").alias("node"))
-    own = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    found = now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(own)
-    lone = loops.distinct().join(found, "node", "left_anti")
-    return found.unionByName(lone.select("node", F.col("node").alias("component")))
+        seen, mark = mark, _print(now)
+    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component"))
+    return leaves.unionByName(roots.distinct())

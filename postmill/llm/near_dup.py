@@ -10,7 +10,6 @@ signature is the dart of least rank of each coordinate. Only ranks up to about
 from __future__ import annotations
 
 import math
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -28,6 +27,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 2
+CROSS = 16  # pairs left for each member of a bucket, beyond which more hubs come first
 _UNIT = 2.0**-53
 
 
@@ -223,8 +223,9 @@ def near_duplicates(
     Candidates share one of ``bands`` keys of ``rows`` coordinates each: at the defaults, a
     pair of similarity 0.8 has none in 5 of 100,000 cases. Every candidate pair is either
     compared exactly or already in one class: first each member of a bucket with the
-    bucket's hubs, which joins the usual bucket of copies in linear work, then every pair
-    whose members still are of different classes.
+    bucket's hub, which joins the usual bucket of copies in linear work, then every pair
+    whose members still are of different classes. Where these are many, members meet up to
+    ``HUB_ROUNDS`` other hubs before.
 
     Texts without words, null ones among them, are classes of their own. Rows without an id
     have no row in the result, and rows that repeat an id have one row each. An empty table
@@ -253,15 +254,17 @@ def near_duplicates(
     hubs = members.groupBy("key").agg(F.min("id").alias("other"))
     pairs = _ordered(members.join(hubs, "key").where("id != other").select("id", "other"))
     edges = staged(_linked(pairs, sets, similarity), "links")
-    steps = [*(partial(_hub_pairs, turn=turn) for turn in range(HUB_ROUNDS)), _all_cross]
-    classes = staged(components(edges), "classes")
-    for step in steps:
+    for turn in range(HUB_ROUNDS + 1):
         split = _split_buckets(members, classes)
-        if split.isEmpty():
+        left, pairs_left = split.agg(F.count("*"), F.sum("pairs")).first()
+        if not left:
             break
-        found = staged(_linked(step(split), sets, similarity), "links")
-        edges = edges.unionByName(found)
+        last = turn == HUB_ROUNDS or pairs_left <= CROSS * left + 1_000_000
+        pairs = _all_cross(split) if last else _hub_pairs(split, turn)
+        edges = edges.unionByName(staged(_linked(pairs, sets, similarity), "links"))
         classes = staged(components(edges), "classes")
+        if last:
+            break
 
     own = alike.select("f1", "f2", "rep").join(
         classes.withColumnRenamed("node", "rep"), "rep", "left"
@@ -276,12 +279,18 @@ def near_duplicates(
 
 
 def _split_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members, with their component, of the buckets that hold more than one component."""
+    """Members of the buckets that hold more than one component, with their component and
+    their share of the pairs between components."""
     named = members.join(classes, members.id == classes.node, "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp")
     )
-    several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-    return staged(named.join(several.where("x != y"), "key", "left_semi"), "split-buckets")
+    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    several = sizes.groupBy("key").agg(
+        F.count("*").alias("comps"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own")
+    )
+    share = (F.col("all") - F.col("own") / F.col("all")) / 2
+    several = several.where("comps > 1").select("key", share.alias("pairs"))
+    return staged(named.join(several, "key"), "split-buckets")
 
 
 def drop_near_duplicates(documents: DataFrame, id_column: str = "doc_id", broadcast_ids: int = BROADCAST_IDS, **options) -> DataFrame:
