@@ -32,9 +32,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN_LENGTH = 6
 
-SAMPLE_LINES = 3000  # lines with a base secret, and as many without, to train on
+SAMPLE_LINES = 2000  # lines with a base secret, and as many without, to train on
 SAMPLE_TOKENS = 200  # of a training line: those around its secret, or its first ones
-EPOCHS = 30
+GRADIENT_STEPS = 150
 _OUT, _BEGIN, _IN = 0, 1, 2
 _HASHED = 1 << 12
 _SHAPES = 1 << 11
@@ -241,7 +241,7 @@ def _lattice(features: np.ndarray, mask: np.ndarray, weights: np.ndarray, moves:
     return tag, move
 
 
-def fit(lines: list[tuple[str, list[tuple[int, int]]]], epochs: int = EPOCHS) -> Model:
+def fit(lines: list[tuple[str, list[tuple[int, int]]]], steps: int = GRADIENT_STEPS) -> Model:
     """Maximum likelihood by adaptive gradient steps over (line, spans of its secrets)."""
     weights = np.zeros((_FEATURES, 3))
     moves = np.zeros((3, 3))
@@ -265,12 +265,12 @@ def fit(lines: list[tuple[str, list[tuple[int, int]]]], epochs: int = EPOCHS) ->
     rows.sort(key=lambda row: len(row[1]))
     batches = [rows[i : i + 256] for i in range(0, len(rows), 256)]
     seen, seen_moves = np.full(weights.shape, 1e-2), np.full(moves.shape, 1e-2)
-    for epoch in range(epochs):
+    for _ in range(max(3, steps // len(batches))):
         for batch in batches:
-            steps = max(len(tags) for _, tags in batch)
-            features = np.zeros((len(batch), steps, batch[0][0].shape[1]), np.int64)
-            gold = np.zeros((len(batch), steps), np.int64)
-            mask = np.zeros((len(batch), steps), bool)
+            longest = max(len(tags) for _, tags in batch)
+            features = np.zeros((len(batch), longest, batch[0][0].shape[1]), np.int64)
+            gold = np.zeros((len(batch), longest), np.int64)
+            mask = np.zeros((len(batch), longest), bool)
             for i, (own, tags) in enumerate(batch):
                 features[i, : len(tags)], gold[i, : len(tags)], mask[i, : len(tags)] = own, tags, True
             tag, move = _lattice(features, mask, weights, moves)
@@ -294,6 +294,18 @@ def fit(lines: list[tuple[str, list[tuple[int, int]]]], epochs: int = EPOCHS) ->
     return Model(weights.astype(np.float32), moves)
 
 
+def fit_doubting(lines: list[tuple[str, list[tuple[int, int]]]]) -> Model:
+    """Fit without the lines that have no base secret but may hold another one: those where
+    a model of the other half of the lines finds something."""
+    halves = (lines[::2], lines[1::2])
+    kept = []
+    for own, other in (halves, halves[::-1]):
+        model = fit(other)
+        found = model.spans(Block([line for line, _ in own])) if own else []
+        kept += [row for row, extra in zip(own, found, strict=True) if row[1] or not extra]
+    return fit(kept)
+
+
 # ---------------------------------------------------------------------------------- scan
 def _sampler(limit: int):
     """Of each task, the ``limit`` lines with base secrets that come first by hash, and of
@@ -366,7 +378,7 @@ def train_model(
     for name in (True, False):
         top = lines.where(F.col("secret") == name).select("rank", "line").distinct()
         kept += [r.line for r in top.orderBy("rank").limit(sample_lines).collect()]
-    return fit([(line, _values_of(line)) for line in kept])
+    return fit_doubting([(line, _values_of(line)) for line in kept])
 
 
 def scan_secrets(
