@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.staging import id_and_text, joined_with, staged
-from postmill.llm.words import Block, blocks, by_blocks, mixed, signed, table, windows
+from postmill.llm.words import Block, by_blocks, mixed, signed, table, text_blocks, windows
 
 WINDOW = 8
 MIN_LITERALS = 5  # of a template window, tokens that are not placeholders
@@ -287,7 +287,7 @@ def _by_join(docs: DataFrame, items: DataFrame, window: int, min_literals: int)
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, block in blocks(batch.column(1).to_pylist()):
+            for _, block in text_blocks(batch):
                 literal = _literal(block)
                 for kind, tokens in (("exact", literal), ("template", _template(block, literal))):
                     sizes = np.unique(np.minimum(np.diff(tokens.first), window))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.staging import staged
-from postmill.llm.words import _ODD, _STEP, Block, blocks, mixed
+from postmill.llm.words import _ODD, _STEP, Block, mixed, text_blocks
 from postmill.session import ship_package
 
 CLASSES = 64  # with one for the end of a text
@@ -33,7 +33,7 @@ KINDS = 4
 ROUNDS = 2
 BATCH = 1 << 14
 RATE = 0.1
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 BUCKET_WORDS = 1 << 19  # vocabulary entries that one bucket of the counting sums, about
 _SLABS = 16
 _END = mixed(np.array([0x454E44], np.uint64))[0]
@@ -106,10 +106,9 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict(row)
 
     for batch in batches:
-        numbers = batch.column(0).to_pylist()
-        for begin, block in blocks(batch.column(1).to_pylist()):
+        for numbers, block in text_blocks(batch):
             found = _tokens(block)
-            ids += numbers[begin : begin + len(block.texts)]
+            ids += numbers
             held.append(found)
             size += len(found[0])
             if size >= BLOCK_TOKENS:

@@ -31,6 +31,10 @@ CROSS = 16  # pairs left for each member of a bucket, beyond which more hubs com
 _UNIT = 2.0**-53
 
 
+def _multiple(value: np.uint64, times: int) -> np.uint64:
+    return np.uint64(int(value) * times & 0xFFFFFFFFFFFFFFFF)
+
+
 def dart_signatures(sets: list[np.ndarray], k: int, weights: list[np.ndarray] | None = None) -> np.ndarray:
     """A row of ``k`` dart hashes for each non-empty set of 64-bit elements.
 
@@ -57,7 +61,7 @@ def dart_signatures(sets: list[np.ndarray], k: int, weights: list[np.ndarray] |
         alive, rank, number = pending, np.zeros(len(pending)), 0
         while len(alive):
             number += 1
-            dart = mixed(seed[alive] + np.uint64(number) * _STEP)
+            dart = mixed(seed[alive] + _multiple(_STEP, number))
             rank = rank - np.log(((dart >> np.uint64(11)).astype(float) + 0.5) * _UNIT) / width[alive]
             near = rank <= limit[owner[alive]]
             alive, rank, dart = alive[near], rank[near], dart[near]
@@ -116,7 +120,7 @@ def _summary(bands: int, rows: int, n: int, weighted: bool):
             s + w.astype(np.uint64) * _STEP for s, w in zip(sets, weights, strict=True)
         ]
         prints = [
-            np.array([mixed(s + np.uint64(x) * _ODD).sum() for s in marked], np.uint64)
+            np.array([mixed(s + _multiple(_ODD, x)).sum() for s in marked], np.uint64)
             for x in (1, 2)
         ]
         offsets = np.arange(0, bands * len(some) + 1, bands, dtype=np.int32)

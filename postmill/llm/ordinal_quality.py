@@ -12,6 +12,7 @@ import math
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -243,8 +244,11 @@ def keep_good(documents: DataFrame, model: Model, text_column: str = "text", **o
     wanted, threshold = options.get("wanted", 2), options.get("threshold", THRESHOLD)
 
     @F.pandas_udf(BooleanType())
-    def good(texts):
-        found = [sent.value.reach(_features(b))[:, wanted - 1] for _, b in blocks(texts.tolist())]
-        return texts.__class__(np.concatenate([*found, np.empty(0)]) >= threshold)
+    def good(texts: pd.Series) -> pd.Series:
+        found = [np.empty(0)]
+        for a in range(0, len(texts), 256):
+            for _, block in blocks(texts.iloc[a : a + 256].tolist()):
+                found.append(sent.value.reach(_features(block))[:, wanted - 1])
+        return pd.Series(np.concatenate(found) >= threshold)
 
     return documents.where(good(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))))

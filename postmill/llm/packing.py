@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.word_tokens import WordTokenizer
-from postmill.llm.words import blocks
+from postmill.llm.words import text_blocks
 from postmill.session import ship_package
 
 WINDOW = 4096
@@ -207,11 +207,11 @@ def pack_documents(
                     rows, held = [], 0
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for begin, block in blocks(batch.column(1).to_pylist()):
-                for k, found in enumerate(tokenizer.encode(block.texts)):
+            for ids, block in text_blocks(batch):
+                for number, found in zip(ids, tokenizer.encode(block.texts), strict=True):
                     found = np.append(found, np.uint32(end_id))
-                    yield from closed(packer.add(Piece(ids[begin + k], 0, found, len(found))))
+                    yield from closed(packer.add(Piece(number, 0, found, len(found))))
+        tokenizer.clear()
         yield from closed(packer.finish())
         if rows:
             yield flush()
@@ -227,7 +227,7 @@ _loaded: dict[str, WordTokenizer] = {}
 
 
 def _tokenizer(path: str) -> WordTokenizer:
-    """One for each worker process, as its store of words serves all tasks there."""
+    """One for each worker process; its store of words lasts for a task."""
     if path not in _loaded:
         _loaded[path] = WordTokenizer(path)
     return _loaded[path]

@@ -322,7 +322,7 @@ def _sampler(limit: int):
                     del own[rank]
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in map(str, batch.column(0)):
                 secret = bool(base_spans(text))
                 first = True
                 for line in text.split("\n") if secret else text.split("\n", 1)[:1]:

@@ -10,7 +10,7 @@ special token, go to the library whole.
 from __future__ import annotations
 
 import unicodedata
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -19,7 +19,7 @@ from postmill.llm.words import Block
 
 _LIMIT = 0x250  # below, no two characters combine, and each but U+0130 lowers to one
 _LETTER, _NUMBER, _OTHER = 1, 2, 3
-_KEPT = 1 << 20  # words; beyond, the store begins anew
+_KEPT = 1 << 19  # words; beyond, the store begins anew
 _JOINED = 64
 
 
@@ -70,7 +70,7 @@ class WordTokenizer:
     """``encode`` gives one array of ids for each text."""
 
     def __init__(self, path: str) -> None:
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.single = Tokenizer.from_file(path)
         self.single.normalizer = normalizers.Sequence([])
         self.single.pre_tokenizer = pre_tokenizers.Sequence(
@@ -79,13 +79,17 @@ class WordTokenizer:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
-        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        vocabulary = self.single.get_vocab(with_added_tokens=True)
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.closing[number] = token.endswith("</w>")
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def clear(self) -> None:
         self.slots: dict[int, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.offsets = np.zeros(1 << 15, np.int64)
@@ -116,7 +120,7 @@ class WordTokenizer:
             block.hashes(starts, ends), return_index=True, return_inverse=True
         )
         if len(self.slots) + len(unique) > _KEPT:
-            self._clear()
+            self.clear()
         known = self.slots.get
         listed = unique.tolist()
         new = [i for i, h in enumerate(listed) if known(h) is None]
@@ -141,8 +145,8 @@ class WordTokenizer:
             for i, row in zip(fast, rows, strict=True):
                 result[i] = row
         slow = [i for i, p in enumerate(plain) if not p]
-        whole = self.whole.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False)
-        for i, found in zip(slow, whole, strict=True):
+        for i in slow:
+            found = self.whole.encode(texts[i], add_special_tokens=False)
             result[i] = np.array(found.ids, np.uint32)
         return result
 

@@ -8,12 +8,13 @@ each. Everything below works on arrays of a block, so that a task's memory depen
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
+_ROWS = 256  # of a batch, turned into Python strings at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _STEP_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -28,7 +29,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@cache
+@lru_cache(4)
 def _powers(base: int, size: int) -> np.ndarray:
     factors = np.full(size, np.uint64(base), np.uint64)
     factors[:1] = 1
@@ -88,7 +89,7 @@ class Block:
         A polynomial in an odd base: prefix sums give each span's value times a power of the
         base, which the base's inverse removes.
         """
-        size = 1 << max(20, int(len(self.codes)).bit_length())
+        size = 1 << max(19, int(len(self.codes)).bit_length())
         sums = np.zeros(len(self.codes) + 1, np.uint64)
         terms = _values(fold)[self.codes] * _powers(int(_STEP), size)[: len(self.codes)]
         np.cumsum(terms, out=sums[1:])
@@ -109,6 +110,15 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+def text_blocks(batch: pa.RecordBatch, chars: int = BLOCK_CHARS) -> Iterator[tuple[list, Block]]:
+    """Ids and blocks of a batch of (id, text)."""
+    for start in range(0, batch.num_rows, _ROWS):
+        part = batch.slice(start, _ROWS)
+        ids = part.column(0).to_pylist()
+        for begin, block in blocks(part.column(1).to_pylist(), chars):
+            yield ids[begin : begin + len(block.texts)], block
+
+
 def blocks(texts: list[str | None], chars: int = BLOCK_CHARS) -> Iterator[tuple[int, Block]]:
     """Blocks of about ``chars`` code points with the index of their first text; null is empty.
 
@@ -133,9 +143,8 @@ def by_blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for begin, block in blocks(batch.column(1).to_pylist(), chars):
-                out = work(ids[begin : begin + len(block.texts)], block)
+            for ids, block in text_blocks(batch, chars):
+                out = work(ids, block)
                 if out is not None and out.num_rows:
                     yield out
 
