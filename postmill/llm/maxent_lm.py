@@ -23,9 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.staging import staged
+from postmill.llm.staging import prepare, staged
 from postmill.llm.words import _ODD, _STEP, Block, mixed, text_blocks
-from postmill.session import ship_package
 
 CLASSES = 64  # with one for the end of a text
 SLOTS = 1 << 12  # hashed places of each kind of feature
@@ -400,7 +399,7 @@ def score_documents(
     task or on the driver. The weights have a fixed size. Every training token is in one
     gradient step, in the round that its text's place in its block names.
     """
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     two = documents.select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"),
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"),

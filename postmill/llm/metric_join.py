@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.components import components
-from postmill.llm.staging import staged
-from postmill.session import ship_package
+from postmill.llm.staging import prepare, staged
 
 COSINE = 0.95
 CELL = 1024  # vectors that a cell is meant to have at home
@@ -151,7 +150,7 @@ def link_vectors(
     members and gives back a count for each home and one edge for each vector at most, so a
     large group of near copies gives many tiles and few rows.
     """
-    ship_package(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     two = vectors.select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{vector_column}`").alias("v")
     ).where("id is not null")

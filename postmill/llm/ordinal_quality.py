@@ -18,9 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from postmill.llm.staging import id_and_text
+from postmill.llm.staging import id_and_text, prepare
 from postmill.llm.words import Block, blocks, by_blocks, table
-from postmill.session import ship_package
 
 SLOTS = 1 << 18
 STEMS = (4, 5, 7)  # lengths of the word beginnings that are features
@@ -179,7 +178,7 @@ def train_model(
     documents are read once and not shuffled. With fewer than two grades in the sample, all
     documents get the same probabilities, those of the ratings.
     """
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     rated = ratings.where(f"`{id_column}` is not null and grade between 0 and {levels - 1}")
     rated = rated.groupBy(F.col(f"`{id_column}`").cast("bigint").alias("rated")).agg(
         F.min("grade").cast("int").alias("grade")
@@ -220,7 +219,7 @@ def rate_documents(
     like any other row; whole texts are read, in blocks. An empty table gives an empty
     result. Only the two named columns are read. Row-local: no shuffle.
     """
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def work(ids: list, block: Block) -> pa.RecordBatch:
@@ -239,7 +238,7 @@ def rate_documents(
 
 def keep_good(documents: DataFrame, model: Model, text_column: str = "text", **options) -> DataFrame:
     """``documents`` that the model keeps, all their columns unchanged."""
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     wanted, threshold = options.get("wanted", 2), options.get("threshold", THRESHOLD)
 

@@ -18,9 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.llm.staging import prepare
 from postmill.llm.word_tokens import WordTokenizer
 from postmill.llm.words import text_blocks
-from postmill.session import ship_package
 
 WINDOW = 4096
 END_ID = 2
@@ -172,7 +172,7 @@ def pack_documents(
     array. Its result depends only on its rows in their order, so a task that is run again
     gives the same sequences; sequence ids hold the partition's number.
     """
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)

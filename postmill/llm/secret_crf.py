@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.staging import staged
+from postmill.llm.staging import prepare, staged
 from postmill.llm.words import Block, by_blocks, table
-from postmill.session import ship_package
 
 # The patterns of the base scan, and the order of their kinds.
 ASSIGN = re.compile(
@@ -370,7 +369,7 @@ def train_model(
     """Fit on ``sample_lines`` lines with a base secret and as many without, the first ones
     by a hash of the line: a bounded sample, the same for the same table however it is
     partitioned. Equal lines count once."""
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     texts = documents.select(F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
     lines = texts.mapInArrow(_sampler(sample_lines), "line string, secret boolean, rank bigint")
     lines = staged(lines, "secret-lines")

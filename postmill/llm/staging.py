@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.session import shared_dir, ship_package
 
 
+#: What a batch of rows for Python may have, so that a worker's memory stays bounded.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable in workers, and bound the batches that they get."""
+    ship_package(spark)
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+
+
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back: a cut of the lineage that
     outlives executors."""
@@ -19,7 +33,7 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
 
 def id_and_text(frame: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows with an id, as (id, text) only, so that no other column can clash; null is ''."""
-    ship_package(frame.sparkSession)
+    prepare(frame.sparkSession)
     return frame.select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"),
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"),

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.session import ship_package
+from postmill.llm.staging import prepare
 
 _SEPARATOR = 0x110000  # stands between host and path; no text can hold it
 _BITS = 64
@@ -168,7 +168,7 @@ def judge_urls(
     an empty table gives an empty one, and only the two named columns are read. Row-local:
     no shuffle, and memory is bounded by a block of URLs.
     """
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
     ordered = [*_by_length(rules), *_by_length(globs)]
     given = len(rules)
     id_type = pages.schema[id_column].dataType.simpleString()
