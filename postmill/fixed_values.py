@@ -20,7 +20,6 @@ URL_TAIL = ".,)"
 # Length limits.
 BODY_LIMIT = 4000
 SEQUENCE_LIMIT = 1536
-LABEL_CAP = 2000
 CUT_MARK = " ..."
 
 # The five labels of a summary, in order.
@@ -56,6 +55,15 @@ DEFAULT_CATEGORIES = (
     "Other",
 )
 
+# Fields and labels of the classifying tasks' replies.
+REPLY_FIELDS = {
+    "phishing": ("label", "reason"),
+    "spam": ("label", "reason"),
+    "categorize": ("category", "reason"),
+    "attachment": ("summary", "checks"),
+}
+REPLY_LABELS = {"phishing": ("phishing", "benign"), "spam": ("spam", "ham")}
+
 # Output budgets in tokens.
 LONG_BUDGET = 256
 SHORT_BUDGET = 160

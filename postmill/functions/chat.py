@@ -36,10 +36,14 @@ def with_reply(messages: Column, reply: Column) -> Column:
 
 
 def render_chat(messages: Column, template: ChatTemplate = CHATML) -> Column:
-    """The text to train on."""
+    """The text to train on. A turn without content stays, as an empty one."""
     turns = F.transform(
         messages,
-        lambda m: F.concat(template.opening_for(m["role"]), m["content"], F.lit(template.closing)),
+        lambda m: F.concat(
+            template.opening_for(F.coalesce(m["role"], F.lit(""))),
+            F.coalesce(m["content"], F.lit("")),
+            F.lit(template.closing),
+        ),
     )
     return F.concat(F.lit(template.prefix), F.array_join(turns, ""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.fixed_values import CORPUS_NAME
+from postmill.fixed_values import BODY_LIMIT, CORPUS_NAME
 from postmill.functions.cleaning import (
     extract_urls,
     normalize_whitespace,
@@ -24,11 +24,12 @@ def clean_emails(
     *,
     subject: str | Column = "subject",
     body: str | Column = "body",
+    limit: int = BODY_LIMIT,
 ) -> DataFrame:
     """Add ``clean_text`` and ``urls``; all work is row-local, nothing is shuffled.
 
     Links are taken from the text without quotes and signature but before it is cut
-    to length, and the subject line is not counted in the length.
+    to ``limit`` characters, and the subject line is not counted in them.
     """
     subject = F.col(subject) if isinstance(subject, str) else subject
     body = F.col(body) if isinstance(body, str) else body
@@ -40,11 +41,13 @@ def clean_emails(
             "urls": extract_urls(F.col(_VISIBLE)),
         }
     )
-    text = with_subject(subject, truncate_thread(F.col(_FLAT)))
+    text = with_subject(subject, truncate_thread(F.col(_FLAT), limit))
     return staged.withColumn("clean_text", text).drop(_VISIBLE, _FLAT)
 
 
-def clean_records(parsed: DataFrame, source: str = CORPUS_NAME) -> DataFrame:
+def clean_records(
+    parsed: DataFrame, source: str = CORPUS_NAME, limit: int = BODY_LIMIT
+) -> DataFrame:
     """Clean-mail records of all parsed mails, with ``error`` for those that failed."""
     bodies = parsed.select(
         F.lit(source).alias("source"),
@@ -53,7 +56,7 @@ def clean_records(parsed: DataFrame, source: str = CORPUS_NAME) -> DataFrame:
         body_text(F.col("body_kind"), F.col("body")).alias("body"),
         "error",
     )
-    return clean_emails(bodies).select(*CLEAN_EMAIL.names, "error")
+    return clean_emails(bodies, limit=limit).select(*CLEAN_EMAIL.names, "error")
 
 
 def accepted(records: DataFrame) -> DataFrame:

@@ -73,7 +73,8 @@ def model_teacher(
                 )
 
         if max_callers:
-            requests = requests.coalesce(max_callers)
+            # Not coalesce, which would run what makes the prompts in as few tasks.
+            requests = requests.repartition(max_callers, "id")
         return requests.mapInArrow(call, schema)
 
     return ask

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from postmill.functions.chat import with_reply
 from postmill.functions.prompts import correction
@@ -36,12 +36,21 @@ SERVING = LabelPolicy("strict", "coerce", "serving", strip_reply=True)
 
 
 def _unanswered(requests: DataFrame, path: str) -> DataFrame:
-    """The requests whose ids the attempt table lacks."""
+    """The requests that the attempt table has no reply to, as they are asked now."""
     spark = requests.sparkSession
-    ids = StructType([requests.schema["id"]])
+    error = StructField("error", StringType())
+    known = StructType([requests.schema["id"], requests.schema["asked"], error])
     # Adds no row, but a run that was never started then has an empty table to look into.
-    spark.createDataFrame([], ids).write.mode("append").parquet(path)
-    return requests.join(spark.read.schema(ids).parquet(path), "id", "left_anti")
+    spark.createDataFrame([], known).write.mode("append").parquet(path)
+    answered = spark.read.schema(known).parquet(path).where("error is null")
+    return requests.join(answered, ["id", "asked"], "left_anti")
+
+
+def _current(answers: DataFrame, requests: DataFrame) -> DataFrame:
+    """Of an attempt table that several runs wrote: the newest answer to each of ``requests``."""
+    asked = answers.join(requests.select("id", "asked"), ["id", "asked"], "left_semi")
+    newest = asked.groupBy("id").agg(F.max_by(F.struct(*answers.columns), "answered_at").alias("row"))
+    return newest.select("row.*")
 
 
 def _attempt(
@@ -57,19 +66,33 @@ def _attempt(
     Without the written table each later branch would call the model again. The table
     is also what a rerun resumes from.
     """
+    text = F.to_json(F.struct("messages", "max_new_tokens", "free_form"))
+    requests = requests.withColumn("asked", F.xxhash64(text, F.lit(repr(policy))))
+    spark = requests.sparkSession
+    if slices > 1:
+        # Written once by slice, so that the source is not read for each of them.
+        by_slice = shared_dir(spark, "requests")
+        number = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
+        requests.withColumn("slice", number).write.partitionBy("slice").parquet(by_slice)
+        kinds = StructType([*requests.schema.fields, StructField("slice", IntegerType())])
+        sliced = spark.read.schema(kinds).parquet(by_slice)
     for number in range(slices):
-        part = requests
-        if slices > 1:
-            part = part.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == number)
+        part = requests if slices == 1 else sliced.where(F.col("slice") == number).drop("slice")
         if resume:
             part = _unanswered(part, path)
         replied = teacher(part)
         if policy.strip_reply:
             replied = replied.withColumn("reply", strip(F.col("reply")))
+        silent = F.when(F.col("free_form") & F.col("reply").isNull(), F.lit("no reply"))
+        replied = replied.withColumn("error", F.coalesce("error", silent))
         valid = F.col("free_form") | policy.is_valid(F.col("reply"))
-        judged = replied.withColumn("valid", F.col("error").isNull() & valid)
+        judged = replied.withColumns(
+            {"valid": F.col("error").isNull() & valid, "answered_at": F.current_timestamp()}
+        )
         judged.write.mode("append").parquet(path)
-    return requests.sparkSession.read.schema(judged.schema).parquet(path)
+    answers = spark.read.schema(judged.schema).parquet(path)
+    answers = _current(answers, requests) if resume else answers
+    return answers.drop("asked", "answered_at")
 
 
 def label_requests(
@@ -85,7 +108,9 @@ def label_requests(
     only the first two have a label. Nothing is joined in a first run: the attempt table
     carries the prompt along, so the retry is a filter.
 
-    Pass a ``run_dir`` in shared storage to resume a run that was stopped. A task's replies
+    Pass a ``run_dir`` in shared storage to resume a run that was stopped. What was answered
+    without an error, to the same prompt under the same policy, is not asked again; of
+    several answers the newest counts, and requests of other runs have no row. A task's replies
     are kept when its job ends, so split a run of days into ``slices``: each is a job of its
     own over a hash slice of the ids, and a crash costs at most one of them.
     """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.fixed_values import TASKS
 from postmill.functions.prompts import output_budget, task_error, task_messages
 from postmill.functions.pytext import WS
 from postmill.operators.cleaning import clean_emails
@@ -34,6 +35,7 @@ def serve_requests(
     id_column: str = "id",
     clean: bool = True,
     run_dir: str | None = None,
+    slices: int = 1,
 ) -> DataFrame:
     """Answer task requests: ``id, label, status, attempts, error``.
 
@@ -58,7 +60,7 @@ def serve_requests(
         "max_new_tokens",
         (F.lower("task") != "summarize").alias("free_form"),
     )
-    answers = label_requests(good, teacher, SERVING, run_dir)
+    answers = label_requests(good, teacher, SERVING, run_dir, slices)
     rejected = routed.where(F.col("route_error").isNotNull()).select(
         F.col(id_column).alias("id"),
         F.lit(None).cast("string").alias("label"),
@@ -67,3 +69,8 @@ def serve_requests(
         F.col("route_error").alias("error"),
     )
     return answers.drop("messages").unionByName(rejected)
+
+
+def multitask_mix(mails: DataFrame) -> DataFrame:
+    """One request for each mail and task: ``task`` is added, or replaced."""
+    return mails.withColumn("task", F.explode(F.array(*map(F.lit, TASKS))))

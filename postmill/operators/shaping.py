@@ -18,7 +18,7 @@ from postmill.fixed_values import (
 from postmill.functions.pytext import WS
 from postmill.session import shared_dir
 
-HASH_DIGITS = 3  # 16**3 buckets of the shuffled order
+HASH_DIGITS = 3  # 16**3 buckets of the shuffled order, unless more are asked for
 CHUNK_BATCHES = 50  # batches that are sorted by length together
 MERGE_WAYS = 256
 
@@ -66,11 +66,13 @@ def length_batches(
     *,
     batch_size: int = BATCH_SIZE * ACCUMULATION_STEPS,
     seed: int = SEED,
+    chunk_batches: int = CHUNK_BATCHES,
+    hash_digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Group examples of like length: ``id, length, position, batch, slot``.
 
     The examples are shuffled by a seeded hash of their id, the shuffled order is cut
-    into chunks of at most 50 batches, and each chunk is sorted by length, longest first. The
+    into chunks of ``chunk_batches`` batches (the last may be shorter), and each chunk is sorted by length, longest first. The
     order is global but no task sees all of it: a position is the number of rows in the
     lower hash buckets plus the rank inside the bucket. Ids must be unique; the hash
     then fills all buckets evenly whatever the data.
@@ -82,11 +84,11 @@ def length_batches(
         F.col(id_column).alias("id"),
         F.col(length).cast("bigint").alias("length"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string"))).alias("hash"),
-    ).withColumn("bucket", F.substring("hash", 1, HASH_DIGITS))
+    ).withColumn("bucket", F.substring("hash", 1, hash_digits))
     path = shared_dir(examples.sparkSession, "lengths")
     narrow.write.parquet(path)
     hashed = examples.sparkSession.read.schema(narrow.schema).parquet(path)
-    # At most 16**HASH_DIGITS rows, however large the input: one task sums them, all read them.
+    # At most 16**hash_digits rows, however large the input: one task sums them, all read them.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hashed.groupBy("bucket")
@@ -94,19 +96,14 @@ def length_batches(
         .select(
             "bucket",
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
         )
     )
-    # A chunk is at most a quarter of the input, so that small inputs are shuffled too.
-    quarter = F.floor(F.col("total") / (batch_size * 4))
-    chunk_batches = F.greatest(F.lit(1), F.least(F.lit(CHUNK_BATCHES), quarter))
     in_bucket = Window.partitionBy("bucket").orderBy("hash", "id")
     placed = (
         hashed.withColumn("rank", F.row_number().over(in_bucket))
         .join(F.broadcast(offsets), "bucket")
         .withColumn("position", F.col("offset") + F.col("rank") - 1)
-        .withColumn("chunk_batches", chunk_batches)
-        .withColumn("chunk", F.floor(F.col("position") / (F.col("chunk_batches") * batch_size)))
+        .withColumn("chunk", F.floor(F.col("position") / (chunk_batches * batch_size)))
     )
     in_chunk = Window.partitionBy("chunk").orderBy(F.desc("length"), "position")
     ranked = placed.withColumn("at", F.row_number().over(in_chunk) - 1)
@@ -114,7 +111,7 @@ def length_batches(
         "id",
         "length",
         "position",
-        (F.col("chunk") * F.col("chunk_batches") + F.floor(F.col("at") / batch_size)).alias("batch"),
+        (F.col("chunk") * chunk_batches + F.floor(F.col("at") / batch_size)).alias("batch"),
         (F.col("at") % batch_size).cast("bigint").alias("slot"),
     )
 
@@ -147,3 +144,12 @@ def cap_items(table: DataFrame, limit: int, key: str) -> DataFrame:
     kept = keys.withColumn("rank", F.row_number().over(in_way)).where(F.col("rank") <= limit)
     cutoff = kept.select("key").orderBy("key").limit(limit).agg(F.max("key")).scalar()
     return table.where(F.col(key) <= cutoff)
+
+
+def sample_items(table: DataFrame, fraction: float, key: str, seed: int = SEED) -> DataFrame:
+    """About ``fraction`` of the rows, chosen by a seeded hash of the key: row-local, and the
+    same rows in every run. Rows without a key are not chosen."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    if fraction >= 1:
+        return table.where(F.col(key).isNotNull())
+    return table.where(F.substring(digest, 1, 8) < f"{int(max(fraction, 0) * 2**32):08x}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.fixed_values import CHAT_TEACHER_BUDGET, CORPUS_NAME, LABEL_CAP
+from postmill.fixed_values import BODY_LIMIT, CHAT_TEACHER_BUDGET, CORPUS_NAME
 from postmill.functions.chat import CHATML, ChatTemplate, render_chat
 from postmill.functions.cleaning import hard_cut
 from postmill.functions.prompts import chat_teacher_messages, summary_messages
@@ -24,16 +24,16 @@ from postmill.sources.maildir import read_mails
 
 
 def clean_corpus(
-    spark: SparkSession, mail_root: str, output: str, *, source: str = CORPUS_NAME
+    spark: SparkSession, mail_root: str, output: str, *, source: str = CORPUS_NAME, limit: int = BODY_LIMIT
 ) -> DataFrame:
     """Mail folder to clean-mail JSON Lines; returns the failures, path and reason.
 
     The records are written once to the shared folder, already cleaned and cut to
     length: output and failures are both read from there, no mail is opened twice, and
-    whole bodies are never stored.
+    whole bodies are never stored. ``limit`` is the length that a cleaned body is cut to.
     """
     staged = shared_dir(spark, "records")
-    clean_records(read_mails(spark, mail_root), source).write.parquet(staged)
+    clean_records(read_mails(spark, mail_root), source, limit).write.parquet(staged)
     records = spark.read.parquet(staged)
     write_clean_emails(accepted(records), output)
     return quarantined(records)
@@ -58,17 +58,14 @@ def label_corpus(
     teacher: Teacher,
     *,
     lenient: bool = False,
-    limit: int | None = None,
+    limit: int = 0,
     run_dir: str | None = None,
     slices: int = 1,
 ) -> DataFrame:
     """Clean mails to chat examples in JSON Lines; returns the label table.
 
-    ``limit`` keeps the first mails by path, 0 keeps all. Unless given, it is 2,000 for
-    lenient runs and 0 for strict ones.
+    ``limit`` keeps the first mails by path; 0, the default, keeps all.
     """
-    if limit is None:
-        limit = LABEL_CAP if lenient else 0
     clean = cap_items(read_clean_emails(spark, clean_path), limit, "path")
     requests = lenient_requests(clean) if lenient else strict_requests(clean)
     policy = LENIENT_TEACHER if lenient else STRICT_TEACHER

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.session import spread
 
 SUBJECT = """
 case doc_id % 3 when 0 then '' when 1 then null
@@ -63,6 +62,17 @@ TONE = "case when doc_id % 2 = 0 then 'friendly' else null end"
 STYLE = "case when doc_id % 4 = 0 then 'short' else null end"
 LENGTH = "case when doc_id % 3 = 0 then 'long' else null end"
 
+# A model's reply to a request: some with a wrong label, some without their second line.
+REPLY = """
+concat(case lower(task)
+  when 'phishing' then concat('Label: ', case doc_id % 4 when 0 then 'PHISHING' when 1 then 'benign ' else 'maybe' end)
+  when 'spam' then concat('label:', case doc_id % 4 when 0 then 'spam' when 1 then ' ham' else '' end)
+  when 'categorize' then concat('category: ', case doc_id % 4 when 0 then 'finance' when 1 then 'Support' else 'Nothing' end)
+  when 'attachment' then concat('  summary: file ', cast(doc_id as string))
+  else 'free text' end,
+  case when doc_id % 3 = 0 then '' else concat(chr(10),
+    case lower(task) when 'attachment' then 'checks' else 'reason' end, ': see ', cast(doc_id as string)) end)"""
+
 MAIL_PATH = """
 concat('/mail/user', cast(doc_id % 100 as string), case doc_id % 5
   when 0 then '/_sent_mail/' when 1 then '/.archive/' when 2 then '/inbox/.'
@@ -77,7 +87,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", *columns), "doc_id")
+    return table(spark, folder, "documents").select("doc_id", *columns)
 
 
 def emails(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,6 +97,13 @@ def emails(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """``conv_id, messages``: the turns of each conversation, in their order."""
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    said = F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    return table(spark, folder, "conversations").groupBy("conv_id").agg(said.alias("messages"))
+
+
 def drafts(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, subject, body, draft``: mails with a model's reply to each."""
     return documents(spark, folder, "text", "lang", "source").selectExpr(
@@ -193,7 +210,7 @@ def raw_mails(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """``path, content``: the web pages as raw mails, with their address as plain text."""
-    pages = spread(table(spark, folder, "pages"), "page_id")
+    pages = table(spark, folder, "pages")
     no_subject = F.lit(None).cast("string")
     content = raw_mail(F.col("page_id") % MAIL_SHAPES, no_subject, F.col("url"), F.col("html"))
     return pages.select(F.col("page_id").cast("string").alias("path"), content.alias("content"))

@@ -189,14 +189,13 @@ COERCED_LABELS = f"{CLEAN}, {MARKED}, {labelled('f', SUMMARY_USER, strict, True)
 LABEL_COLUMNS = "doc_id, label, status, attempts, error"
 
 # Chat examples of the mails with a strictly valid draft.
-EXAMPLES = f"""with {DRAFTS}, dl as (select *, {content_lines('draft')} as draft_lines from d),
-v as (select * from dl where {strict('draft_lines')}), {cleaned('v')},
-x as (select doc_id, {SUMMARY_SYSTEM} as system, {SUMMARY_USER} as user_text, draft from c),
-t as (select doc_id, '<|im_start|>system' || {NL} || system || '<|im_end|>' || {NL}
-  || '<|im_start|>user' || {NL} || user_text || '<|im_end|>' || {NL} as prompt, draft from x),
-rendered as (select doc_id, prompt || '<|im_start|>assistant' || {NL} as prompt,
-  prompt || '<|im_start|>assistant' || {NL} || draft || '<|im_end|>' || {NL} as text from t),
-words as (select doc_id, string_split_regex({strip('text')}, '[{WS}]+') as w from rendered)"""
+EXAMPLES = f"""with {DRAFTS}, {cleaned('d')},
+x as (select doc_id, {SUMMARY_SYSTEM} as system, {SUMMARY_USER} as user_text, draft from c)"""
+
+CONVERSATIONS = f"""with rendered as (select conv_id, string_agg('<|im_start|>' || coalesce(role, '')
+    || {NL} || coalesce(text, '') || '<|im_end|>' || {NL}, '' order by turn, role, text) as text
+  from conversations group by conv_id),
+words as (select conv_id, string_split_regex({strip('text')}, '[{WS}]+') as w from rendered)"""
 
 REQUESTS = f"""q as (select *, {fixtures.TASK} as task, {fixtures.SUBJECT} as subject,
   {fixtures.BODY} as body,
@@ -207,6 +206,11 @@ REQUESTS = f"""q as (select *, {fixtures.TASK} as task, {fixtures.SUBJECT} as su
     else {quote(', '.join(fixed.DEFAULT_CATEGORIES))} end as categories,
   case when doc_id % 2 = 0 then 'report' || cast(doc_id as varchar) || '.pdf, a.xlsx'
     else {quote(fixed.NO_ATTACHMENTS)} end as attachments from documents)"""
+def _reply_field(names: str) -> str:
+    """What follows one of the names; a reply has only those of its own task."""
+    return f"nullif(rtrim(regexp_extract(reply, '(?im)^[ \\t]*({names})[ \\t]*:[ \\t]*([^\\r\\n]*)', 2)), '')"
+
+
 KNOWN_TASKS = ", ".join(quote(t) for t in fixed.TASKS)
 
 
@@ -344,25 +348,42 @@ ORACLE = {
         select status, attempts, count(*) as n from lab group by status, attempts""",
     "chat_examples": f"""{STRICT_LABELS} select doc_id, {SUMMARY_SYSTEM} as system,
         user_text as "user", label as assistant from lab where label is not null""",
-    "chat_render": f"{EXAMPLES} select doc_id, text from rendered",
-    "chat_render_prompt": f"{EXAMPLES} select doc_id, prompt as text from rendered",
-    "seq_cap": f"""{EXAMPLES} select doc_id, cast(len(w) as bigint) as n_tokens,
+    "chat_render": f"{CONVERSATIONS} select conv_id, text from rendered",
+    "chat_render_prompt": f"""{CONVERSATIONS} select conv_id,
+        text || '<|im_start|>assistant' || {NL} as text from rendered""",
+    "seq_cap": f"""{CONVERSATIONS} select conv_id, cast(len(w) as bigint) as n_tokens,
         array_to_string(w[1:{fixed.SEQUENCE_LIMIT}], ' ') as text from words""",
-    "length_batches": f"""{EXAMPLES},
-        s as (select count(*) as total, 16 as size from words),
-        o as (select doc_id, least(len(w), {fixed.SEQUENCE_LIMIT}) as length, row_number() over (
-          order by md5('{fixed.SEED}:' || cast(doc_id as varchar)), doc_id) - 1 as position
+    "length_batches": f"""{CONVERSATIONS},
+        o as (select conv_id, least(len(w), {fixed.SEQUENCE_LIMIT}) as length, row_number() over (
+          order by md5('{fixed.SEED}:' || cast(conv_id as varchar)), conv_id) - 1 as position
           from words),
-        g as (select o.*, size, greatest(1, least({CHUNK_BATCHES}, total // (size * 4))) as per
-          from o, s),
-        k as (select *, position // (per * size) as chunk from g),
+        k as (select *, position // ({CHUNK_BATCHES} * 16) as chunk from o),
         a as (select *, row_number() over (
           partition by chunk order by length desc, position) - 1 as nth from k)
-        select doc_id, length, position, chunk * per + nth // size as batch, nth % size as slot
-        from a""",
-    "batch_plan": f"""{EXAMPLES}, n as (select count(*) as examples from x)
+        select conv_id, length, position, chunk * {CHUNK_BATCHES} + nth // 16 as batch,
+          nth % 16 as slot from a""",
+    "batch_plan": """with n as (select count(distinct conv_id) as examples from conversations)
         select examples, (examples + 15) // 16 as steps_per_epoch,
           (examples + 15) // 16 * 2 as total_steps from n""",
+    "sample_items": f"""select doc_id from documents
+        where substring(md5('{fixed.SEED}:' || doc_id), 1, 8) < '{int(queries.SAMPLE_FRACTION * 2**32):08x}'""",
+    "multitask_mix": f"""with {REQUESTS}, m as (
+          select * exclude (task), unnest([{KNOWN_TASKS}]) as task from q)
+        select doc_id, task, {task_system()} as system,
+        {task_user("coalesce(body, '')")} as "user" from m""",
+    "task_replies": f"""with {REQUESTS}, r as (select *, {fixtures.REPLY} as reply from q),
+        f as (select doc_id, task, lower(task) as name, lower(categories) as allowed,
+          {_reply_field('label|category|summary')} as answer, {_reply_field('reason|checks')} as detail
+          from r)
+        select doc_id, task,
+          case when name in ('phishing', 'spam', 'categorize', 'attachment') then answer end as answer,
+          case when name in ('phishing', 'spam', 'categorize', 'attachment') then detail end as detail,
+          case when name in ('phishing', 'spam', 'categorize', 'attachment') then coalesce(
+            answer is not null and detail is not null and case name
+              when 'phishing' then lower(answer) in ('phishing', 'benign')
+              when 'spam' then lower(answer) in ('spam', 'ham')
+              when 'categorize' then list_contains(string_split(allowed, ', '), lower(answer))
+              else true end, false) end as valid from f""",
     "cap_items": f"{CLEAN} select doc_id, clean_text from c order by doc_id limit {queries.CAP}",
     "task_serving": f"""with {REQUESTS},
         nb as (select * exclude (body), {strip("coalesce(body, '')")} as body from q),

@@ -15,6 +15,7 @@ from postmill.functions.cleaning import (
     truncate_thread,
 )
 from postmill.functions.html import html_to_text
+from postmill.functions.replies import parse_task_reply
 from postmill.functions.prompts import (
     chat_teacher_messages,
     correction,
@@ -34,11 +35,11 @@ from postmill.operators.labelling import (
     label_requests,
     label_stats,
 )
-from postmill.operators.routing import route_requests, serve_requests
-from postmill.operators.shaping import batch_plan, cap_items, cap_sequences, length_batches
+from postmill.operators.routing import multitask_mix, route_requests, serve_requests
+from postmill.operators.shaping import batch_plan, cap_items, cap_sequences, length_batches, sample_items
 from postmill.plans import fixtures
 from postmill.plans.stub_teacher import StubClient
-from postmill.session import shared_dir, spread
+from postmill.session import shared_dir
 from postmill.sources.jsonl import (
     read_chat_examples,
     read_clean_emails,
@@ -51,6 +52,7 @@ from postmill.sources.texts import nonblank_bodies
 from postmill.streaming.incremental import start_email_stream
 
 CAP = 500
+SAMPLE_FRACTION = 0.25
 SKIP_EVERY = 11
 
 
@@ -91,7 +93,7 @@ def hard_cuts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def html(spark: SparkSession, folder: str) -> DataFrame:
-    pages = spread(fixtures.table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    pages = fixtures.table(spark, folder, "pages").select("page_id", "html")
     return pages.select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
@@ -240,8 +242,8 @@ def examples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _example_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Chat examples of the mails whose draft is valid, without a model in between."""
-    rows = clean_emails(fixtures.drafts(spark, folder)).where(is_strict_summary(F.col("draft")))
+    """Chat examples of all mails and their drafts, without a model in between."""
+    rows = clean_emails(fixtures.drafts(spark, folder))
     prompt = summary_messages(F.col("subject"), F.col("clean_text"))
     return rows.select(
         "doc_id", prompt.alias("prompt"), with_reply(prompt, F.col("draft")).alias("messages")
@@ -256,30 +258,47 @@ def chat_jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chat_render(spark: SparkSession, folder: str) -> DataFrame:
-    return _example_rows(spark, folder).select(
-        "doc_id", render_chat(F.col("messages")).alias("text")
+    return fixtures.conversations(spark, folder).select(
+        "conv_id", render_chat(F.col("messages")).alias("text")
     )
 
 
 def chat_render_prompt(spark: SparkSession, folder: str) -> DataFrame:
-    return _example_rows(spark, folder).select(
-        "doc_id", render_prompt(F.col("prompt")).alias("text")
+    return fixtures.conversations(spark, folder).select(
+        "conv_id", render_prompt(F.col("messages")).alias("text")
     )
 
 
 def seq_cap(spark: SparkSession, folder: str) -> DataFrame:
     capped = cap_sequences(chat_render(spark, folder))
-    return capped.select("doc_id", "n_tokens", F.array_join("tokens", " ").alias("text"))
+    return capped.select("conv_id", "n_tokens", F.array_join("tokens", " ").alias("text"))
 
 
 def batches(spark: SparkSession, folder: str) -> DataFrame:
     counted = cap_sequences(chat_render(spark, folder))
-    lengths = counted.select("doc_id", F.size("tokens").alias("length"))
-    return length_batches(lengths, "doc_id", "length").withColumnRenamed("id", "doc_id")
+    lengths = counted.select("conv_id", F.size("tokens").alias("length"))
+    return length_batches(lengths, "conv_id", "length").withColumnRenamed("id", "conv_id")
 
 
 def plan(spark: SparkSession, folder: str) -> DataFrame:
-    return batch_plan(_example_rows(spark, folder))
+    return batch_plan(fixtures.conversations(spark, folder))
+
+
+def sample(spark: SparkSession, folder: str) -> DataFrame:
+    documents = fixtures.table(spark, folder, "documents")
+    return sample_items(documents, SAMPLE_FRACTION, "doc_id").select("doc_id")
+
+
+def multitask(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = route_requests(multitask_mix(fixtures.requests(spark, folder)))
+    return mixed.select("doc_id", "task", *_contents(F.col("messages"), "system", "user"))
+
+
+def task_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """The fields of a made-up reply to every request."""
+    rows = fixtures.requests(spark, folder).withColumn("reply", F.expr(fixtures.REPLY))
+    parsed = parse_task_reply(F.col("task"), F.col("reply"), F.col("categories"))
+    return rows.select("doc_id", "task", parsed.alias("p")).select("doc_id", "task", "p.*")
 
 
 def cap(spark: SparkSession, folder: str) -> DataFrame:
@@ -353,6 +372,9 @@ QUERIES = {
     "length_batches": batches,
     "batch_plan": plan,
     "cap_items": cap,
+    "sample_items": sample,
+    "multitask_mix": multitask,
+    "task_replies": task_replies,
     "task_serving": task_serving,
     "stream_clean_emails": stream_clean,
 }

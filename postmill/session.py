@@ -1,4 +1,4 @@
-"""Session settings, the shared scratch folder, and scan spreading."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the jobs rely on. Speculation would ask a model twice for the same mails.
 RECOMMENDED = {
@@ -68,15 +68,3 @@ def ship_package(spark: SparkSession) -> None:
             target.write(module, module.relative_to(package.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Use every core on a scan that has fewer splits than the session has cores.
-
-    A file with one row group is read by one task, and the text work that follows
-    would stay in that task. Only such small scans are shuffled; a scan with
-    enough splits, as any large table has, is returned unchanged. Call it on a
-    plain scan: counting its partitions then only plans, it runs nothing.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postmill.operators.cleaning import accepted, clean_emails, clean_records, quarantined
 from postmill.schemas import RAW_MAIL
-from postmill.session import spread
 from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import parse_mails
 
@@ -66,6 +65,6 @@ def start_email_stream(
     """Clean mails that come as rows with ``subject`` and ``body`` into ``output``."""
 
     def write(batch: DataFrame, number: int) -> None:
-        _save(clean_emails(spread(batch, key)), output, number)
+        _save(clean_emails(batch), output, number)
 
     return _start(emails, write, checkpoint, trigger)
