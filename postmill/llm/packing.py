@@ -175,7 +175,7 @@ def pack_documents(
     prepare(documents.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_path)
+        tokenizer = WordTokenizer(tokenizer_path)  # with its store of words, for this task
         packer = Packer(window, max_open)
         sequence = TaskContext.get().partitionId() << 36
         rows: list[tuple] = []
@@ -211,7 +211,7 @@ def pack_documents(
                 for number, found in zip(ids, tokenizer.encode(block.texts), strict=True):
                     found = np.append(found, np.uint32(end_id))
                     yield from closed(packer.add(Piece(number, 0, found, len(found))))
-        tokenizer.clear()
+        del tokenizer
         yield from closed(packer.finish())
         if rows:
             yield flush()
@@ -222,12 +222,3 @@ def pack_documents(
     )
     return two.mapInArrow(pack, _PIECES).withColumnRenamed("id", id_column)
 
-
-_loaded: dict[str, WordTokenizer] = {}
-
-
-def _tokenizer(path: str) -> WordTokenizer:
-    """One for each worker process; its store of words lasts for a task."""
-    if path not in _loaded:
-        _loaded[path] = WordTokenizer(path)
-    return _loaded[path]

@@ -13,7 +13,7 @@ from functools import cache, lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 18
 _ROWS = 256  # of a batch, turned into Python strings at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -89,7 +89,7 @@ class Block:
         A polynomial in an odd base: prefix sums give each span's value times a power of the
         base, which the base's inverse removes.
         """
-        size = 1 << max(19, int(len(self.codes)).bit_length())
+        size = 1 << max(18, int(len(self.codes)).bit_length())
         sums = np.zeros(len(self.codes) + 1, np.uint64)
         terms = _values(fold)[self.codes] * _powers(int(_STEP), size)[: len(self.codes)]
         np.cumsum(terms, out=sums[1:])
@@ -147,6 +147,7 @@ def by_blocks(
                 out = work(ids, block)
                 if out is not None and out.num_rows:
                     yield out
+        pa.default_memory_pool().release_unused()
 
     return run
 
