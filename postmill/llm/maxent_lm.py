@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +33,7 @@ KINDS = 4
 ROUNDS = 2
 BATCH = 1 << 14
 RATE = 0.1
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 20
 BUCKET_WORDS = 1 << 19  # vocabulary entries that one bucket of the counting sums, about
 _SLABS = 16
 _END = mixed(np.array([0x454E44], np.uint64))[0]
@@ -70,12 +71,12 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _planes(values: np.ndarray) -> bytes:
     """Byte by byte, all first bytes before all second ones; small numbers then compress well."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1).astype(np.int64)
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,6 +119,14 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # ---------------------------------------------------------------------------------- counts
+def _by_bucket(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets that a vocabulary has words in, where each begins, and the words' order."""
+    bucket = (mixed(words) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    here, begin = np.unique(bucket[order], return_index=True)
+    return here, begin, order
+
+
 def _parts(buckets: int):
     """Each block's vocabulary, packed by hash bucket."""
 
@@ -127,9 +136,7 @@ def _parts(buckets: int):
                 words = np.frombuffer(row["words"], np.uint64)
                 classes = np.frombuffer(row["classes"], np.uint8)
                 counts = _from_planes(row["counts"])
-                bucket = (mixed(words) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                here, begin = np.unique(bucket[order], return_index=True)
+                here, begin, order = _by_bucket(words, buckets)
                 split = [np.split(x[order], begin[1:]) for x in (words, classes, counts)]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -145,7 +152,7 @@ def _parts(buckets: int):
 
 
 def _total(rows: list[dict]) -> pa.RecordBatch:
-    """Sum one bucket. Each block gets back the totals that differ from its own counts."""
+    """Sum one bucket. Each block gets back the totals of its words there, in their order."""
     words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows])
     classes = np.concatenate([np.frombuffer(r["classes"], np.uint8) for r in rows])
     counts = np.concatenate([_from_planes(r["counts"]) for r in rows]).astype(np.int64)
@@ -159,15 +166,13 @@ def _total(rows: list[dict]) -> pa.RecordBatch:
     back, begin = [], 0
     for r in rows:
         end = begin + len(r["words"]) // 8
-        whole = total[inverse[begin:end]]
-        new = whole != counts[begin:end]
-        back.append((words[begin:end][new].tobytes(), whole[new].tobytes()))
+        back.append(_planes(total[inverse[begin:end]]))
         begin = end
     return pa.RecordBatch.from_pydict(
         {
             "block": pa.array([r["block"] for r in rows] + [-1], pa.int64()),
-            "words": pa.array([w for w, _ in back] + [b""], pa.binary()),
-            "totals": pa.array([t for _, t in back] + [b""], pa.binary()),
+            "bucket": pa.array([rows[0]["bucket"]] * (len(rows) + 1), pa.int32()),
+            "totals": pa.array([*back, b""], pa.binary()),
             "stats": pa.array(
                 [None] * len(rows) + [np.concatenate(stats).tolist()], pa.list_(pa.int64())
             ),
@@ -274,7 +279,7 @@ def _round(sent, bias: np.ndarray, turn: int, rounds: int, rate: float):
                     _learn(weights, seen, bias, places[:, use], kinds[use], rate)
                     total += int(use.sum())
         if total:
-            change = ((weights - start) * total).reshape(_SLABS, -1)
+            change = (weights - start).astype(np.float16).reshape(_SLABS, -1)
             yield pa.RecordBatch.from_pydict(
                 {
                     "slab": pa.array(np.arange(_SLABS, dtype=np.int32)),
@@ -286,14 +291,15 @@ def _round(sent, bias: np.ndarray, turn: int, rounds: int, rate: float):
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of each slab's changes, row by row."""
+def _summed(batches: Iterator[pa.RecordBatch], weigh: bool) -> Iterator[pa.RecordBatch]:
+    """The sum of each slab's changes, row by row; with ``weigh``, by the tasks' tokens."""
     found: dict[tuple[int, int], list] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            value = np.frombuffer(row["change"], np.float32).astype(np.float64)
+            kind = np.float16 if weigh else np.float32
+            value = np.frombuffer(row["change"], kind).astype(np.float64)
             held = found.setdefault((row["slab"], row["part"]), [0.0, 0])
-            held[0] = held[0] + value
+            held[0] = held[0] + value * (row["tokens"] if weigh else 1)
             held[1] += row["tokens"]
     if found:
         yield pa.RecordBatch.from_pydict(
@@ -320,8 +326,8 @@ def train(table: DataFrame, bias: np.ndarray, rounds: int = ROUNDS, rate: float
         changes = table.mapInArrow(work, "slab int, change binary, tokens bigint")
         changes = changes.withColumn("part", (F.spark_partition_id() % 32).cast("int"))
         some = changes.select("slab", "part", "change", "tokens").repartition("slab", "part")
-        some = some.mapInArrow(_summed, kinds).withColumn("part", F.lit(0)).repartition("slab")
-        rows = some.mapInArrow(_summed, kinds).collect()  # the weights, of fixed size
+        some = some.mapInArrow(partial(_summed, weigh=True), kinds).withColumn("part", F.lit(0)).repartition("slab")
+        rows = some.mapInArrow(partial(_summed, weigh=False), kinds).collect()  # the weights, of fixed size
         if not rows:
             break
         step = np.zeros((_SLABS, weights.size // _SLABS))
@@ -338,7 +344,7 @@ _SCORES = (
 )
 
 
-def _scored(sent, stats: Statistics):
+def _scored(sent, stats: Statistics, buckets: int):
     tokens_all, words_all = int(stats.tokens.sum()), int(stats.words.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,10 +353,11 @@ def _scored(sent, stats: Statistics):
         for batch in batches:
             for row in batch.to_pylist():
                 words, tokens, kinds, sizes, held = _unpacked(row)
-                count = _from_planes(row["counts"]).astype(np.int64)
-                for part in row["parts"] or []:
-                    at = np.searchsorted(words, np.frombuffer(part["words"], np.uint64))
-                    count[at] = np.frombuffer(part["totals"], np.int64)
+                here, begin, order = _by_bucket(words, buckets)
+                count = np.empty(len(words), np.int64)
+                place = dict(zip(here.tolist(), np.split(order, begin[1:]), strict=True))
+                for part in row["parts"]:
+                    count[place[part["bucket"]]] = _from_planes(part["totals"])
                 classes = np.frombuffer(row["classes"], np.uint8)
                 base = np.log10((count + 0.5) / (tokens_all + 0.5 * (words_all + 1)))
                 share = np.where(count > 0, count, stats.unseen[classes]) / size[classes]
@@ -410,7 +417,7 @@ def score_documents(
     part = "bucket int, block bigint, words binary, classes binary, counts binary"
     parts = table.select("block", "words", "classes", "counts").mapInArrow(_parts(buckets), part)
     summed = parts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    total = "block bigint, words binary, totals binary, stats array<bigint>"
+    total = "block bigint, bucket int, totals binary, stats array<bigint>"
     totals = staged(summed.mapInArrow(_totals, total), "word-totals")
     sums = {
         r.pos: r.n
@@ -424,7 +431,7 @@ def score_documents(
     stats = Statistics(*values)
     weights = train(table, stats.bias, rounds, rate)
     sent = documents.sparkSession.sparkContext.broadcast(weights)
-    back = totals.where("block >= 0 and length(words) > 0").groupBy("block")
-    back = back.agg(F.collect_list(F.struct("words", "totals")).alias("parts"))
-    both = table.drop("entries", "train_tokens").join(back, "block", "left")
-    return both.mapInArrow(_scored(sent, stats), _SCORES).withColumnRenamed("id", id_column)
+    back = totals.where("block >= 0").groupBy("block")
+    back = back.agg(F.collect_list(F.struct("bucket", "totals")).alias("parts"))
+    both = table.drop("entries", "train_tokens", "counts").join(back, "block", "left")
+    return both.mapInArrow(_scored(sent, stats, buckets), _SCORES).withColumnRenamed("id", id_column)
