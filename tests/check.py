@@ -52,7 +52,7 @@ def main() -> None:
     from postmill.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark = build_session(
         master="local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
