@@ -70,13 +70,18 @@ def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Byte by byte, all first bytes before all second ones; small numbers then compress well."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """The number of bytes that the largest value needs, then byte by byte: all first bytes
+    before all second ones."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1).astype(np.int64)
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    values = np.zeros((planes.shape[1], 8), np.uint8)
+    values[:, :width] = planes.T
+    return values.view("<i8").reshape(-1)
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,10 +325,11 @@ def train(table: DataFrame, bias: np.ndarray, rounds: int = ROUNDS, rate: float
     weights = np.zeros((KINDS, SLOTS, CLASSES), np.float32)
     context = table.sparkSession.sparkContext
     kinds = "slab int, part int, change binary, tokens bigint"
+    texts = table.select("sizes", "held", "words", "classes", "tokens")
     for turn in range(rounds):
         sent = context.broadcast(weights)
         work = _round(sent, bias.astype(np.float32), turn, rounds, rate)
-        changes = table.mapInArrow(work, "slab int, change binary, tokens bigint")
+        changes = texts.mapInArrow(work, "slab int, change binary, tokens bigint")
         changes = changes.withColumn("part", (F.spark_partition_id() % 32).cast("int"))
         some = changes.select("slab", "part", "change", "tokens").repartition("slab", "part")
         some = some.mapInArrow(partial(_summed, weigh=True), kinds).withColumn("part", F.lit(0)).repartition("slab")
