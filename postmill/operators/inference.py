@@ -21,6 +21,8 @@ class Client(Protocol):
     """What a model connection must offer. It is made once per partition, on the executor.
 
     How to sample is the client's business; ``fixed_values`` has the usual settings.
+    A client may also have ``generate_batch(messages, max_new_tokens)``, lists of either in
+    and a list of replies out; it is then called instead, for ``batch_size`` requests at once.
     """
 
     def generate(self, messages: list[dict[str, str]], max_new_tokens: int | None) -> str: ...
@@ -30,6 +32,7 @@ def model_teacher(
     make_client: Callable[[], Client],
     *,
     on_error: str = "fail",
+    batch_size: int = 32,
     max_callers: int | None = None,
     pause_seconds: float = 0.0,
     pause_if: Callable[[str | None], bool] | None = None,
@@ -37,7 +40,8 @@ def model_teacher(
     """A DataFrame step that adds ``reply`` and ``error`` to chat requests.
 
     ``on_error`` is ``fail`` (a failing call ends the job) or ``skip`` (the row gets
-    the reason in ``error``). ``max_callers`` bounds how many clients call at once;
+    the reason in ``error``; the rows of a batch call that fails are asked one by one).
+    ``batch_size`` bounds a batch call. ``max_callers`` bounds how many clients call at once;
     ``pause_seconds`` is slept after each call, or after those ``pause_if`` accepts.
     Calls cost money and their replies differ, so write the result before using it
     twice, as ``label_requests`` does, and leave ``spark.speculation`` off.
@@ -49,28 +53,54 @@ def model_teacher(
         ship_package(requests.sparkSession)
         schema = StructType([*requests.schema.fields, *REPLY.fields])
 
+        def pause(replies: list[str | None]) -> None:
+            if pause_seconds and (pause_if is None or any(map(pause_if, replies))):
+                time.sleep(pause_seconds)
+
+        def together(client: Client, messages: list, budgets: list) -> list[tuple] | None:
+            """Replies of a batch call; none if the rows are to be asked one by one."""
+            if not hasattr(client, "generate_batch"):
+                return None
+            try:
+                replies = list(client.generate_batch(messages, budgets))
+                if len(replies) != len(messages):
+                    raise ValueError(f"{len(replies)} replies to {len(messages)} requests")
+            except Exception:
+                if on_error == "fail":
+                    raise
+                return None
+            pause(replies)
+            return [(reply, None) for reply in replies]
+
+        def alone(client: Client, messages: list[dict[str, str]], budget: int | None) -> tuple:
+            reply = error = None
+            try:
+                if hasattr(client, "generate"):
+                    reply = client.generate(messages, budget)
+                else:
+                    (reply,) = client.generate_batch([messages], [budget])
+            except Exception as failure:
+                if on_error == "fail":
+                    raise
+                error = f"{type(failure).__name__}: {failure}"
+            pause([reply])
+            return reply, error
+
         def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             client = None
-            for batch in batches:
+            for whole in batches:
                 client = client or make_client()
-                replies, errors = [], []
-                budgets = batch.column("max_new_tokens").to_pylist()
-                for messages, budget in zip(batch.column("messages"), budgets, strict=True):
-                    reply = error = None
-                    try:
-                        reply = client.generate(messages.as_py(), budget)
-                    except Exception as failure:
-                        if on_error == "fail":
-                            raise
-                        error = f"{type(failure).__name__}: {failure}"
-                    replies.append(reply)
-                    errors.append(error)
-                    if pause_seconds and (pause_if is None or pause_if(reply)):
-                        time.sleep(pause_seconds)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(replies, pa.string()), pa.array(errors, pa.string())],
-                    names=schema.names,
-                )
+                for start in range(0, whole.num_rows, batch_size):
+                    batch = whole.slice(start, batch_size)
+                    messages = batch.column("messages").to_pylist()
+                    budgets = batch.column("max_new_tokens").to_pylist()
+                    found = together(client, messages, budgets)
+                    if found is None:
+                        found = [alone(client, *row) for row in zip(messages, budgets, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns, *(pa.array(c, pa.string()) for c in zip(*found, strict=True))],
+                        names=schema.names,
+                    )
 
         if max_callers:
             # Not coalesce, which would run what makes the prompts in as few tasks.

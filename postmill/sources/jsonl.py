@@ -37,10 +37,14 @@ def write_clean_emails(table: DataFrame, path: str) -> int:
 def read_clean_emails(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
     """Clean mails. Blank lines are skipped; line separators inside strings survive.
 
-    ``strict`` stops at a line that is no record. Otherwise such a line becomes a row
-    with its text in ``_corrupt_record``.
+    ``strict`` stops at a line that is no record, or that has no ``clean_text``. Otherwise
+    such a line becomes a row with its text in ``_corrupt_record``, or with null.
     """
-    return _read(spark, path, CLEAN_EMAIL, strict)
+    table = _read(spark, path, CLEAN_EMAIL, strict)
+    if strict:
+        missing = F.raise_error(F.lit("a record without clean_text")).cast("string")
+        table = table.withColumn("clean_text", F.coalesce("clean_text", missing))
+    return table
 
 
 def write_chat_examples(table: DataFrame, path: str) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,9 @@ from postmill.schemas import PARSED_MAIL, RAW_MAIL
 from postmill.session import shared_dir, ship_package
 from postmill.sources.mime import parsing
 
-LISTING = "path string, is_folder boolean"
+LISTING = "path string, is_folder boolean, error string"
 LIST_CHUNK = 10_000
+FLUSH_BYTES = 16 << 20  # of file contents in one batch, about
 FILES_PER_TASK = 2_000
 
 
@@ -24,26 +26,52 @@ def is_mail_name(path: Column) -> Column:
     return ~F.startswith(F.substring_index(path, "/", -1), F.lit("."))
 
 
-def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of each folder, streamed in chunks however many there are."""
+def _readable(text: str) -> str:
+    """``text`` with the bytes that are not UTF-8 spelled out."""
+    return os.fsencode(text).decode("utf-8", "backslashreplace")
 
-    def chunk(paths: list[str], flags: list[bool]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"path": paths, "is_folder": flags})
+
+def _reason(failure: Exception) -> str:
+    return _readable(f"{type(failure).__name__}: {failure}")
+
+
+def _entries(folder: str) -> Iterator[tuple[str, bool, str | None]]:
+    """Files and folders in ``folder``; one that cannot be listed or named has its reason."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            try:
+                entry.path.encode()
+                is_folder = entry.is_dir(follow_symlinks=False)
+                if is_folder or entry.is_file():
+                    yield entry.path, is_folder, None
+            except (UnicodeEncodeError, OSError) as failure:
+                yield _readable(entry.path), False, _reason(failure)
+
+
+def _list_folders(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
+    """Entries of each folder, streamed in chunks however many there are. A folder that
+    cannot be opened ends the job if ``strict``, else it is a row with the reason."""
+
+    def chunk(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c) for c in zip(*rows, strict=True)]
+        columns[2] = columns[2].cast(pa.string())
+        return pa.RecordBatch.from_arrays(columns, ["path", "is_folder", "error"])
 
     for batch in batches:
         for folder in batch.column("path").to_pylist():
-            paths, flags = [], []
-            with os.scandir(folder) as entries:
-                for entry in entries:
-                    is_folder = entry.is_dir(follow_symlinks=False)
-                    if is_folder or entry.is_file():
-                        paths.append(entry.path)
-                        flags.append(is_folder)
-                    if len(paths) >= LIST_CHUNK:
-                        yield chunk(paths, flags)
-                        paths, flags = [], []
-            if paths:
-                yield chunk(paths, flags)
+            rows: list[tuple] = []
+            try:
+                for entry in _entries(folder):
+                    rows.append(entry)
+                    if len(rows) >= LIST_CHUNK:
+                        yield chunk(rows)
+                        rows = []
+            except OSError as failure:
+                if strict:
+                    raise
+                rows.append((folder, False, _reason(failure)))
+            if rows:
+                yield chunk(rows)
 
 
 def _local_root(root: str) -> str:
@@ -56,7 +84,10 @@ def _local_root(root: str) -> str:
 
 
 def list_mails(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of all mail files under a folder that every executor has mounted.
+    """``path`` of all mail files under a folder that every executor has mounted.
+
+    A folder below it that cannot be listed, or an entry whose name is not UTF-8, is a row
+    with the reason in ``error``, which is null for the others.
 
     Spark's own file sources skip names that start with ``_`` or ``.``, which mail
     folders such as ``_sent_mail`` have, so folders are listed by tasks: one pass per
@@ -69,7 +100,7 @@ def list_mails(spark: SparkSession, root: str) -> DataFrame:
     depth = 0
     while True:
         written = f"{target}/depth={depth}"
-        level.mapInArrow(_list_folders, LISTING).write.parquet(written)
+        level.mapInArrow(partial(_list_folders, strict=depth == 0), LISTING).write.parquet(written)
         folders = spark.read.schema(LISTING).parquet(written).where("is_folder").select("path")
         if folders.isEmpty():
             break
@@ -77,7 +108,8 @@ def list_mails(spark: SparkSession, root: str) -> DataFrame:
         level = folders.repartition(spark.sparkContext.defaultParallelism * 4, "path")
         depth += 1
     listed = spark.read.schema(LISTING).parquet(*[f"{target}/depth={d}" for d in range(depth + 1)])
-    return listed.where(~F.col("is_folder") & is_mail_name(F.col("path"))).select("path")
+    wanted = F.col("error").isNotNull() | (~F.col("is_folder") & is_mail_name(F.col("path")))
+    return listed.where(wanted).select("path", "error")
 
 
 def _spread_paths(paths: DataFrame) -> DataFrame:
@@ -85,15 +117,22 @@ def _spread_paths(paths: DataFrame) -> DataFrame:
     tasks = max(
         paths.sparkSession.sparkContext.defaultParallelism, -(-paths.count() // FILES_PER_TASK)
     )
-    return paths.select("path").repartition(tasks, "path")
+    error = F.col("error") if "error" in paths.columns else F.lit(None).cast("string")
+    return paths.select("path", error.alias("error")).repartition(tasks, "path")
 
 
-def _open(path: str) -> tuple[bytes | None, str | None]:
+def _open(path: str) -> tuple[bytes | None, float | None, str | None]:
+    """Contents, time of the last change, and why there are none."""
     try:
         with open(path, "rb") as file:
-            return file.read(), None
+            return file.read(), os.fstat(file.fileno()).st_mtime, None
     except OSError as failure:
-        return None, f"{type(failure).__name__}: {failure}"
+        return None, None, _reason(failure)
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes | None, float | None, str | None]]:
+    for path, failure in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        yield path, *(_open(path) if failure is None else (None, None, failure))
 
 
 def read_raw_mails(paths: DataFrame) -> DataFrame:
@@ -109,28 +148,34 @@ def read_raw_mails(paths: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                content, failure = _open(path)
+            rows, waiting = [], 0
+            for path, content, changed, failure in _opened(batch):
                 row = {"path": path, "content": content}
                 if failure is None:
-                    changed = datetime.fromtimestamp(os.stat(path).st_mtime, timezone.utc)
-                    row.update(modificationTime=changed, length=len(content))
-                yield pa.RecordBatch.from_pylist([row], names)
+                    row.update(modificationTime=datetime.fromtimestamp(changed, timezone.utc), length=len(content))
+                    waiting += len(content)
+                rows.append(row)
+                if waiting > FLUSH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, names)
+                    rows, waiting = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, names)
 
     ship_package(paths.sparkSession)
     return _spread_paths(paths).mapInArrow(read, RAW_MAIL)
 
 
 def read_mails(spark: SparkSession, root: str) -> DataFrame:
-    """Scan a mail folder: list, open and parse.
+    """Scan a mail folder: list, open and parse. What cannot be listed or opened is a row
+    with its reason in ``error``.
 
     Files are opened by the task that parses them, so raw bytes never travel between
     the JVM and Python.
     """
 
     def contents(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes | None, str | None]]:
-        for path in batch.column("path").to_pylist():
-            yield path, *_open(path)
+        for path, content, _, failure in _opened(batch):
+            yield path, content, failure
 
     return _spread_paths(list_mails(spark, root)).mapInArrow(parsing(contents), PARSED_MAIL)
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postmill.operators.cleaning import accepted, clean_emails, clean_records, quarantined
 from postmill.schemas import RAW_MAIL
+from postmill.session import shared_dir
 from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import parse_mails
 
@@ -48,13 +49,13 @@ def start_mail_stream(
     """Parse and clean raw mails into ``output/clean``, failures into ``output/quarantine``."""
 
     def write(batch: DataFrame, number: int) -> None:
-        # Both outputs read the cleaned records; blocks that get lost are made again.
-        records = clean_records(parse_mails(batch)).persist()
-        try:
-            _save(accepted(records), f"{output}/clean", number)
-            _save(quarantined(records), f"{output}/quarantine", number)
-        finally:
-            records.unpersist()
+        # Both outputs read the cleaned records, which are written once to the shared folder.
+        made = clean_records(parse_mails(batch))
+        staged = shared_dir(batch.sparkSession, "stream-records")
+        made.write.parquet(staged)
+        records = batch.sparkSession.read.schema(made.schema).parquet(staged)
+        _save(accepted(records), f"{output}/clean", number)
+        _save(quarantined(records), f"{output}/quarantine", number)
 
     return _start(raw, write, checkpoint, trigger)
 

@@ -3,6 +3,7 @@ import json
 import os
 from email.message import EmailMessage
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from postmill.sources.jsonl import (
     write_clean_emails,
 )
 from postmill.sources.maildir import (
+    _list_folders,
     list_mails,
     read_binary_mails,
     read_mails,
@@ -88,6 +90,32 @@ def test_listing_sees_hidden_folders_but_no_dot_files(spark, maildir):
         list_mails(spark, "s3://bucket/mail")
 
 
+def test_bad_entries_are_rows_with_a_reason(spark, tmp_path):
+    root = os.fsencode(tmp_path)
+    os.mkdir(root + b"/a")
+    for name in (b"/a/1.", b"/a/\xff."):
+        with open(root + name, "wb") as file:
+            file.write(mail("s", "body"))
+    rows = {os.path.basename(r.path): r for r in read_mails(spark, str(tmp_path)).collect()}
+    assert rows["1."].error is None and rows["1."].body.strip() == "body"
+    assert rows["\\xff."].error.startswith("UnicodeEncodeError") and rows["\\xff."].body is None
+    gone = pa.RecordBatch.from_pydict({"path": [str(tmp_path / "gone"), str(tmp_path / "a")]})
+    (first, second) = _list_folders([gone], strict=False)
+    assert first.column("error")[0].as_py().startswith("FileNotFoundError")
+    assert second.num_rows == 2
+    with pytest.raises(FileNotFoundError):
+        list(_list_folders([gone], strict=True))
+    lost = spark.createDataFrame([(str(tmp_path / "gone"),)], "path string")
+    assert read_raw_mails(lost).first().content is None
+
+
+def test_strict_reading_wants_the_clean_text(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"path": "a"}\n')
+    assert read_clean_emails(spark, str(tmp_path), strict=False).first().clean_text is None
+    with pytest.raises(Exception, match="without clean_text"):
+        read_clean_emails(spark, str(tmp_path)).collect()
+
+
 def test_mails_are_parsed(spark, maildir):
     parsed = read_mails(spark, maildir)
     rows = {
