@@ -266,8 +266,10 @@ def near_duplicates(
             break
         last = turn == HUB_ROUNDS or pairs_left <= CROSS * left + 1_000_000
         pairs = _all_cross(split) if last else _hub_pairs(split, turn)
-        edges = edges.unionByName(staged(_linked(pairs, sets, similarity), "links"))
-        classes = staged(components(edges), "classes")
+        links = staged(_linked(pairs, sets, similarity), "links")
+        # The classes so far are stars, which stand for all earlier links.
+        stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        classes = staged(components(stars.unionByName(links)), "classes")
         if last:
             break
 
