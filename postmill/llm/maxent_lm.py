@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.staging import prepare, staged
-from postmill.llm.words import _ODD, _STEP, Block, mixed, text_blocks
+from postmill.llm.words import _ODD, _STEP, Block, mixed, release, text_blocks
 
 CLASSES = 64  # with one for the end of a text
 SLOTS = 1 << 12  # hashed places of each kind of feature
@@ -121,6 +121,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, held, size, number = [], [], 0, number + 1
     if held:
         yield close()
+    release()
 
 
 # ---------------------------------------------------------------------------------- counts
@@ -292,6 +293,9 @@ def _round(sent, bias: np.ndarray, turn: int, rounds: int, rate: float):
                     "tokens": pa.array([total] * _SLABS, pa.int64()),
                 }
             )
+            del change
+        del weights, seen
+        release()
 
     return run
 

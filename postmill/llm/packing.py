@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.staging import prepare
 from postmill.llm.word_tokens import WordTokenizer
-from postmill.llm.words import text_blocks
+from postmill.llm.words import release, text_blocks
 
 WINDOW = 4096
 END_ID = 2
@@ -215,6 +215,7 @@ def pack_documents(
         yield from closed(packer.finish())
         if rows:
             yield flush()
+        release()
 
     two = documents.select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"),

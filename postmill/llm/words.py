@@ -7,6 +7,7 @@ each. Everything below works on arrays of a block, so that a task's memory depen
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import cache, lru_cache
 
@@ -101,6 +102,17 @@ class Block:
         return np.append(np.searchsorted(starts, self.starts), len(starts))
 
 
+def release() -> None:
+    """Hand freed memory back to the system: Spark keeps idle workers, which would hold it.
+
+    The C library's part is done where that is glibc.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash of each ``n`` values in a row, in their order."""
     count = max(0, len(hashes) - n + 1)
@@ -147,7 +159,7 @@ def by_blocks(
                 out = work(ids, block)
                 if out is not None and out.num_rows:
                     yield out
-        pa.default_memory_pool().release_unused()
+        release()
 
     return run
 
