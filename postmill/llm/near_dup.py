@@ -229,7 +229,7 @@ def near_duplicates(
     compared exactly or already in one class: first each member of a bucket with the
     bucket's hub, which joins the usual bucket of copies in linear work, then every pair
     whose members still are of different classes. Where these are many, members meet up to
-    ``HUB_ROUNDS`` other hubs before.
+    ``HUB_ROUNDS`` other hubs before, as long as each round halves the pairs that are left.
 
     Texts without words, null ones among them, are classes of their own. Rows without an id
     have no row in the result, and rows that repeat an id have one row each. An empty table
@@ -259,12 +259,15 @@ def near_duplicates(
     pairs = _ordered(members.join(hubs, "key").where("id != other").select("id", "other"))
     edges = staged(_linked(pairs, sets, similarity), "links")
     classes = staged(components(edges), "classes")
+    before = None
     for turn in range(HUB_ROUNDS + 1):
         split = _split_buckets(members, classes)
         left, pairs_left = split.agg(F.count("*"), F.sum("pairs")).first()
         if not left:
             break
-        last = turn == HUB_ROUNDS or pairs_left <= CROSS * left + 1_000_000
+        few = pairs_left <= CROSS * left + 1_000_000
+        last = few or turn == HUB_ROUNDS or (before is not None and pairs_left > before / 2)
+        before = pairs_left
         pairs = _all_cross(split) if last else _hub_pairs(split, turn)
         links = staged(_linked(pairs, sets, similarity), "links")
         # The classes so far are stars, which stand for all earlier links.
