@@ -3,9 +3,11 @@
 Each text gives two rows of tokens. In the literal one a token is a word in lower case; in
 the template one, numbers, units and names are typed placeholders. Windows of both are
 hashed and joined by hash with those of the benchmark items; matching windows that lie on
-one line of (place in document - place in item) form a run. A template run counts only if
-its slots are filled consistently: equal values where the item has equal ones, different
-where it has different ones.
+one line of (place in document - place in item) form a run. The slots of a template run
+must be filled consistently: equal values where the item has equal ones. Where one slot
+contradicts another, the run is parted into its longest consistent pieces, and a piece
+counts if a value that it repeats is filled equally, as a bare piece of a question whose
+filling is known to be wrong says nothing.
 """
 
 from __future__ import annotations
@@ -172,34 +174,69 @@ class Index:
             places, found = places[hit], found[hit]
             low, high = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
             text = np.searchsorted(tokens.first, places, "right") - 1
-            lines: dict[tuple, list[int]] = defaultdict(list)
+            lines: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
             for p, t, i, j in zip(places.tolist(), text.tolist(), low.tolist(), high.tolist(), strict=True):
                 for k in range(i, j):
-                    lines[t, numbers[k], p - at[k]].append(p)
-            for (t, number, shift), run in lines.items():
-                run.sort()
-                begin = run[0]
-                for here, then in zip(run, [*run[1:], None], strict=True):
-                    if then is None or then > here + size:
-                        yield from self._run(block, tokens, kind, t, number, shift, begin, here + size)
-                        begin = then
-
-    def _run(self, block, tokens, kind, t, number, shift, begin, end) -> Iterator[tuple]:
+                    lines[t, numbers[k], p - at[k]].append((p, p + size))
+            for (t, number, shift), found_at in lines.items():
+                for run in _runs(found_at):
+                    yield from self._run(block, tokens, kind, t, number, shift, run)
+
+    def _run(self, block, tokens, kind, t, number, shift, run) -> Iterator[tuple]:
         offset = int(block.starts[t])
-        a, b = int(tokens.starts[begin]) - offset, int(tokens.ends[end - 1]) - offset
+        begin, end = run[0][0], max(stop for _, stop in run)
+        pieces = [(begin, end)]
         if kind == "template":
             item = self.items[kind][number]
             text = block.texts[t]
-            pairs = []
+            slots = []
             for k in range(begin, end):
                 if item.types[k - shift] != _PLAIN:
                     mine = text[int(tokens.starts[k]) - offset : int(tokens.ends[k]) - offset]
-                    pairs.append((item.types[k - shift], item.values[k - shift], mine.lower()))
-            ahead = {(kind_, x) for kind_, x, _ in pairs}
-            back = {(kind_, y) for kind_, _, y in pairs}
-            if not len(ahead) == len(set(pairs)) == len(back):
-                return
-        yield t, self.ids[number], kind, a, b, end - begin
+                    slots.append((k, (item.types[k - shift], item.values[k - shift]), mine.lower()))
+            pieces = _consistent(slots, run, begin, end)
+        for begin, end in pieces:
+            a, b = int(tokens.starts[begin]) - offset, int(tokens.ends[end - 1]) - offset
+            yield t, self.ids[number], kind, a, b, end - begin
+
+
+def _runs(windows: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Windows that overlap or adjoin, as lists in their order."""
+    run: list[tuple[int, int]] = []
+    reach = 0
+    for window in sorted(windows):
+        if run and window[0] > reach:
+            yield run
+            run, reach = [], 0
+        run.append(window)
+        reach = max(reach, window[1])
+    if run:
+        yield run
+
+
+def _consistent(slots: list[tuple], run: list[tuple[int, int]], begin: int, end: int) -> list[tuple[int, int]]:
+    """The run, if each value of the item is filled in one way; else those of its longest
+    consistent pieces that have a whole window and fill a repeated value equally."""
+    pieces, start, first = [], begin, 0  # the piece's first token, and its first slot
+    last: dict[tuple, int] = {}  # by value of the item, the last slot with it
+    for i, (k, value, mine) in enumerate(slots):
+        j = last.get(value, -1)
+        if j >= first and slots[j][2] != mine:
+            pieces.append((start, k, first, i))
+            start, first = slots[j][0] + 1, j + 1
+        last[value] = i
+    if not pieces:
+        return [(begin, end)]
+    pieces.append((start, end, first, len(slots)))
+    kept = []
+    for start, stop, i, j in pieces:
+        inside = [w for w in run if start <= w[0] and w[1] <= stop]
+        for part in _runs(inside):
+            a, b = part[0][0], max(w[1] for w in part)
+            values = [value for k, value, _ in slots[i:j] if a <= k < b]
+            if len(set(values)) < len(values):
+                kept.append((a, b))
+    return kept
 
 
 def _best(rows: Iterator[tuple]) -> list[tuple]:

@@ -216,6 +216,35 @@ def test_inconsistent_slots_are_no_leak(spark, docs):
     assert {(r.doc_id, r.kind) for r in find_leaks(docs(rows), items).collect()} == {(1, "template")}
 
 
+SLOTTED = [
+    (1, "a slow car goes 7 km and then goes on for 120 miles until it stops at the farm"),
+    (2, "if the first box holds 12 of them and the other box holds 12 of them too then there are 5 left of the 5 that we had and all is well"),
+]
+FILLED = [
+    (1, "a slow car goes 5 miles and then goes on for 5 miles until it stops at the farm", {1}),
+    (2, "if the first box holds 30 of them and the other box holds 31 of them too then there are 9 left of the 9 that we had and all is well", {2}),
+    (3, "if the first box holds 30 of them and the other box holds 31 of them too then there are 9 left of the 8 that we had and all is well", set()),
+]
+
+
+@pytest.mark.parametrize("chars", [1 << 20, 0])
+def test_a_filling_is_a_function_and_bad_slots_part_a_run(spark, docs, chars):
+    items = spark.createDataFrame(SLOTTED, "item_id bigint, text string")
+    found = find_leaks(docs([r[:2] for r in FILLED]), items, benchmark_chars=chars).where("kind = 'template'").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, k) for i, _, want in FILLED for k in want}
+    # The piece after the first box: its two equal numbers are filled equally.
+    part = next(r for r in found if r.doc_id == 2)
+    assert FILLED[1][1][part.start : part.stop] == FILLED[1][1][FILLED[1][1].index("of them") :]
+
+
+@pytest.mark.parametrize("chars", [1 << 20, 0])
+def test_equal_numbers_that_differ_in_the_copy(spark, docs, chars):
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    rows = [(i, t) for i, t, _ in LEAKS if i in (12, 13)]
+    found = find_leaks(docs(rows), items, benchmark_chars=chars).collect()
+    assert {(r.doc_id, r.item_id, r.kind) for r in found} == {(12, 2, "template")}
+
+
 def test_language_model(docs):
     rng = random.Random(4)
     langs = [[x + w for w in WORDS[:150]] for x in "xyz"]
