@@ -1,7 +1,9 @@
 """Benchmark decontamination: copied passages, and questions with other numbers or names.
 
 Each text gives two rows of tokens. In the literal one a token is a word in lower case; in
-the template one, numbers, units and names are typed placeholders. Windows of both are
+the template one, numbers, units and names are typed placeholders. A capitalised word that
+opens a sentence may be a name or not, so templates are read both ways, and either reading
+may match. Windows of all are
 hashed and joined by hash with those of the benchmark items; matching windows that lie on
 one line of (place in document - place in item) form a run. The slots of a template run
 must be filled consistently: equal values where the item has equal ones. Where one slot
@@ -78,10 +80,10 @@ def _literal(block: Block) -> Tokens:
     return Tokens(starts, ends, hashes, np.zeros(len(starts), np.int8), block.first(starts))
 
 
-def _template(block: Block, literal: Tokens) -> Tokens:
+def _template(block: Block, literal: Tokens, opened: bool) -> Tokens:
     """Typed tokens. Digits joined by a point or comma are one number; a unit follows a
-    number; a name is a capitalised word, not the first of its sentence, with those
-    that follow it directly."""
+    number; a name is a capitalised word with those that follow it directly. The first
+    word of a sentence is one only if ``opened``."""
     starts, ends, codes = literal.starts, literal.ends, block.codes
     if not len(starts):
         return literal
@@ -92,14 +94,16 @@ def _template(block: Block, literal: Tokens) -> Tokens:
     before = np.concatenate(([0], ends[:-1]))
     opening = stops[starts] > stops[before]
     opening[0] = True
-    name = table("upper")[codes[starts]] & ~opening & ~number
+    name = table("upper")[codes[starts]] & ~number
+    if not opened:
+        name &= ~opening
     after_number = np.concatenate(([False], number[:-1])) & ~opening
     unit = after_number & _member(literal.keys, _UNITS)
     types = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, _PLAIN)))
     point = np.isin(codes[before], [ord("."), ord(",")]) & (starts - before == 1)
     same = types[1:] == types[:-1]
     joins = np.zeros(len(types), bool)
-    joins[1:] = same & (((types[1:] == _NUMBER) & point[1:]) | (types[1:] == _NAME))
+    joins[1:] = same & (((types[1:] == _NUMBER) & point[1:]) | ((types[1:] == _NAME) & ~opening[1:]))
     joins[literal.first[:-1][literal.first[:-1] < len(joins)]] = False
     head = np.flatnonzero(~joins)
     last = np.append(head[1:], len(types)) - 1
@@ -108,6 +112,16 @@ def _template(block: Block, literal: Tokens) -> Tokens:
     return Tokens(starts[head], ends[last], keys[head], types[head].astype(np.int8), first)
 
 
+def _readings(block: Block) -> dict[str, Tokens]:
+    """The tokens of each reading; both ``template`` and ``opened`` give template runs."""
+    literal = _literal(block)
+    return {
+        "exact": literal,
+        "template": _template(block, literal, False),
+        "opened": _template(block, literal, True),
+    }
+
+
 def _windows(tokens: Tokens, n: int, min_plain: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the windows within one text that have enough plain tokens."""
     hashes = windows(tokens.keys, n)
@@ -127,20 +141,19 @@ class Item(NamedTuple):
 
 
 class Index:
-    """The windows of benchmark items, by kind and length.
+    """The windows of benchmark items, by reading and length.
 
     An item that is shorter than a window is one window of its own length.
     """
 
     def __init__(self, ids: list[int], texts: list[str], n: int, min_literals: int) -> None:
         self.ids = ids
-        self.items: dict[str, list[Item]] = {"exact": [], "template": []}
+        self.items: dict[str, list[Item]] = defaultdict(list)
         held: dict[tuple[str, int], list] = defaultdict(list)
         self.n, self.min_literals = n, min_literals
         for number, text in enumerate(texts):
             block = Block([text])
-            literal = _literal(block)
-            for kind, tokens in (("exact", literal), ("template", _template(block, literal))):
+            for kind, tokens in _readings(block).items():
                 low = text.lower() if len(text.lower()) == len(text) else text
                 spans = zip(tokens.starts.tolist(), tokens.ends.tolist(), strict=True)
                 values = [low[a:b] for a, b in spans]
@@ -157,15 +170,12 @@ class Index:
 
     def least(self, kind: str, size: int) -> int:
         """Plain tokens that a window must have; a short item must have a few as well."""
-        return min(self.min_literals, size) if kind == "template" else 0
+        return min(self.min_literals, size) if kind != "exact" else 0
 
     def matches(self, block: Block) -> Iterator[tuple]:
         """(text, item, kind, start, stop, words) of the runs in the block's texts."""
-        literal = _literal(block)
-        by_kind = {"exact": literal, "template": None}
+        by_kind = _readings(block)
         for (kind, size), (hashes, numbers, at) in self.tables.items():
-            if by_kind[kind] is None:
-                by_kind[kind] = _template(block, literal)
             tokens = by_kind[kind]
             places, found = _windows(tokens, size, self.least(kind, size))
             hit = np.flatnonzero(_member(found, hashes))
@@ -186,7 +196,7 @@ class Index:
         offset = int(block.starts[t])
         begin, end = run[0][0], max(stop for _, stop in run)
         pieces = [(begin, end)]
-        if kind == "template":
+        if kind != "exact":
             item = self.items[kind][number]
             text = block.texts[t]
             slots = []
@@ -197,7 +207,7 @@ class Index:
             pieces = _consistent(slots, run, begin, end)
         for begin, end in pieces:
             a, b = int(tokens.starts[begin]) - offset, int(tokens.ends[end - 1]) - offset
-            yield t, self.ids[number], kind, a, b, end - begin
+            yield t, self.ids[number], "exact" if kind == "exact" else "template", a, b, end - begin
 
 
 def _runs(windows: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
@@ -260,12 +270,11 @@ def _hash_rows(n: int, min_literals: int, sizes: list[tuple[str, int]]):
     """(hash, id) of all windows of the wanted kinds and lengths, each once per block."""
 
     def work(ids: list[int], block: Block) -> pa.RecordBatch:
-        literal = _literal(block)
-        by_kind = {"exact": literal, "template": _template(block, literal)}
+        by_kind = _readings(block)
         hashes, owners = [], []
         for kind, size in sizes:
             tokens = by_kind[kind]
-            least = min(min_literals, size) if kind == "template" else 0
+            least = min(min_literals, size) if kind != "exact" else 0
             places, found = _windows(tokens, size, least)
             hashes.append(found)
             owners.append(np.array(ids, np.int64)[np.searchsorted(tokens.first, places, "right") - 1])
@@ -325,14 +334,13 @@ def _by_join(docs: DataFrame, items: DataFrame, window: int, min_literals: int)
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, block in text_blocks(batch):
-                literal = _literal(block)
-                for kind, tokens in (("exact", literal), ("template", _template(block, literal))):
+                for kind, tokens in _readings(block).items():
                     sizes = np.unique(np.minimum(np.diff(tokens.first), window))
                     yield pa.RecordBatch.from_pydict(
                         {"kind": [kind] * len(sizes), "size": pa.array(sizes, pa.int64())}
                     )
 
-    # At most two kinds times the lengths up to the window.
+    # At most three readings times the lengths up to the window.
     kinds = items.mapInArrow(shapes, "kind string, size bigint").where("size > 0").distinct()
     sizes = sorted((r.kind, r.size) for r in kinds.collect())
     hashed = _hash_rows(window, min_literals, sizes)

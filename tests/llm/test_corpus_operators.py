@@ -245,6 +245,20 @@ def test_equal_numbers_that_differ_in_the_copy(spark, docs, chars):
     assert {(r.doc_id, r.item_id, r.kind) for r in found} == {(12, 2, "template")}
 
 
+@pytest.mark.parametrize("chars", [1 << 20, 0])
+def test_names_that_open_sentences(spark, docs, chars):
+    text = "{} has 5 apples left. {} has 8 pears left. {} has 3 plums left. How many do they have?"
+    items = spark.createDataFrame([(1, text.format("Tom", "Sue", "Jim")), (2, "The old man met Tom in town before he went on to the farm.")], "item_id bigint, text string")
+    rows = [
+        (1, text.format("Ann", "Bob", "Eve").replace("5", "6")),
+        (2, "So " + text.format("Ann", "Bob", "Eve")),
+        (3, text.format("Ann", "Bob", "Eve").replace("has", "sold").replace("left", "out")),
+        (4, "Then the old man met Ann in town before he went on to the farm."),
+    ]
+    found = find_leaks(docs(rows), items, benchmark_chars=chars).where("kind = 'template'").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (4, 2)}
+
+
 def test_language_model(docs):
     rng = random.Random(4)
     langs = [[x + w for w in WORDS[:150]] for x in "xyz"]
