@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.staging import id_and_text, joined_with, staged
-from postmill.llm.words import Block, by_blocks, mixed, signed, table, text_blocks, windows
+from postmill.llm.words import _STEP, Block, by_blocks, mixed, signed, table, windows
 
 WINDOW = 8
 MIN_LITERALS = 5  # of a template window, tokens that are not placeholders
@@ -122,16 +122,69 @@ def _readings(block: Block) -> dict[str, Tokens]:
     }
 
 
-def _windows(tokens: Tokens, n: int, min_plain: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows within one text that have enough plain tokens."""
-    hashes = windows(tokens.keys, n)
-    if not len(hashes):
-        return np.empty(0, np.int64), hashes
-    place = np.arange(len(hashes))
+def _windows(tokens: Tokens, n: int, least: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the windows within one text that have ``least`` plain tokens, and
+    not more than ``most``."""
+    count = len(tokens.keys) - n + 1
+    if count <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    place = np.arange(count)
     text_end = tokens.first[np.searchsorted(tokens.first, place, "right").clip(max=len(tokens.first) - 1)]
-    plain = np.concatenate(([0], np.cumsum(tokens.types == _PLAIN)))
-    ok = (place + n <= text_end) & (plain[n:] - plain[:-n] >= min_plain)
-    return place[ok], hashes[ok]
+    total = np.concatenate(([0], np.cumsum(tokens.types == _PLAIN)))
+    plain = total[n:] - total[:-n]
+    ok = (place + n <= text_end) & (plain >= least)
+    if most is None:
+        return place[ok], windows(tokens.keys, n)[ok]
+    place = place[ok & (plain <= most)]
+    return place, mixed(_polynomial(tokens.keys, place, n))
+
+
+def _polynomial(keys: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """What ``windows`` mixes, at some places only."""
+    total = np.zeros(len(places), np.uint64)
+    for k in range(n):
+        total = total * _STEP + keys[places + k]
+    return total
+
+
+class Shape(NamedTuple):
+    """A kind of windows: ``sparse`` ones have few plain tokens, and any length."""
+
+    reading: str
+    size: int
+    sparse: bool
+
+
+def _found(tokens: Tokens, shape: Shape, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
+    if shape.reading == "exact":
+        return _windows(tokens, shape.size, 0)
+    if shape.sparse:
+        return _windows(tokens, shape.size, 1, min(min_literals, shape.size - 1))
+    return _windows(tokens, shape.size, min(min_literals, shape.size))
+
+
+def _item_windows(tokens: Tokens, reading: str, n: int, min_literals: int) -> set[tuple[Shape, int]]:
+    """Shapes and places of the windows of one item, which leave none of its tokens out.
+
+    An item that is shorter than ``n`` is one window. A template window that has not enough
+    plain tokens grows to the right until it has, then to the left, up to the whole item.
+    """
+    count = len(tokens.keys)
+    if reading == "exact":
+        size = min(n, count)
+        return {(Shape(reading, size, False), p) for p in range(count - size + 1)} if size else set()
+    total = np.concatenate(([0], np.cumsum(tokens.types == _PLAIN)))
+    found = set()
+    for p in range(max(1, count - n + 1) if total[-1] else 0):
+        a, b = p, min(p + n, count)
+        if total[b] - total[a] >= min(min_literals, b - a):
+            found.add((Shape(reading, b - a, False), a))
+            continue
+        b = max(b, min(count, int(np.searchsorted(total, total[a] + min_literals))))
+        if total[b] - total[a] < min_literals:
+            a = max(0, int(np.searchsorted(total, total[b] - min_literals, "right")) - 1)
+        found.add((Shape(reading, b - a, True), a))
+    return found
 
 
 class Item(NamedTuple):
@@ -141,16 +194,13 @@ class Item(NamedTuple):
 
 
 class Index:
-    """The windows of benchmark items, by reading and length.
-
-    An item that is shorter than a window is one window of its own length.
-    """
+    """The windows of benchmark items, by shape."""
 
     def __init__(self, ids: list[int], texts: list[str], n: int, min_literals: int) -> None:
         self.ids = ids
         self.items: dict[str, list[Item]] = defaultdict(list)
-        held: dict[tuple[str, int], list] = defaultdict(list)
-        self.n, self.min_literals = n, min_literals
+        held: dict[Shape, list] = defaultdict(list)
+        self.min_literals = min_literals
         for number, text in enumerate(texts):
             block = Block([text])
             for kind, tokens in _readings(block).items():
@@ -158,39 +208,37 @@ class Index:
                 spans = zip(tokens.starts.tolist(), tokens.ends.tolist(), strict=True)
                 values = [low[a:b] for a, b in spans]
                 self.items[kind].append(Item(number, values, tokens.types.tolist()))
-                size = min(n, len(tokens.keys))
-                if size:
-                    places, hashes = _windows(tokens, size, self.least(kind, size))
-                    held[kind, size] += [(h, number, p) for h, p in zip(hashes.tolist(), places.tolist(), strict=True)]
+                of_shape: dict[Shape, list[int]] = {}
+                for shape, p in _item_windows(tokens, kind, n, min_literals):
+                    of_shape.setdefault(shape, []).append(p)
+                for shape, at in of_shape.items():
+                    hashes = mixed(_polynomial(tokens.keys, np.array(at), shape.size))
+                    held[shape] += [(h, number, p) for h, p in zip(hashes.tolist(), at, strict=True)]
         self.tables = {}
         for key, rows in held.items():
             rows.sort()
             hashes = np.array([r[0] for r in rows], np.uint64)
             self.tables[key] = (hashes, [r[1] for r in rows], [r[2] for r in rows])
 
-    def least(self, kind: str, size: int) -> int:
-        """Plain tokens that a window must have; a short item must have a few as well."""
-        return min(self.min_literals, size) if kind != "exact" else 0
-
     def matches(self, block: Block) -> Iterator[tuple]:
         """(text, item, kind, start, stop, words) of the runs in the block's texts."""
         by_kind = _readings(block)
-        for (kind, size), (hashes, numbers, at) in self.tables.items():
-            tokens = by_kind[kind]
-            places, found = _windows(tokens, size, self.least(kind, size))
+        lines: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
+        for shape, (hashes, numbers, at) in self.tables.items():
+            tokens = by_kind[shape.reading]
+            places, found = _found(tokens, shape, self.min_literals)
             hit = np.flatnonzero(_member(found, hashes))
             if not len(hit):
                 continue
             places, found = places[hit], found[hit]
             low, high = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
             text = np.searchsorted(tokens.first, places, "right") - 1
-            lines: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
             for p, t, i, j in zip(places.tolist(), text.tolist(), low.tolist(), high.tolist(), strict=True):
                 for k in range(i, j):
-                    lines[t, numbers[k], p - at[k]].append((p, p + size))
-            for (t, number, shift), found_at in lines.items():
-                for run in _runs(found_at):
-                    yield from self._run(block, tokens, kind, t, number, shift, run)
+                    lines[shape.reading, t, numbers[k], p - at[k]].append((p, p + shape.size))
+        for (kind, t, number, shift), found_at in lines.items():
+            for run in _runs(found_at):
+                yield from self._run(block, by_kind[kind], kind, t, number, shift, run)
 
     def _run(self, block, tokens, kind, t, number, shift, run) -> Iterator[tuple]:
         offset = int(block.starts[t])
@@ -266,16 +314,15 @@ def _batch(ids: list[int], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in _RESULT.split(", ")])
 
 
-def _hash_rows(n: int, min_literals: int, sizes: list[tuple[str, int]]):
-    """(hash, id) of all windows of the wanted kinds and lengths, each once per block."""
+def _hash_rows(min_literals: int, shapes: list[Shape]):
+    """(hash, id) of all windows of the wanted shapes."""
 
     def work(ids: list[int], block: Block) -> pa.RecordBatch:
         by_kind = _readings(block)
         hashes, owners = [], []
-        for kind, size in sizes:
-            tokens = by_kind[kind]
-            least = min(min_literals, size) if kind != "exact" else 0
-            places, found = _windows(tokens, size, least)
+        for shape in shapes:
+            tokens = by_kind[shape.reading]
+            places, found = _found(tokens, shape, min_literals)
             hashes.append(found)
             owners.append(np.array(ids, np.int64)[np.searchsorted(tokens.first, places, "right") - 1])
         return pa.RecordBatch.from_arrays(
@@ -301,7 +348,9 @@ def find_leaks(
     ``kind`` is ``exact`` or ``template``; ``start`` and ``stop`` are code points of the
     document, ``words`` the run's tokens. A run has ``window`` tokens at least, or all
     tokens of a shorter item; each window of a template run has ``min_literals`` tokens
-    that are not placeholders (all of them, in a shorter window).
+    that are not placeholders. A stretch of an item where ``window`` tokens have fewer of
+    them must match over as many more tokens as it takes, at most over the whole item. An
+    item that has only placeholders has no template.
 
     Null and empty texts and items, and rows without an id, match nothing; repeated rows give
     repeated results, repeated items one. Empty tables give an empty result. Only the named
@@ -333,17 +382,19 @@ def _by_join(docs: DataFrame, items: DataFrame, window: int, min_literals: int)
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, block in text_blocks(batch):
-                for kind, tokens in _readings(block).items():
-                    sizes = np.unique(np.minimum(np.diff(tokens.first), window))
-                    yield pa.RecordBatch.from_pydict(
-                        {"kind": [kind] * len(sizes), "size": pa.array(sizes, pa.int64())}
-                    )
-
-    # At most three readings times the lengths up to the window.
-    kinds = items.mapInArrow(shapes, "kind string, size bigint").where("size > 0").distinct()
-    sizes = sorted((r.kind, r.size) for r in kinds.collect())
-    hashed = _hash_rows(window, min_literals, sizes)
+            for text in batch.column(1).to_pylist():
+                found = set()
+                for reading, tokens in _readings(Block([text])).items():
+                    found |= {shape for shape, _ in _item_windows(tokens, reading, window, min_literals)}
+                columns = list(zip(*sorted(found), strict=True)) or [[], [], []]
+                kinds = [pa.string(), pa.int64(), pa.bool_()]
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, list(Shape._fields))
+
+    # At most three readings times the lengths up to that of the longest stretch of slots.
+    kinds = items.mapInArrow(shapes, "reading string, size bigint, sparse boolean").distinct()
+    wanted_shapes = sorted(Shape(*r) for r in kinds.collect())
+    hashed = _hash_rows(min_literals, wanted_shapes)
     of_items = items.mapInArrow(hashed, "hash bigint, id bigint").distinct()
     of_docs = docs.mapInArrow(hashed, "hash bigint, id bigint")
     wanted = of_items.withColumnRenamed("id", "item")

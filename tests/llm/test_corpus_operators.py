@@ -259,6 +259,26 @@ def test_names_that_open_sentences(spark, docs, chars):
     assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (4, 2)}
 
 
+@pytest.mark.parametrize("chars", [1 << 20, 0])
+def test_questions_of_many_numbers(spark, docs, chars):
+    items = [
+        (1, "Compute 12 + 30 + 45 + 7 and divide by 3"),
+        (2, "What is 7 times 8"),
+        (3, "Add up the numbers that are on this list: 1 2 3 4 5 6 7 8 9 10 11 12"),
+        (4, "1 2 3 4 5 6"),
+    ]
+    rows = [
+        (1, "so compute 1 + 2 + 3 + 4 and divide by 5 and so on"),
+        (2, "tell me what is 33 times 44, please"),
+        (3, "on this list: 2 3 4 5 6 7 8 9 10 11 12 13"),
+        (4, "compute 1 + 2 + 3 + 4 or 9 9 9 9 9 9 9 9"),
+    ]
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    found = find_leaks(docs(rows), items, benchmark_chars=chars).where("kind = 'template'").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2)}
+    assert {rows[r.doc_id - 1][1][r.start : r.stop] for r in found} == {"compute 1 + 2 + 3 + 4 and divide by 5", "what is 33 times 44"}
+
+
 def test_language_model(docs):
     rng = random.Random(4)
     langs = [[x + w for w in WORDS[:150]] for x in "xyz"]
