@@ -27,7 +27,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines, ``n_chars`` counted anew. One that has lost lines
     and has no word left goes: others hold all that it said."""
-    found = dedup_lines(docs, dropped_column="__pm_dropped")
+    found = dedup_lines(docs, min_words=1, dropped_column="__pm_dropped")
     changed = F.col("__pm_dropped").isNotNull()
     found = found.where(~changed | F.col("text").rlike(r"[\p{L}\p{N}]"))
     if "n_chars" in docs.columns:

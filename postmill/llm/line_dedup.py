@@ -1,6 +1,7 @@
 """Line dedup: equal lines and lines within one word edit, by a deletion-neighbourhood join.
 
-A line is its words (runs of letters and digits, in lower case). Two lines are within one
+A line is its words: runs of letters and digits, in lower case, and in scripts that put no
+blanks between words every letter, mark and digit by itself. Two lines are within one
 edit when deleting a word from both at the same place, or from one of them, gives the same
 variant. So every line gives its variants as hashed keys with the place of the deletion,
 equal keys meet, the earliest line of a key is the partner of the others, and the words of
@@ -9,7 +10,9 @@ both are compared again. A line goes when an earlier one equals it or is within
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -19,12 +22,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 from postmill.llm.staging import id_and_text, joined_with, staged
-from postmill.llm.words import _ODD, _STEP, _STEP_INVERSE, Block, _powers, binary, by_blocks, mixed, signed
+from postmill.llm.words import (
+    _ODD, _STEP, _STEP_INVERSE, Block, _powers, binary, by_blocks, mixed, signed, table,
+)
 
 MIN_WORDS = 3
 EDIT_WORDS = 8
 BROADCAST_LINES = 1_000_000  # line numbers, of 4 bytes each
 
+# Code points of scripts without blanks between words (Thai, Lao, Myanmar,
+# Khmer, Kana, Bopomofo, Han).
+UNSPACED = (
+    (0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F),
+    (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+@cache
+def _unspaced() -> np.ndarray:
+    """By code point: a letter, mark or digit of a script without blanks."""
+    found = np.zeros(0x110000, bool)
+    for a, b in UNSPACED:
+        found[a : b + 1] = [unicodedata.category(chr(c))[0] in "LMN" for c in range(a, b + 1)]
+    return found
+
+
+def _words(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a block."""
+    single = np.zeros(len(block.codes) + 2, bool)
+    single[1:-1] = _unspaced()[block.codes]
+    inside = single.copy()
+    inside[1:-1] |= table("word")[block.codes]
+    parts = single[1:] | single[:-1] | (inside[1:] != inside[:-1])  # between two code points
+    return np.flatnonzero(inside[1:-1] & parts[:-1]), np.flatnonzero(inside[1:-1] & parts[1:]) + 1
+
 
 class _Sums:
     """Hashes of any run of words of a block in constant time."""
@@ -51,7 +83,7 @@ def _line_rows(min_words: int, edit_words: int):
 
     def rows(ids: list[int], block: Block) -> pa.RecordBatch:
         feeds = np.flatnonzero(block.codes == 10)
-        starts, ends = block.words()
+        starts, ends = _words(block)
         line = np.searchsorted(feeds, starts)
         cut = np.flatnonzero(np.diff(line, prepend=-1))
         a, b = cut, np.append(cut[1:], len(line))
@@ -94,7 +126,7 @@ def _line_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = batch.column(2)[i].as_py()
             texts = batch.column(1)[i].as_py().split("\n")
             block = Block([texts[k] for k in lines])
-            starts, ends = block.words()
+            starts, ends = _words(block)
             hashes, first = block.hashes(starts, ends), block.first(starts)
             parts = [hashes[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
             columns = [
@@ -144,8 +176,9 @@ def _within_one(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([near(x, y) for x, y in zip(left, right, strict=True)], dtype=bool)
 
 
-def _edited(docs: DataFrame, distinct: DataFrame, bound: int) -> DataFrame:
-    """Distinct lines that have an earlier one within one word edit: (id, line, to_id, to_line)."""
+def _edited(docs: DataFrame, distinct: DataFrame, edit_words: int, bound: int) -> DataFrame:
+    """Distinct lines of ``edit_words`` words at least that have an earlier one within one word
+    edit: (id, line, to_id, to_line)."""
     # Lines within one edit share their first or their last half, or one of a line a word
     # shorter. Only lines that share such a key can have a partner, so only these are expanded.
     halves = distinct.select(F.explode(F.array_distinct("halves")).alias("half"), "id", "line")
@@ -179,8 +212,10 @@ def _edited(docs: DataFrame, distinct: DataFrame, bound: int) -> DataFrame:
         .where("best is not null")
     )
     own = F.struct("id", "line")
+    long = words.where(F.length("words") >= 8 * edit_words)  # a hash of 8 bytes for each word
     partners = (
-        variants.join(met, ["key", "place"])
+        long.mapInArrow(_variants, "key bigint, place int, id bigint, line int")
+        .join(met, ["key", "place"])
         .where(F.col("best") < own)
         .groupBy("id", "line")
         .agg(F.min("best").alias("best"))
@@ -215,7 +250,7 @@ def dropped_lines(
     first = lines.groupBy("hash").agg(F.min(F.struct("id", "line", "halves")).alias("first"))
     kept = distinct = staged(first.select("first.*"), "distinct-lines")
     if edit_bound:
-        edited = _edited(docs, distinct, broadcast_lines)
+        edited = _edited(docs, distinct, edit_words, broadcast_lines)
         kept = distinct.join(edited, ["id", "line"], "left_anti")
     gone = lines.select("id", "line").join(kept.select("id", "line"), ["id", "line"], "left_anti")
     return gone.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
@@ -245,7 +280,7 @@ def dedup_lines(
     Lines end at line feeds. A line goes when a line of an earlier document, or an earlier
     one of its own, equals it, or has at least ``edit_words`` words and is within
     ``edit_bound`` word edits (0 or 1) of it; earlier means a smaller (id, line). Lines of
-    fewer than ``min_words`` words stay. The earliest of a chain always stays.
+    fewer than ``min_words`` words stay, and those without a letter or digit. The earliest of a chain always stays.
 
     Rows without an id are returned as they are; rows that repeat an id share one verdict;
     null and empty texts stay. ``dropped_column`` is null where nothing went; a column of

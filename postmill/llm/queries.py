@@ -51,7 +51,7 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    found = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), min_words=1)
     count = F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("bigint")
     return found.select("doc_id", F.greatest(count, F.lit(0)).alias("n_dropped"), "text")
 

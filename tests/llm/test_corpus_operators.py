@@ -115,6 +115,21 @@ def test_repeated_rows_share_their_lines_verdict(docs):
     assert sorted((r.doc_id, r.text) for r in found) == [(5, line), (5, line), (6, "")]
 
 
+def test_lines_of_scripts_without_blanks(docs):
+    same, thai = "本网站使用缓存", "สวัสดีครับ"
+    rows = [(1, same + "。"), (2, same), (3, "本网站使用图片"), (4, thai), (5, thai + "!"), (6, "สวสดคีรบั"), (7, "我們今天早上去了學校 2 次"), (8, "我們今天晚上去了學校 2 次")]
+    found = dedup_lines(docs(rows)).where("dropped_lines is not null")
+    assert sorted(r.doc_id for r in found.collect()) == [2, 5, 8]
+
+
+def test_the_query_compares_lines_of_one_and_two_words(spark, tmp_path):
+    from postmill.llm.queries import line_dedup
+
+    rows = [(1, "Les.\nRead more\n***"), (2, "les\nread MORE!\nRead less\n***")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.text for r in line_dedup(spark, str(tmp_path)).collect()} == {1: rows[0][1], 2: "Read less\n***"}
+
+
 def shingles(t):
     words = "".join(c.lower() if c.isalnum() else " " for c in t or "").split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
