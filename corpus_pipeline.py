@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm.decontaminate import drop_leaks
-from postmill.llm.line_dedup import dedup_lines
+from postmill.llm.line_dedup import EDIT_WORDS, dedup_lines
 from postmill.llm.near_dup import drop_near_duplicates
 from postmill.llm.ordinal_quality import keep_good
 from postmill.llm.packing import pack_documents
@@ -27,7 +27,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines, ``n_chars`` counted anew. One that has lost lines
     and has no word left goes: others hold all that it said."""
-    found = dedup_lines(docs, min_words=1, dropped_column="__pm_dropped")
+    found = dedup_lines(
+        docs, min_words=1, dropped_column="__pm_dropped", partner_words=EDIT_WORDS - 1
+    )
     changed = F.col("__pm_dropped").isNotNull()
     found = found.where(~changed | F.col("text").rlike(r"[\p{L}\p{N}]"))
     if "n_chars" in docs.columns:

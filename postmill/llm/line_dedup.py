@@ -78,7 +78,7 @@ def _closed(total: np.ndarray, length: np.ndarray | int) -> np.ndarray:
     return mixed(total + np.asarray(length).astype(np.uint64) * _ODD)
 
 
-def _line_rows(min_words: int, edit_words: int):
+def _line_rows(min_words: int, partner_words: int):
     """(id, line, words, hash, halves) of the judged lines of a block."""
 
     def rows(ids: list[int], block: Block) -> pa.RecordBatch:
@@ -96,7 +96,7 @@ def _line_rows(min_words: int, edit_words: int):
         number = line - np.searchsorted(feeds, block.starts)[text]
         sums = _Sums(block.hashes(starts, ends))
         n = b - a
-        near = np.flatnonzero(n >= edit_words)
+        near = np.flatnonzero(n >= partner_words)
         keys = []
         for short in (0, 1):  # halves of this length, and of lines one word shorter
             left = (n[near] - short) // 2
@@ -105,7 +105,7 @@ def _line_rows(min_words: int, edit_words: int):
             keys.append(sums.hashes(b[near] - right, b[near]) + np.uint64(1))
         halves = np.stack(keys, axis=1).view(np.int64) if len(near) else np.empty((0, 4), np.int64)
         offsets = np.zeros(len(a) + 1, np.int32)
-        offsets[1:] = np.cumsum(np.where(n >= edit_words, 4, 0))
+        offsets[1:] = np.cumsum(np.where(n >= partner_words, 4, 0))
         listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(halves.reshape(-1)))
         columns = [
             pa.array(np.array(ids, np.int64)[text]),
@@ -240,13 +240,14 @@ def dropped_lines(
     edit_words: int = EDIT_WORDS,
     edit_bound: int = 1,
     broadcast_lines: int = BROADCAST_LINES,
+    partner_words: int | None = None,
 ) -> DataFrame:
     """(id, lines): for each document that loses lines, their numbers, from 0, ascending."""
     if edit_bound not in (0, 1):
         raise ValueError("edit_bound must be 0 or 1")
     docs = id_and_text(documents, id_column, text_column)
     kinds = "id bigint, line int, n int, hash bigint, halves array<bigint>"
-    lines = staged(docs.mapInArrow(_line_rows(min_words, edit_words), kinds), "lines")
+    lines = staged(docs.mapInArrow(_line_rows(min_words, edit_words if partner_words is None else partner_words), kinds), "lines")
     first = lines.groupBy("hash").agg(F.min(F.struct("id", "line", "halves")).alias("first"))
     kept = distinct = staged(first.select("first.*"), "distinct-lines")
     if edit_bound:
@@ -274,12 +275,14 @@ def dedup_lines(
     edit_bound: int = 1,
     broadcast_lines: int = BROADCAST_LINES,
     dropped_column: str = "dropped_lines",
+    partner_words: int | None = None,
 ) -> DataFrame:
     """``documents`` with repeated lines taken out, and the numbers of these in a new column.
 
     Lines end at line feeds. A line goes when a line of an earlier document, or an earlier
     one of its own, equals it, or has at least ``edit_words`` words and is within
-    ``edit_bound`` word edits (0 or 1) of it; earlier means a smaller (id, line). Lines of
+    ``edit_bound`` word edits (0 or 1) of it. The earlier line of an edit has
+    ``partner_words`` words at least, by default ``edit_words``; one less finds all. Earlier means a smaller (id, line). Lines of
     fewer than ``min_words`` words stay, and those without a letter or digit. The earliest of a chain always stays.
 
     Rows without an id are returned as they are; rows that repeat an id share one verdict;
@@ -292,7 +295,7 @@ def dedup_lines(
     """
     gone = staged(
         dropped_lines(
-            documents, id_column, text_column, min_words, edit_words, edit_bound, broadcast_lines
+            documents, id_column, text_column, min_words, edit_words, edit_bound, broadcast_lines, partner_words
         ),
         "dropped-lines",
     ).select(F.col("id").alias("__pm_id"), F.col("lines").alias("__pm_lines"))

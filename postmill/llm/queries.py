@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm.decontaminate import find_leaks
-from postmill.llm.line_dedup import dedup_lines
+from postmill.llm.line_dedup import EDIT_WORDS, dedup_lines
 from postmill.llm.maxent_lm import score_documents
 from postmill.llm.metric_join import link_vectors
 from postmill.llm.near_dup import near_duplicates
@@ -51,7 +51,7 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), min_words=1)
+    found = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), min_words=1, partner_words=EDIT_WORDS - 1)
     count = F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("bigint")
     return found.select("doc_id", F.greatest(count, F.lit(0)).alias("n_dropped"), "text")
 

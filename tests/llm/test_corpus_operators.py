@@ -130,6 +130,13 @@ def test_the_query_compares_lines_of_one_and_two_words(spark, tmp_path):
     assert {r.doc_id: r.text for r in line_dedup(spark, str(tmp_path)).collect()} == {1: rows[0][1], 2: "Read less\n***"}
 
 
+def test_a_line_that_is_an_earlier_line_and_one_word_more(docs):
+    seven = " ".join(WORDS[:7])
+    rows = [(1, seven), (2, seven + " more"), (3, " ".join(WORDS[:6]) + " other"), (4, " ".join([*WORDS[20:28]])), (5, " ".join(WORDS[20:27]))]
+    found = dedup_lines(docs(rows), partner_words=7).where("dropped_lines is not null")
+    assert [r.doc_id for r in found.collect()] == [2]
+
+
 def shingles(t):
     words = "".join(c.lower() if c.isalnum() else " " for c in t or "").split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
