@@ -167,7 +167,7 @@ def _total(rows: list[dict]) -> pa.RecordBatch:
     kinds = classes[at]
     stats = [
         np.bincount(kinds, weight, CLASSES).astype(np.int64)
-        for weight in (total > 0, total, total == 1)
+        for weight in (total > 0, total, total == 1, total == 2)
     ]
     back, begin = [], 0
     for r in rows:
@@ -200,17 +200,25 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Statistics(NamedTuple):
-    """By class: distinct words, tokens and words seen once, in training documents."""
+    """By class: distinct words, tokens, and words seen once and twice, in training documents."""
 
     words: np.ndarray
     tokens: np.ndarray
     once: np.ndarray
+    twice: np.ndarray | int = 0
 
     @property
     def unseen(self) -> np.ndarray:
         """Mass kept in each class for words that training has not seen."""
         return self.once + 0.5
 
+    @property
+    def unseen_words(self) -> np.ndarray:
+        """How many words share that mass: Chao's estimate of the words not seen, and so many
+        at least that none is likelier than a word seen once."""
+        once = self.once.astype(float)
+        return np.maximum(self.unseen, once * (once - 1) / (2 * (self.twice + 1.0)))
+
     @property
     def bias(self) -> np.ndarray:
         return np.log((self.tokens + self.unseen) / (self.tokens + self.unseen).sum())
@@ -370,7 +378,7 @@ def _scored(sent, stats: Statistics, buckets: int):
                     count[place[part["bucket"]]] = _from_planes(part["totals"])
                 classes = np.frombuffer(row["classes"], np.uint8)
                 base = np.log10((count + 0.5) / (tokens_all + 0.5 * (words_all + 1)))
-                share = np.where(count > 0, count, stats.unseen[classes]) / size[classes]
+                share = np.where(count > 0, count, (stats.unseen / stats.unseen_words)[classes]) / size[classes]
                 own = np.log10(share)[tokens]
                 places = _features(words[tokens], kinds, sizes)
                 for a in range(0, len(kinds), BATCH):
@@ -406,7 +414,8 @@ def score_documents(
     text with null counts as empty and has the end alone. Documents that ``held_out`` names
     are scored only; all others are also learnt from. ``base_score`` is the smoothed
     unigram log10 probability of the text, ``score`` the model's. A word that training has
-    not seen is its class's one unseen word, with the mass that words seen once have there.
+    not seen is one of its class's unseen words, which share the mass that words seen once
+    have there; their number is estimated from the words seen once and twice.
 
     A null id is no held-out one, and repeated rows count as often as they occur. Words are
     known by a 64-bit hash. Only the two named columns are read; an empty table gives an
@@ -435,9 +444,9 @@ def score_documents(
         .select(F.posexplode("stats").alias("pos", "n"))
         .groupBy("pos")
         .agg(F.sum("n").alias("n"))
-        .collect()  # three numbers for each class
+        .collect()  # four numbers for each class
     }
-    values = np.array([sums.get(i, 0) for i in range(3 * CLASSES)], np.int64).reshape(3, CLASSES)
+    values = np.array([sums.get(i, 0) for i in range(4 * CLASSES)], np.int64).reshape(4, CLASSES)
     stats = Statistics(*values)
     weights = train(table, stats.bias, rounds, rate)
     sent = documents.sparkSession.sparkContext.broadcast(weights)

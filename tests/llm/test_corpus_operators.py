@@ -332,6 +332,18 @@ def test_language_model(docs):
     assert score_documents(docs(rows).limit(0)).count() == 0
 
 
+def test_unknown_words_share_the_unseen_mass(docs):
+    from postmill.llm.maxent_lm import held_out
+
+    learnt = [i for i in range(400) if not held_out(i)][:200]
+    out = [i for i in range(1000, 2000) if held_out(i)][:2]
+    rows = [(i, f"ab{i}x ab{i}y ab{i}z") for i in learnt]
+    rows += [(out[0], " ".join(f"ab{i}y" for i in learnt[:50])), (out[1], " ".join(f"ab{i}unknown" for i in range(50)))]
+    found = {r.doc_id: r for r in score_documents(docs(rows)).collect()}
+    known, unknown = (found[i] for i in out)
+    assert (known.n_known, unknown.n_known) == (51, 1) and unknown.score < known.score
+
+
 def test_model_is_a_distribution():
     from postmill.llm.maxent_lm import CLASSES, KINDS, SLOTS, Statistics, _predicted
 
