@@ -32,7 +32,7 @@ KINDS = ("assign", "access", "hex", "crf")
 ASSIGN_LENGTH = 6
 
 SAMPLE_LINES = 2000  # lines with a base secret, and as many without, to train on
-SAMPLE_TOKENS = 200  # of a training line: those around its secret, or its first ones
+SAMPLE_TOKENS = 200  # of a training line: those around its secret, or around a place by hash
 GRADIENT_STEPS = 150
 _OUT, _BEGIN, _IN = 0, 1, 2
 _HASHED = 1 << 12
@@ -255,7 +255,7 @@ def fit(lines: list[tuple[str, list[tuple[int, int]]]], steps: int = GRADIENT_ST
             tags[inside] = _IN
             tags[inside[:1]] = _BEGIN
         if len(tags):
-            middle = int(np.flatnonzero(tags)[0]) if tags.any() else 0
+            middle = int(np.flatnonzero(tags)[0]) if tags.any() else _order(text) % len(tags)
             begin = max(0, min(middle - SAMPLE_TOKENS // 2, len(tags) - SAMPLE_TOKENS))
             rows.append((tokens.features[begin : begin + SAMPLE_TOKENS], tags[begin : begin + SAMPLE_TOKENS]))
     if not any(tags.any() for _, tags in rows):
@@ -307,29 +307,31 @@ def fit_doubting(lines: list[tuple[str, list[tuple[int, int]]]]) -> Model:
 
 # ---------------------------------------------------------------------------------- scan
 def _sampler(limit: int):
-    """Of each task, the ``limit`` lines with base secrets that come first by hash, and of
-    the texts' first lines without one as many."""
+    """Of each task, the ``limit`` lines with base secrets that come first by hash, and as
+    many of those without one, of all lines of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[dict[int, str], dict[int, str]] = ({}, {})
 
+        bound = [1 << 63, 1 << 63]  # ranks from here on are not among the first
+
         def put(secret: bool, line: str) -> None:
-            own = held[secret]
-            own[_order(line)] = _around(line)
+            own, rank = held[secret], _order(line)
+            if rank >= bound[secret]:
+                return
+            own[rank] = _around(line)
             if len(own) > 2 * limit:
-                for rank in sorted(own)[limit:]:
+                ranks = sorted(own)
+                bound[secret] = ranks[limit]
+                for rank in ranks[limit:]:
                     del own[rank]
 
         for batch in batches:
             for text in map(str, batch.column(0)):
                 secret = bool(base_spans(text))
-                first = True
-                for line in text.split("\n") if secret else text.split("\n", 1)[:1]:
-                    if secret and base_spans(line):
-                        put(True, line)
-                    elif first and line:
-                        put(False, line)
-                        first = False
+                for line in text.split("\n"):
+                    if line:
+                        put(secret and bool(base_spans(line)), line)
         for secret in (True, False):
             ranks = sorted(held[secret])[:limit]
             yield pa.RecordBatch.from_pydict(
@@ -350,7 +352,7 @@ def _order(line: str) -> int:
 
 def _around(line: str, reach: int = 2000) -> str:
     spans = base_spans(line)
-    middle = spans[0][0] if spans else 0
+    middle = spans[0][0] if spans else _order(line) % max(len(line), 1)
     return line[max(0, middle - reach) : middle + reach] if len(line) > 2 * reach else line
 
 
@@ -366,8 +368,8 @@ def _values_of(line: str) -> list[tuple[int, int]]:
 def train_model(
     documents: DataFrame, text_column: str = "text", sample_lines: int = SAMPLE_LINES
 ) -> Model:
-    """Fit on ``sample_lines`` lines with a base secret and as many without, the first ones
-    by a hash of the line: a bounded sample, the same for the same table however it is
+    """Fit on ``sample_lines`` lines with a base secret and as many without, of all lines the
+    first ones by a hash of the line: a bounded sample, the same for the same table however it is
     partitioned. Equal lines count once."""
     prepare(documents.sparkSession)
     texts = documents.select(F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))

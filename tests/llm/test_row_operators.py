@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -213,6 +214,23 @@ def test_secrets(spark):
     assert scan_secrets(frame.limit(0)).count() == 0
 
 
+def test_lines_without_a_secret_come_from_whole_texts():
+    texts = ["same header\n" + "\n".join(f"body line {i} {k}" for k in range(5)) for i in range(4)]
+    texts += ["same header\npassword=abcdefgh1\nafter it\n\n"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+
+    def lines(limit, secret):
+        found = list(secret_crf._sampler(limit)(iter([batch])))
+        return [x for b in found for x, s in zip(b["line"].to_pylist(), b["secret"].to_pylist()) if s == secret]
+
+    every = {x for t in texts for x in t.split("\n") if x and "password" not in x}
+    assert set(lines(100, False)) == every and lines(100, True) == ["password=abcdefgh1"]
+    assert lines(3, False) == sorted(every, key=secret_crf._order)[:3]
+    assert lines(10, False) == sorted(every, key=secret_crf._order)[:10]
+    long = " ".join(f"word{i}" for i in range(3000))
+    assert not long.startswith(secret_crf._around(long)) and secret_crf._around(long) in long
+
+
 def test_revisits(spark):
     random.seed(5)
     start = datetime(2024, 1, 1)
