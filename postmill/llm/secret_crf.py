@@ -163,20 +163,28 @@ class Model(NamedTuple):
     weights: np.ndarray  # by feature and tag
     moves: np.ndarray  # from tag, to tag
 
-    def spans(self, block: Block) -> list[list[tuple[int, int]]]:
-        """For each text, the spans that the most likely tags of its lines name."""
+    def spans(
+        self, block: Block, taken: list[list[tuple[int, int, int]]] | None = None
+    ) -> list[list[tuple[int, int]]]:
+        """For each text, the spans that the most likely tags of its lines name. Tokens that
+        touch a ``taken`` span (start, kind, end) are cut out of them."""
         tokens = _tokens(block)
         found: list[list[tuple[int, int]]] = [[] for _ in block.texts]
         if not len(tokens.starts):
             return found
         tags = viterbi(self._scores(tokens.features), tokens.line, self.moves)
-        begin = np.flatnonzero(tags == _BEGIN)
+        inside = tags != _OUT
+        if taken is not None:
+            inside &= ~_touched(block, tokens, taken)
+        runs_on = np.zeros(len(tags), bool)  # the token goes on with the span of the one before
+        runs_on[1:] = inside[:-1] & (tags[1:] == _IN) & (tokens.line[1:] == tokens.line[:-1])
+        begin = np.flatnonzero(inside & ~runs_on)
         if not len(begin):
             return found
         text = np.searchsorted(block.ends, tokens.starts[begin])
         for k, t in zip(begin.tolist(), text.tolist(), strict=True):
             last = k
-            while last + 1 < len(tags) and tags[last + 1] == _IN and tokens.line[last + 1] == tokens.line[k]:
+            while last + 1 < len(tags) and inside[last + 1] and runs_on[last + 1]:
                 last += 1
             offset = int(block.starts[t])
             found[t].append((int(tokens.starts[k]) - offset, int(tokens.ends[last]) - offset))
@@ -189,6 +197,17 @@ class Model(NamedTuple):
         return total
 
 
+def _touched(block: Block, tokens: Tokens, taken: list[list[tuple[int, int, int]]]) -> np.ndarray:
+    """Whether a token shares a code point with a taken span."""
+    depth = np.zeros(len(block.codes) + 1, np.int32)
+    for offset, spans in zip(block.starts.tolist(), taken, strict=True):
+        for a, _, b in spans:
+            depth[offset + a] += 1
+            depth[offset + b] -= 1
+    covered = _sums(np.cumsum(depth[:-1]) > 0)
+    return covered[tokens.ends] > covered[tokens.starts]
+
+
 def viterbi(scores: np.ndarray, line: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """The best tags of each line, all lines of a block step by step together."""
     cut = np.flatnonzero(np.diff(line, prepend=-1))
@@ -391,7 +410,7 @@ def scan_secrets(
     """(id, spans: array of (kind, start, stop)) of every row; places are code points.
 
     Kinds ``assign``, ``access`` and ``hex`` come from the fixed patterns. Spans of kind
-    ``crf`` are what the field finds beside them: those that overlap no span of the others.
+    ``crf`` are what the field finds beside them, without the tokens that touch one of them.
     Spans are sorted by start, then by kind as listed. ``model`` is trained on the table
     itself by default. A field finds a secret's value, not the name it is assigned to.
 
@@ -405,12 +424,9 @@ def scan_secrets(
 
     def work(ids: list, block: Block) -> pa.RecordBatch:
         rows = []
-        for text, extra in zip(block.texts, sent.value.spans(block), strict=True):
-            spans = base_spans(text)
-            base = list(spans)
-            for a, b in extra:
-                if not any(x < b and a < y for x, _, y in base):
-                    spans.append((a, 3, b))
+        base = [base_spans(text) for text in block.texts]
+        for spans, extra in zip(base, sent.value.spans(block, base), strict=True):
+            spans += [(a, 3, b) for a, b in extra]
             rows.append([{"kind": KINDS[k], "start": a, "stop": b} for a, k, b in sorted(spans)])
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, kind)], ["id", "spans"])

@@ -231,6 +231,18 @@ def test_lines_without_a_secret_come_from_whole_texts():
     assert not long.startswith(secret_crf._around(long)) and secret_crf._around(long) in long
 
 
+def test_a_secret_beside_a_base_one_is_kept(spark):
+    moves = np.array([[0, 0, secret_crf._NEVER], [0, 0, 9.0], [0, 0, 9.0]])
+    weights = np.zeros((secret_crf._FEATURES, 3), np.float32)
+    weights[:, secret_crf._OUT] = -1  # everything is a secret, each line one span
+    text = "see token=abcdefgh9 next other\nplain line"
+    batch = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in scan_secrets(batch, model=secret_crf.Model(weights, moves)).collect()}
+    spans = [(s.kind, text[s.start : s.stop]) for s in found[1]]
+    assert spans == [("crf", "see"), ("assign", "token=abcdefgh9"), ("crf", "next other"), ("crf", "plain line")]
+    assert found[2] == []
+
+
 def test_revisits(spark):
     random.seed(5)
     start = datetime(2024, 1, 1)
