@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm.decontaminate import find_leaks
+from postmill.llm.fill_middle import fill_in_middle, restored
+from postmill.llm.filter_audit import audit_filters
+from postmill.llm.license_scan import Optional, Template, Var, scan_licenses
+from postmill.llm.license_templates import PHRASES, TEMPLATES
 from postmill.llm.line_dedup import EDIT_WORDS, dedup_lines
 from postmill.llm.maxent_lm import score_documents
 from postmill.llm.metric_join import link_vectors
@@ -18,6 +22,7 @@ from postmill.llm.secret_crf import scan_secrets
 from postmill.llm.url_filter import Rule, judge_urls
 
 TOKENIZER = "word_bpe_49k.json"
+SURE_WORDS = 4  # a place of so many mandatory words scores a half
 URL_RULES = (
     Rule("org/", "allow"),
     Rule("example.org/es/", "block"),
@@ -149,6 +154,44 @@ def revisits(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("headers", F.array_join(F.array_sort(pairs), "; "))
 
 
+def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(table(spark, folder, "documents"))
+    base = F.filter("places", lambda p: p["kind"] == "base")
+    starts = F.transform(base, lambda p: p["start"])
+
+    def listed(places):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+
+    most = F.array_max(F.transform("places", lambda p: p["mandatory"])).cast("double")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(F.col("places")).alias("labels"),
+        F.coalesce(most / (most + SURE_WORDS), F.lit(0.0)).alias("score"),
+    )
+
+
+def fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    found = fill_in_middle(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filter": url_filter,
     "op2_packing": packing,
@@ -160,6 +203,9 @@ QUERIES = {
     "op8_revisits": revisits,
     "op9_quality": quality,
     "op10_embeddings": embeddings,
+    "op11_filter_audit": filter_audit,
+    "op12_license_scan": license_scan,
+    "op13_fill_in_middle": fill_middle,
 }
 
 _URL_SQL = """
@@ -284,9 +330,138 @@ from judged
 """
 )
 
+_AUDIT_SQL = """
+with split as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+), firsts as (select t, min(doc_id) as least from split group by t), failed as (
+    select s.part, l.good, l.toxic, [
+        len(w) < 200,
+        100 * len(list_distinct(w)) < 50 * len(w),
+        100 * len(regexp_replace(s.t, '[^A-Z]+', '', 'g')) > 2 * len(s.t),
+        regexp_matches(s.t, '[#$%&*|]'),
+        coalesce(f.least < s.doc_id, false)
+    ] as fails
+    from split s join firsts f using (t) left join (
+        select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic
+        from labels group by doc_id) l on l.doc_id = s.doc_id
+), counted as (
+    select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+    from failed group by all
+), letters as (select unnest(range(1, 6)) as f), orders as (
+    select [a.f, b.f, c.f, d.f, e.f] as o
+    from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps as (
+    select o, k as step, o[k] as f, o[1:k - 1] as earlier from orders, (select unnest(range(1, 6)) as k)
+), judged as (
+    select part, o, step, f, n, good, toxic, fails[f] as bad,
+        len(list_filter(earlier, lambda x: fails[x])) > 0 as gone,
+        len(list_filter(fails, lambda x: x)) = 1 and fails[f] as lone
+    from steps, counted
+), summed as (
+    select part, o, step, f, sum(case when not gone and not bad then n else 0 end) as kept,
+        sum(case when bad and not gone then n else 0 end) as removed,
+        sum(case when bad and gone then n else 0 end) as redundant,
+        sum(case when lone then n else 0 end) as unique_fails,
+        sum(case when bad and not gone then good else 0 end) as good_lost,
+        sum(case when bad and not gone then toxic else 0 end) as toxic_lost
+    from judged group by part, o, step, f
+)
+select part, array_to_string(list_transform(o, lambda x: chr(64 + x::int)), '') as filter_order,
+    step::int as step, kept::bigint as kept, removed::bigint as removed,
+    redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+    good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+    (sum(removed) over (partition by part, f))::bigint as shapley
+from summed
+"""
+
+
+def _as_pattern(parts: tuple) -> str:
+    """A template as a pattern over words with a blank after each."""
+    done = []
+    for part in parts:
+        if isinstance(part, Var):
+            done.append(f"(?:[^ ]+ ){{{part.low},{part.high}}}")
+        elif isinstance(part, Optional):
+            done.append(f"(?:{_as_pattern(part.parts)})?")
+        else:
+            done.append(part + " ")
+    return "".join(done)
+
+
+def _license_sql() -> str:
+    labels, sizes, starts = [], [], []
+    for phrase, label in PHRASES.items():
+        n = len(phrase.split())
+        found = f"list_filter(range(len(w) - {n - 1}), lambda i: w[i + 1:i + {n}] = string_split('{phrase}', ' '))"
+        starts.append(found)
+        labels.append(f"case when len({found}) > 0 then '{label}' end")
+        sizes.append(f"case when len({found}) > 0 then {n} end")
+    base = f"[{', '.join(labels)}]"
+    for label, markup in TEMPLATES:
+        template = Template(label, markup)
+        fits = f"regexp_matches(line, ' {_as_pattern(template.parts)}')"
+        labels.append(f"case when {fits} then '{label}' end")
+        sizes.append(f"case when {fits} then {template.mandatory} end")
+
+    def listed(values: str) -> str:
+        return f"array_to_string(list_sort(list_distinct({values})), ',')"
+
+    return f"""
+with split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), lined as (select *, ' ' || array_to_string(w, ' ') || ' ' as line from split), found as (
+    select doc_id, len(w) as n_words, flatten([{", ".join(starts)}]) as starts,
+        {base} as base, [{", ".join(labels)}] as labels, list_max([{", ".join(sizes)}])::double as most
+    from lined
+)
+select doc_id, n_words, len(starts) as n_base, list_min(starts) as first_word,
+    list_max(starts) as last_word, {listed("base")} as base_labels, {listed("labels")} as labels,
+    coalesce(most / (most + {SURE_WORDS}), 0) as score
+from found
+"""
+
+
+_MIDDLE_SQL = """
+with drawn as (
+    select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as h,
+        regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as w
+    from documents
+), numbers as (
+    select *, len(w) as n, list_transform(range(4), lambda k:
+        list_reduce(list_transform(range(8), lambda d:
+            (instr('0123456789abcdef', substring(h, (8 * k + d + 1)::int, 1)) - 1)::bigint),
+            lambda a, b: a * 16 + b)) as x
+    from drawn
+), cut as (
+    select *, least(x[1] % (n + 1), x[2] % (n + 1)) as a, greatest(x[1] % (n + 1), x[2] % (n + 1)) as b,
+        case when x is null or t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+            or x[3] % 100 >= 90 then 'plain' when x[4] % 100 < 20 then 'spm' else 'psm' end as form
+    from numbers
+), parts as (
+    select *, array_to_string(w[1:a], '') as p, array_to_string(w[a + 1:b], '') as m,
+        array_to_string(w[b + 1:], '') as s
+    from cut
+)
+select doc_id, n, form, case when form != 'plain' then len(p) end as prefix_chars,
+    case when form != 'plain' then len(m) end as middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(t) as restored_sha256
+from parts
+"""
+
 ORACLE = {
     "op1_url_filter": _URL_SQL,
     "op4_near_dup": _NEAR_SQL,
     "op8_revisits": _REVISIT_SQL,
     "op10_embeddings": _EMBEDDING_SQL,
+    "op11_filter_audit": _AUDIT_SQL,
+    "op12_license_scan": _license_sql(),
+    "op13_fill_in_middle": _MIDDLE_SQL,
 }
