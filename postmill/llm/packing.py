@@ -25,7 +25,7 @@ from postmill.llm.words import release, text_blocks
 WINDOW = 4096
 END_ID = 2
 MAX_OPEN = 256  # windows a task keeps open before it fills them up
-_OUT_BYTES = 4 << 20
+_OUT_BYTES = 1 << 20
 _PIECES = (
     "id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
     "offset bigint, sequence_tokens bigint, padded_tokens bigint, token_bytes binary"

@@ -1,14 +1,15 @@
-"""Ids of a word-BPE tokenizer for blocks of texts, each distinct word encoded once.
+"""Ids of a word-BPE tokenizer for blocks of texts, frequent words encoded once.
 
 The tokenizer is a file of the ``tokenizers`` library, read by that library; nothing is
 trained. It lowers the text, splits it into words, digits, contractions and runs of other
 signs, and encodes each by itself. So its ids for a text are those of its words in order,
-and a word's ids can be kept. Texts with characters beyond U+024F, or with what may be a
+and a word's ids can be kept, in a store of bounded size. Texts with characters beyond U+024F, or with what may be a
 special token, go to the library whole.
 """
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from functools import cache, cached_property
 
@@ -19,8 +20,10 @@ from postmill.llm.words import Block
 
 _LIMIT = 0x250  # below, no two characters combine, and each but U+0130 lowers to one
 _LETTER, _NUMBER, _OTHER = 1, 2, 3
-_KEPT = 1 << 19  # words; beyond, the store begins anew
+KEPT = 1 << 17  # words of the store, of some 30 bytes each
 _JOINED = 64
+# A task is one of many on its machine; threads of its own would cost memory and gain nothing.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
 @cache
@@ -66,10 +69,59 @@ def _pieces(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
+class WordStore:
+    """Ids of words by the words' hashes, in sorted arrays.
+
+    Beyond ``limit`` words, the half that was used most stays.
+    """
+
+    def __init__(self, limit: int = KEPT) -> None:
+        self.limit = limit
+        self.keys = np.empty(0, np.uint64)
+        self.begin = np.empty(0, np.int64)
+        self.length = np.empty(0, np.int32)
+        self.uses = np.empty(0, np.uint32)
+        self.ids = np.empty(0, np.uint32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each of some sorted hashes is or belongs, and whether it is there."""
+        at = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == hashes
+        return at, known
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Keep new words: sorted hashes, all their ids in a row, and where each one's end."""
+        at, _ = self.find(hashes)
+        starts = np.append(0, ends[:-1])
+        self.keys = np.insert(self.keys, at, hashes)
+        self.begin = np.insert(self.begin, at, starts + len(self.ids))
+        self.length = np.insert(self.length, at, ends - starts)
+        self.uses = np.insert(self.uses, at, 0)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def make_room(self, count: int) -> None:
+        if len(self.keys) + count <= self.limit:
+            return
+        keep = max(0, min(self.limit // 2, self.limit - count))
+        stay = np.sort(np.argsort(self.uses, kind="stable")[len(self.keys) - min(keep, len(self.keys)) :])
+        ids = gathered(self.ids, self.begin[stay], self.length[stay])
+        self.keys, self.length, self.uses = self.keys[stay], self.length[stay], self.uses[stay] // 2
+        self.begin = np.append(0, np.cumsum(self.length[:-1]))[: len(stay)].astype(np.int64)
+        self.ids = ids
+
+
+def gathered(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` from ``begin`` on, end to end."""
+    done = np.append(0, np.cumsum(length, dtype=np.int64))
+    return values[np.repeat(begin - done[:-1], length) + np.arange(done[-1])]
+
+
 class WordTokenizer:
     """``encode`` gives one array of ids for each text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int = KEPT) -> None:
         self.path = path
         self.single = Tokenizer.from_file(path)
         self.single.normalizer = normalizers.Sequence([])
@@ -83,18 +135,14 @@ class WordTokenizer:
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.closing[number] = token.endswith("</w>")
-        self.clear()
+        self.store = WordStore(kept)
 
     @cached_property
     def whole(self) -> Tokenizer:
         return Tokenizer.from_file(self.path)
 
-    def clear(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.offsets = np.zeros(1 << 15, np.int64)
-
-    def _add(self, hashes: list[int], words: list[str]) -> None:
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and where each word's end."""
         lines = [" ".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)]
         encoded = self.single.encode_batch_fast(lines, add_special_tokens=False)
         found = np.fromiter((x for e in encoded for x in e.ids), np.uint32)
@@ -103,37 +151,29 @@ class WordTokenizer:
             rows = [self.single.encode(w, add_special_tokens=False).ids for w in words]
             found = np.fromiter((x for row in rows for x in row), np.uint32)
             ends = np.cumsum([len(row) for row in rows])
-        count = len(self.slots)
-        base = self.offsets[count]
-        while len(self.ids) < base + len(found):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while len(self.offsets) <= count + len(words):
-            self.offsets = np.concatenate([self.offsets, np.empty_like(self.offsets)])
-        self.ids[base : base + len(found)] = found
-        self.offsets[count + 1 : count + 1 + len(words)] = base + ends
-        self.slots.update(zip(hashes, range(count, count + len(words)), strict=True))
+        return found, ends
 
     def _encode_block(self, texts: list[str]) -> list[np.ndarray]:
         block = Block(texts)
         starts, ends = _pieces(block)
-        unique, at, inverse = np.unique(
-            block.hashes(starts, ends), return_index=True, return_inverse=True
+        unique, at, inverse, counts = np.unique(
+            block.hashes(starts, ends), return_index=True, return_inverse=True, return_counts=True
         )
-        if len(self.slots) + len(unique) > _KEPT:
-            self.clear()
-        known = self.slots.get
-        listed = unique.tolist()
-        new = [i for i, h in enumerate(listed) if known(h) is None]
-        if new:
+        store = self.store
+        _, known = store.find(unique)
+        if not known.all():
+            store.make_room(len(unique))
+            _, known = store.find(unique)
+            new = np.flatnonzero(~known)
             joined = "\n".join([*texts, ""]).lower()
-            where = at[new]
-            spans = zip(starts[where].tolist(), ends[where].tolist(), strict=True)
-            self._add([listed[i] for i in new], [joined[a:b] for a, b in spans])
-        slots = np.fromiter(map(self.slots.__getitem__, listed), np.int64, len(listed))[inverse]
-        begin = self.offsets[slots]
-        lengths = self.offsets[slots + 1] - begin
-        done = np.concatenate(([0], np.cumsum(lengths)))
-        ids = self.ids[np.repeat(begin - done[:-1], lengths) + np.arange(done[-1])]
+            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
+            store.add(unique[new], *self._ids_of([joined[a:b] for a, b in spans]))
+        slots, _ = store.find(unique)
+        store.uses[slots] += counts.astype(np.uint32)
+        slots = slots[inverse]
+        lengths = store.length[slots]
+        ids = gathered(store.ids, store.begin[slots], lengths)
+        done = np.append(0, np.cumsum(lengths, dtype=np.int64))
         return np.split(ids, done[block.first(starts)][1:-1])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
