@@ -10,24 +10,28 @@ signature is the dart of least rank of each coordinate. Only ranks up to about
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from postmill.llm.components import components
-from postmill.llm.staging import id_and_text, joined_with, staged
-from postmill.llm.words import _ODD, _STEP, Block, binary, by_blocks, mixed, signed, windows, word_sets
+from postmill.llm.staging import free_name, id_and_text, joined_with, staged
+from postmill.llm.words import (
+    _ODD, _STEP, Block, binary, by_blocks, mixed, release, signed, windows, word_sets,
+)
 
 BANDS, ROWS = 25, 5
 SHINGLE = 5
 SIMILARITY = 0.8
 BROADCAST_IDS = 1_000_000
-HUB_ROUNDS = 2
-CROSS = 16  # pairs left for each member of a bucket, beyond which more hubs come first
+HUB_ROUNDS = 1  # after the first
+LEVEL = 1.05  # by so much the weights of one level differ
+_SLACK = 1e-6  # of a weight, for rounding errors
 _UNIT = 2.0**-53
 
 
@@ -103,45 +107,52 @@ def _weighted_sets(block: Block, n: int) -> tuple[list[np.ndarray], list[np.ndar
 
 
 def _summary(bands: int, rows: int, n: int, weighted: bool):
-    """(id, f1, f2, bands): 128 bits of the set with its weights, and its band keys."""
+    """(id, f1, f2, bands): 128 bits of the set with its weights, and its band keys; all three
+    are null for a text without words."""
 
-    def work(ids: list[int], block: Block) -> pa.RecordBatch | None:
+    def work(ids: list[int], block: Block) -> pa.RecordBatch:
         if weighted:
             sets, weights = _weighted_sets(block, n)
         else:
             sets, weights = list(word_sets(block, n)), None
-        some = [i for i, s in enumerate(sets) if len(s)]
-        if not some:
-            return None
+        full = np.array([len(s) > 0 for s in sets], bool)
+        some = np.flatnonzero(full)
         sets = [sets[i] for i in some]
         weights = weights and [weights[i] for i in some]
-        keys = _bands(dart_signatures(sets, bands * rows, weights), bands, rows)
-        marked = sets if weights is None else [
-            s + w.astype(np.uint64) * _STEP for s, w in zip(sets, weights, strict=True)
-        ]
-        prints = [
-            np.array([mixed(s + _multiple(_ODD, x)).sum() for s in marked], np.uint64)
-            for x in (1, 2)
-        ]
-        offsets = np.arange(0, bands * len(some) + 1, bands, dtype=np.int32)
-        columns = [
-            pa.array([ids[i] for i in some], pa.int64()),
-            *map(signed, prints),
-            pa.ListArray.from_arrays(pa.array(offsets), signed(keys.reshape(-1))),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["id", "f1", "f2", "bands"])
+        keys = np.empty((0, bands), np.uint64)
+        if len(some):
+            keys = _bands(dart_signatures(sets, bands * rows, weights), bands, rows)
+        offsets = np.append(0, np.cumsum(full * bands)).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(offsets), signed(keys.reshape(-1)), mask=pa.array(~full))
+        place = pa.array(np.where(full, np.cumsum(full) - 1, 0), mask=~full)
+        prints = [signed(x).take(place) for x in _prints(sets, weights)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), *prints, listed], ["id", "f1", "f2", "bands"]
+        )
 
     return by_blocks(work)
 
 
+def _prints(sets: list[np.ndarray], weights: list[np.ndarray] | None) -> list[np.ndarray]:
+    """128 bits of each set with its weights, as two arrays."""
+    marked = sets if weights is None else [
+        s + w.astype(np.uint64) * _STEP for s, w in zip(sets, weights, strict=True)
+    ]
+    return [
+        np.array([mixed(s + _multiple(_ODD, x)).sum() for s in marked], np.uint64) for x in (1, 2)
+    ]
+
+
 def _sets(n: int, weighted: bool):
     def work(ids: list[int], block: Block) -> pa.RecordBatch:
         if weighted:
             sets, weights = _weighted_sets(block, n)
+            prints = _prints(sets, weights)
         else:
             sets, weights = list(word_sets(block, n)), [np.empty(0, np.int64)] * len(ids)
-        columns = [pa.array(ids, pa.int64()), binary(sets), binary(weights)]
-        return pa.RecordBatch.from_arrays(columns, ["id", "elements", "weights"])
+            prints = _prints(sets, None)
+        columns = [*map(signed, prints), binary(sets), binary(weights)]
+        return pa.RecordBatch.from_arrays(columns, ["f1", "f2", "elements", "weights"])
 
     return by_blocks(work)
 
@@ -173,37 +184,102 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(_similarity("ea", "wa", "eb", "wb") >= similarity).select("a", "b")
 
 
-def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """In each bucket of several components: each member with one of another component.
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")
+    ).distinct()
 
-    The hubs are the first member by a hash that changes with ``turn``, and the first of
-    the components that this one does not belong to.
-    """
-    order = F.xxhash64(F.col("comp"), F.lit(turn))
-    ranked = members.withColumn("first", F.struct(order.alias("o"), "comp", F.xxhash64("id", F.lit(turn)).alias("i"), "id"))
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, comp, total, element, weight) of sets (id, comp, elements, weights)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            elements = np.frombuffer(batch.column("elements")[i].as_py(), np.uint64)
+            weights = np.frombuffer(batch.column("weights")[i].as_py(), np.int64)
+            weights = weights if len(weights) else np.ones(len(elements), np.int64)
+            same = [np.full(len(elements), batch.column(c)[i].as_py(), np.int64) for c in ("id", "comp")]
+            total = np.full(len(elements), weights.sum(), np.int64)
+            columns = [*map(pa.array, same), pa.array(total), signed(elements), pa.array(weights)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "comp", "total", "element", "weight"])
+    release()
+
+
+def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """Each member of a bucket with its hub, or if that is of its own component, with the
+    first member of another one. Who is first is drawn anew for each bucket and ``turn``."""
+    drawn = F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("draw"), "id", "comp")
+    ranked = members.withColumn("first", drawn)
     one = ranked.groupBy("key").agg(F.min("first").alias("one"))
-    other = (
+    two = (
         ranked.join(one, "key")
         .where("comp != one.comp")
         .groupBy("key")
-        .agg(F.min("first").alias("two"), F.min("one").alias("one"))
+        .agg(F.min("first").alias("two"), F.first("one").alias("one"))
     )
     hub = F.when(F.col("comp") == F.col("one.comp"), F.col("two.id")).otherwise(F.col("one.id"))
-    return _ordered(members.join(other, "key").select("id", hub.alias("other")))
+    return _ordered(members.join(two, "key").select("id", hub.alias("other")))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(
-        F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")
-    ).distinct()
-
+def _rare_pairs(split: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs of documents of different components that may be similar, by rare shingles.
 
-def _all_cross(members: DataFrame) -> DataFrame:
-    """Every pair of a bucket whose members are of different components."""
-    right = members.select("key", F.col("id").alias("other"), F.col("comp").alias("other_comp"))
-    return _ordered(
-        members.join(right, "key").where("id < other and comp != other_comp").select("id", "other")
+    ``split`` has (key, id, comp); candidates are among its ids. For sets of weights m <= n to be
+    similar, s (m + n) / (1 + s) of the weight must be common. So in any order of all shingles,
+    here the rarest first, they share one before which either has no more than the rest of its
+    weight. What many documents share stands behind that: a common passage makes no pairs, and
+    neither does a document with too much of its own. As the bound depends on both weights, the
+    smaller set goes by its level, a range of weights, and the larger one to each level that
+    its partners may have. Members of one component are not paired: in each group the
+    largest component meets the others only.
+    """
+    listed = sets.join(split.select("id", "comp").distinct(), "id")
+    rows = listed.select("id", "comp", "elements", "weights").mapInArrow(
+        _elements, "id bigint, comp bigint, total bigint, element bigint, weight bigint"
     )
+    # A shingle of one component only joins nothing, but takes its place in the order.
+    spread = rows.groupBy("element").agg(
+        F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+    spread = staged(spread.where("n > 1 and low != high").select("element", "n"), "shared-shingles")
+    in_order = Window.partitionBy("id").orderBy("n", "element")
+    earlier = F.sum("weight").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    shared = F.sum("weight").over(Window.partitionBy("id"))
+    total = F.col("total")
+    # What stands before: all that is not shared, then the rarer shared ones.
+    before = total - shared + F.coalesce(earlier, F.lit(0))
+    ranked = rows.join(spread, "element").withColumn("before", before)
+    part = similarity / (1 + similarity)
+    level = F.floor(F.log(total) / math.log(LEVEL)).cast("int")
+    steps = math.ceil(-math.log(similarity) / math.log(LEVEL))
+    levels = F.sequence(level - steps, level)
+    dealt = ranked.where(F.col("before") <= total * (1 - similarity) + _SLACK).select(
+        "element", "id", "comp", "total", "before", level.alias("own"), F.explode(levels).alias("level")
+    )
+    least = F.greatest(total * similarity, F.pow(F.lit(LEVEL), F.col("level")))
+    room = total - (F.least(least, total) + total) * part + _SLACK
+    dealt = dealt.where(F.col("before") <= room).withColumn(
+        "small", (F.col("level") == F.col("own")) & (F.col("before") <= total * (1 - 2 * part) + _SLACK)
+    )
+    first = staged(dealt.drop("own"), "rare-shingles")
+    sizes = first.groupBy("element", "level", "comp").agg(F.count("*").alias("n"))
+    most = (
+        sizes.groupBy("element", "level")
+        .agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.count("*").alias("comps"))
+        .where("comps > 1")
+    )
+    met = first.join(most, ["element", "level"]).withColumn("others", F.col("comp") != F.col("most"))
+    # Side 0 holds the other components, side 1 the largest, which never meets itself.
+    sides = F.when(F.col("others"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    left = met.where("small").select("element", "level", F.explode(sides).alias("side"), "id", "comp", "total", "before")
+    right = met.select(
+        "element", "level", F.when(F.col("others"), 0).otherwise(1).alias("side"), F.col("id").alias("other"),
+        F.col("comp").alias("other_comp"), F.col("total").alias("other_total"), F.col("before").alias("other_before"),
+    )
+    larger = (total < F.col("other_total")) | ((total == F.col("other_total")) & (F.col("id") < F.col("other")))
+    rest = F.least(total - F.col("before"), F.col("other_total") - F.col("other_before"))
+    fits = rest + _SLACK >= (total + F.col("other_total")) * part
+    pairs = left.join(right, ["element", "level", "side"])
+    return _ordered(pairs.where((F.col("comp") != F.col("other_comp")) & larger & fits).select("id", "other"))
 
 
 def near_duplicates(
@@ -225,15 +301,15 @@ def near_duplicates(
     least id of the class, and ``kept`` whether that is the document's own.
 
     Candidates share one of ``bands`` keys of ``rows`` coordinates each: at the defaults, a
-    pair of similarity 0.8 has none in 5 of 100,000 cases. Every candidate pair is either
-    compared exactly or already in one class: first each member of a bucket with the
-    bucket's hub, which joins the usual bucket of copies in linear work, then every pair
-    whose members still are of different classes. Where these are many, members meet up to
-    ``HUB_ROUNDS`` other hubs before, as long as each round halves the pairs that are left.
+    pair of similarity 0.8 has none in 5 of 100,000 cases. Every candidate pair that may be
+    similar is either compared exactly or already in one class: first, in ``HUB_ROUNDS`` + 1
+    rounds of linear work, each member of a bucket with a hub of it, which joins the usual bucket
+    of copies; then, of the buckets that still hold several classes, the pairs that share one of
+    their rare shingles, without which they are not similar (``_rare_pairs``).
 
     Texts without words, null ones among them, are classes of their own. Rows without an id
-    have no row in the result, and rows that repeat an id have one row each. An empty table
-    gives an empty result. Only the two named columns are read.
+    have no row in the result, and rows that repeat an id have one row each, linked by their own
+    texts. An empty table gives an empty result. Only the two named columns are read.
 
     Equal sets are one representative before any band travels, so a group of copies costs
     one row. Joins on hot buckets are plain joins, which adaptive execution splits.
@@ -241,74 +317,76 @@ def near_duplicates(
     docs = id_and_text(documents, id_column, text_column)
     kinds = "id bigint, f1 bigint, f2 bigint, bands array<bigint>"
     marked = staged(docs.mapInArrow(_summary(bands, rows, shingle, weighted), kinds), "bands")
+    # A set has a number of its own, since documents of one id may differ.
     alike = staged(
-        marked.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")),
+        marked.where("f1 is not null")
+        .groupBy("f1", "f2")
+        .agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "representatives",
     )
     keys = alike.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = staged(keys.join(shared, "key", "left_semi"), "buckets")
 
-    some = staged(members.select("id").distinct(), "candidates")
-    wanted = some.select(F.col("id").alias("w"))
-    texts = joined_with(docs, wanted, F.expr("id = w"), "left_semi", some.count(), broadcast_ids)
-    sets = texts.mapInArrow(_sets(shingle, weighted), "id bigint, elements binary, weights binary")
-    sets = staged(sets.dropDuplicates(["id"]), "sets")
+    some = members.select("id").distinct().join(alike.select(F.col("rep").alias("id"), "least"), "id")
+    wanted = staged(some.select(F.col("least").alias("w")).distinct(), "candidates")
+    texts = joined_with(docs, wanted, F.expr("id = w"), "left_semi", wanted.count(), broadcast_ids)
+    kinds = "f1 bigint, f2 bigint, elements binary, weights binary"
+    made = texts.mapInArrow(_sets(shingle, weighted), kinds)
+    numbered = made.join(alike.select("f1", "f2", F.col("rep").alias("id")), ["f1", "f2"])
+    sets = staged(numbered.dropDuplicates(["f1", "f2"]).select("id", "elements", "weights"), "sets")
 
     hubs = members.groupBy("key").agg(F.min("id").alias("other"))
     pairs = _ordered(members.join(hubs, "key").where("id != other").select("id", "other"))
     edges = staged(_linked(pairs, sets, similarity), "links")
     classes = staged(components(edges), "classes")
-    before = None
     for turn in range(HUB_ROUNDS + 1):
-        split = _split_buckets(members, classes)
-        left, pairs_left = split.agg(F.count("*"), F.sum("pairs")).first()
-        if not left:
+        split = _split_members(members, classes)
+        if split.isEmpty():
             break
-        few = pairs_left <= CROSS * left + 1_000_000
-        last = few or turn == HUB_ROUNDS or (before is not None and pairs_left > before / 2)
-        before = pairs_left
-        pairs = _all_cross(split) if last else _hub_pairs(split, turn)
+        last = turn == HUB_ROUNDS
+        pairs = _rare_pairs(split, sets, similarity) if last else _hub_pairs(split, turn)
         links = staged(_linked(pairs, sets, similarity), "links")
         # The classes so far are stars, which stand for all earlier links.
         stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
         classes = staged(components(stars.unionByName(links)), "classes")
-        if last:
-            break
 
-    own = alike.select("f1", "f2", "rep").join(
+    named = alike.select("f1", "f2", "rep", "least").join(
         classes.withColumnRenamed("node", "rep"), "rep", "left"
     )
-    own = own.select("f1", "f2", F.coalesce("component", "rep").alias("class_id"))
+    single = named.where("component is null").select("f1", "f2", F.col("least").alias("class_id"))
+    several = named.where("component is not null")
+    least = several.groupBy("component").agg(F.min("least").alias("class_id"))
+    own = single.unionByName(several.join(least, "component").select("f1", "f2", "class_id"))
     with_class = marked.select("id", "f1", "f2").join(own, ["f1", "f2"]).select("id", "class_id")
-    lone = docs.select("id").join(marked.select("id"), "id", "left_anti")
+    lone = marked.where("f1 is null").select("id")
     every = with_class.unionByName(lone.withColumn("class_id", F.col("id")))
     return every.select(
         F.col("id").alias(id_column), "class_id", (F.col("id") == F.col("class_id")).alias("kept")
     )
 
 
-def _split_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with their component and
-    their share of the pairs between components."""
+def _split_members(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, comp) of all members of the buckets that hold more than one component."""
     named = members.join(classes, members.id == classes.node, "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp")
     )
-    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    several = sizes.groupBy("key").agg(
-        F.count("*").alias("comps"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own")
-    )
-    share = (F.col("all") - F.col("own") / F.col("all")) / 2
-    several = several.where("comps > 1").select("key", share.alias("pairs"))
-    return staged(named.join(several, "key"), "split-buckets")
+    several = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    several = several.where("low != high").select("key")
+    return staged(named.join(several, "key", "left_semi"), "split")
 
 
 def drop_near_duplicates(documents: DataFrame, id_column: str = "doc_id", broadcast_ids: int = BROADCAST_IDS, **options) -> DataFrame:
     """``documents`` with one of each class of near duplicates, the one of the least id.
 
-    Rows without an id stay, and so do all rows that repeat the id that is kept.
+    Rows without an id stay. Of rows that repeat an id, all stay if one of them is kept, so a
+    repeated row is not a duplicate of itself. Other columns pass through, whatever their names.
+    Null and empty texts, and an empty table, are returned as they are.
     """
     found = near_duplicates(documents, id_column, broadcast_ids=broadcast_ids, **options)
-    gone = staged(found.where("not kept").select(F.col(f"`{id_column}`").alias("__pm_id")), "gone")
-    same = F.col(f"`{id_column}`").cast("bigint") == F.col("__pm_id")
+    name = free_name(documents, "gone")
+    by_id = found.groupBy(F.col(f"`{id_column}`").alias(name)).agg(F.max("kept").alias("kept"))
+    gone = staged(by_id.where("not kept").select(name), "gone")
+    same = F.col(f"`{id_column}`").cast("bigint") == F.col(name)
     return joined_with(documents, gone, same, "left_anti", gone.count(), broadcast_ids)

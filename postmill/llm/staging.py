@@ -31,6 +31,15 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """A column name that ``frame`` has not, in any case."""
+    taken = {column.lower() for column in frame.columns}
+    name = f"pm_{name}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def id_and_text(frame: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows with an id, as (id, text) only, so that no other column can clash; null is ''."""
     prepare(frame.sparkSession)
