@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.staging import id_and_text, joined_with, staged
+from postmill.llm.staging import free_name, id_and_text, joined_with, staged
 from postmill.llm.words import _STEP, Block, by_blocks, mixed, signed, table, windows
 
 WINDOW = 8
@@ -421,6 +421,7 @@ def drop_leaks(
     """``documents`` without those that hold a passage or a re-parameterised question of the
     benchmark; rows without an id stay."""
     leaks = find_leaks(documents, benchmark, id_column, **options)
-    ids = staged(leaks.select(F.col(f"`{id_column}`").alias("__pm_id")).distinct(), "leaks")
-    same = F.col(f"`{id_column}`").cast("bigint") == F.col("__pm_id")
+    name = free_name(documents, "leak")
+    ids = staged(leaks.select(F.col(f"`{id_column}`").alias(name)).distinct(), "leaks")
+    same = F.col(f"`{id_column}`").cast("bigint") == F.col(name)
     return joined_with(documents, ids, same, "left_anti", ids.count(), broadcast_ids)

@@ -17,18 +17,19 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
-from postmill.llm.staging import id_and_text, joined_with, staged
+from postmill.llm.staging import free_name, id_and_text, joined_with, staged
 from postmill.llm.words import (
     _ODD, _STEP, _STEP_INVERSE, Block, _powers, binary, by_blocks, mixed, signed, table,
 )
 
 MIN_WORDS = 3
 EDIT_WORDS = 8
-BROADCAST_LINES = 1_000_000  # line numbers, of 4 bytes each
+BROADCAST_LINES = 1_000_000  # line numbers, of 8 bytes each
+_LINE = (1 << 32) - 1  # the bits of a line's number; those above tell texts of one id apart
 
 # Code points of scripts without blanks between words (Thai, Lao, Myanmar,
 # Khmer, Kana, Bopomofo, Han).
@@ -79,9 +80,10 @@ def _closed(total: np.ndarray, length: np.ndarray | int) -> np.ndarray:
 
 
 def _line_rows(min_words: int, partner_words: int):
-    """(id, line, words, hash, halves) of the judged lines of a block."""
+    """(id, line, words, hash, halves) of the judged lines of a block, from texts with an
+    (id, part) each; a line's number comes after its text's part."""
 
-    def rows(ids: list[int], block: Block) -> pa.RecordBatch:
+    def rows(ids: list[dict], block: Block) -> pa.RecordBatch:
         feeds = np.flatnonzero(block.codes == 10)
         starts, ends = _words(block)
         line = np.searchsorted(feeds, starts)
@@ -108,8 +110,8 @@ def _line_rows(min_words: int, partner_words: int):
         offsets[1:] = np.cumsum(np.where(n >= partner_words, 4, 0))
         listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(halves.reshape(-1)))
         columns = [
-            pa.array(np.array(ids, np.int64)[text]),
-            pa.array(number.astype(np.int32)),
+            pa.array(np.array([x["id"] for x in ids], np.int64)[text]),
+            pa.array(number + np.array([x["part"] for x in ids], np.int64)[text]),
             pa.array(n.astype(np.int32)),
             signed(sums.hashes(a, b)),
             listed,
@@ -125,13 +127,13 @@ def _line_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             lines = batch.column(2)[i].as_py()
             texts = batch.column(1)[i].as_py().split("\n")
-            block = Block([texts[k] for k in lines])
+            block = Block([texts[k & _LINE] for k in lines])
             starts, ends = _words(block)
             hashes, first = block.hashes(starts, ends), block.first(starts)
             parts = [hashes[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
             columns = [
                 pa.array([batch.column(0)[i].as_py()] * len(lines), pa.int64()),
-                pa.array(lines, pa.int32()),
+                pa.array(lines, pa.int64()),
                 binary(parts),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["id", "line", "words"])
@@ -151,7 +153,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 signed(keys),
                 pa.array(np.append(place, -1).astype(np.int32)),
                 pa.array(np.full(n + 1, batch.column(0)[i].as_py(), np.int64)),
-                pa.array(np.full(n + 1, batch.column(1)[i].as_py(), np.int32)),
+                pa.array(np.full(n + 1, batch.column(1)[i].as_py(), np.int64)),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["key", "place", "id", "line"])
 
@@ -176,6 +178,21 @@ def _within_one(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([near(x, y) for x, y in zip(left, right, strict=True)], dtype=bool)
 
 
+def _part(text: Column) -> Column:
+    """31 bits of a text's hash, above the bits of its lines' numbers."""
+    return F.shiftleft(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit((1 << 31) - 1)), 32)
+
+
+def _with_parts(docs: DataFrame, bound: int) -> DataFrame:
+    """(id, text, part): 0, or by the text's hash where an id has several texts."""
+    mark = F.xxhash64("text")
+    texts = docs.groupBy("id").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+    several = staged(texts.where("low != high").select(F.col("id").alias("several")), "repeated-ids")
+    found = joined_with(docs, several, F.expr("id = several"), "left", several.count(), bound)
+    part = F.when(F.col("several").isNotNull(), _part(F.col("text"))).otherwise(F.lit(0))
+    return found.select("id", "text", part.cast("bigint").alias("part"))
+
+
 def _edited(docs: DataFrame, distinct: DataFrame, edit_words: int, bound: int) -> DataFrame:
     """Distinct lines of ``edit_words`` words at least that have an earlier one within one word
     edit: (id, line, to_id, to_line)."""
@@ -184,17 +201,19 @@ def _edited(docs: DataFrame, distinct: DataFrame, edit_words: int, bound: int) -
     halves = distinct.select(F.explode(F.array_distinct("halves")).alias("half"), "id", "line")
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     some = halves.join(shared, "half", "left_semi").select("id", "line").distinct()
-    wanted = staged(some.groupBy("id").agg(F.sort_array(F.collect_list("line")).alias("lines")), "lines")
+    part = F.col("line").bitwiseAND(F.lit(~_LINE)).alias("p")
+    by_text = some.groupBy(F.col("id").alias("w"), part)
+    wanted = staged(by_text.agg(F.sort_array(F.collect_list("line")).alias("lines")), "lines")
     count = wanted.agg(F.sum(F.size("lines") + 2)).first()[0] or 0
     with_text = joined_with(
-        docs, wanted.withColumnRenamed("id", "w"), F.expr("id = w"), "inner", count, bound
+        docs, wanted, F.expr("id = w and part = p"), "inner", count, bound
     ).select("id", "text", "lines")
     words = staged(
-        with_text.mapInArrow(_line_words, "id bigint, line int, words binary")
+        with_text.mapInArrow(_line_words, "id bigint, line bigint, words binary")
         .dropDuplicates(["id", "line"]),
         "line-words",
     )
-    variants = words.mapInArrow(_variants, "key bigint, place int, id bigint, line int")
+    variants = words.mapInArrow(_variants, "key bigint, place int, id bigint, line bigint")
     groups = variants.groupBy("key", "place").agg(
         F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n")
     )
@@ -214,7 +233,7 @@ def _edited(docs: DataFrame, distinct: DataFrame, edit_words: int, bound: int) -
     own = F.struct("id", "line")
     long = words.where(F.length("words") >= 8 * edit_words)  # a hash of 8 bytes for each word
     partners = (
-        long.mapInArrow(_variants, "key bigint, place int, id bigint, line int")
+        long.mapInArrow(_variants, "key bigint, place int, id bigint, line bigint")
         .join(met, ["key", "place"])
         .where(F.col("best") < own)
         .groupBy("id", "line")
@@ -242,19 +261,25 @@ def dropped_lines(
     broadcast_lines: int = BROADCAST_LINES,
     partner_words: int | None = None,
 ) -> DataFrame:
-    """(id, lines): for each document that loses lines, their numbers, from 0, ascending."""
+    """(id, part, lines): for each document that loses lines, their numbers, from 0, ascending.
+
+    ``part`` is 0, or for an id of several texts the hash of the one that is meant.
+    """
     if edit_bound not in (0, 1):
         raise ValueError("edit_bound must be 0 or 1")
-    docs = id_and_text(documents, id_column, text_column)
-    kinds = "id bigint, line int, n int, hash bigint, halves array<bigint>"
-    lines = staged(docs.mapInArrow(_line_rows(min_words, edit_words if partner_words is None else partner_words), kinds), "lines")
+    docs = _with_parts(id_and_text(documents, id_column, text_column), broadcast_lines)
+    kinds = "id bigint, line bigint, n int, hash bigint, halves array<bigint>"
+    named = docs.select(F.struct("id", "part").alias("id"), "text")
+    lines = staged(named.mapInArrow(_line_rows(min_words, edit_words if partner_words is None else partner_words), kinds), "lines")
     first = lines.groupBy("hash").agg(F.min(F.struct("id", "line", "halves")).alias("first"))
     kept = distinct = staged(first.select("first.*"), "distinct-lines")
     if edit_bound:
         edited = _edited(docs, distinct, edit_words, broadcast_lines)
         kept = distinct.join(edited, ["id", "line"], "left_anti")
     gone = lines.select("id", "line").join(kept.select("id", "line"), ["id", "line"], "left_anti")
-    return gone.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    part = F.col("line").bitwiseAND(F.lit(~_LINE)).alias("part")
+    number = F.col("line").bitwiseAND(F.lit(_LINE)).cast("int")
+    return gone.groupBy("id", part).agg(F.array_sort(F.collect_set(number)).alias("lines"))
 
 
 @F.pandas_udf(StringType())
@@ -285,27 +310,29 @@ def dedup_lines(
     ``partner_words`` words at least, by default ``edit_words``; one less finds all. Earlier means a smaller (id, line). Lines of
     fewer than ``min_words`` words stay, and those without a letter or digit. The earliest of a chain always stays.
 
-    Rows without an id are returned as they are; rows that repeat an id share one verdict;
-    null and empty texts stay. ``dropped_column`` is null where nothing went; a column of
+    Rows without an id are returned as they are; equal rows share one verdict, and of texts of
+    one id that with the smaller hash is earlier. Null and empty texts stay, and an empty table is
+    returned as it is. ``dropped_column`` is null where nothing went; a column of
     that name is replaced. Other columns pass through, whatever their names.
 
     Shuffled are hashes of lines, not texts; only lines that share half of their words with
     another give variants. Frequent lines are sums by key before they travel. The numbers of
     dropped lines are broadcast up to ``broadcast_lines`` of them, else joined by shuffle.
     """
+    one, two, three = (free_name(documents, name) for name in ("id", "part", "lines"))
     gone = staged(
         dropped_lines(
             documents, id_column, text_column, min_words, edit_words, edit_bound, broadcast_lines, partner_words
         ),
         "dropped-lines",
-    ).select(F.col("id").alias("__pm_id"), F.col("lines").alias("__pm_lines"))
-    count = gone.agg(F.sum(F.size("__pm_lines") + 2)).first()[0] or 0
-    text, lines = F.col(f"`{text_column}`"), F.col("__pm_lines")
-    same = F.col(f"`{id_column}`").cast("bigint") == F.col("__pm_id")
+    ).select(F.col("id").alias(one), F.col("part").alias(two), F.col("lines").alias(three))
+    count = gone.agg(F.sum(F.size(three) + 2)).first()[0] or 0
+    text, lines = F.col(f"`{text_column}`"), F.col(three)
+    same = F.col(f"`{id_column}`").cast("bigint") == F.col(one)
+    same = same & ((F.col(two) == 0) | (F.col(two) == _part(text)))
     changed = joined_with(documents, gone, same, "left", count, broadcast_lines)
     cut = _without(F.when(lines.isNotNull(), text), lines)
-    return (
-        changed.withColumn(text_column, F.when(lines.isNotNull(), cut).otherwise(text))
-        .withColumn(dropped_column, lines)
-        .drop("__pm_id", "__pm_lines")
-    )
+    kept = F.when(lines.isNotNull(), cut).otherwise(text)
+    names = [c for c in documents.columns if c.lower() != dropped_column.lower()]
+    columns = [kept.alias(c) if c == text_column else F.col(f"`{c}`") for c in names]
+    return changed.select(*columns, lines.alias(dropped_column))
