@@ -145,7 +145,7 @@ def link_vectors(
     an empty result. Only the two named columns are read.
 
     The result is exact, whatever the pivots are: these, ``max_pivots`` at most for each
-    length of vectors, one for every ``cell`` vectors, are the first ones by a hash of the id.
+    length of vectors, one for every ``cell`` vectors, are the first ones by their hash.
     Equal vectors are one before they are joined. A tile has a bounded number of homes and
     members and gives back a count for each home and one edge for each vector at most, so a
     large group of near copies gives many tiles and few rows.
@@ -155,21 +155,22 @@ def link_vectors(
         F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{vector_column}`").alias("v")
     ).where("id is not null")
     packed = staged(two.mapInArrow(_packed, "id bigint, size int, vector binary"), "vectors")
+    # A distinct vector has a number of its own, since vectors of one id may differ.
     alike = staged(
         packed.where("vector is not null")
         .groupBy("size", "vector")
-        .agg(F.min("id").alias("id"), F.count("*").alias("n"))
-        .select("id", "size", "n", "vector"),
+        .agg(F.min("id").alias("least"), F.count("*").alias("n"))
+        .select(F.monotonically_increasing_id().alias("id"), "least", "size", "n", "vector"),
         "distinct-vectors",
     )
     pivots = {}
     for size, count in alike.groupBy("size").count().collect():  # a row for each length
         wanted = min(max_pivots, -(-count // cell))
-        first = alike.where(F.col("size") == size).orderBy(F.xxhash64("id"), "id").limit(wanted)
+        first = alike.where(F.col("size") == size).orderBy(F.xxhash64("vector"), "vector").limit(wanted)
         pivots[size] = unit_vectors([r.vector for r in first.select("vector").collect()])
     reach = float(np.sqrt(2 - 2 * cosine))
     kinds = "cell bigint, home boolean, id bigint, n bigint, vector binary"
-    placed = staged(alike.mapInArrow(_cells(pivots, reach), kinds), "cells")
+    placed = staged(alike.drop("least").mapInArrow(_cells(pivots, reach), kinds), "cells")
 
     # Homes and members of a cell, each in blocks; a tile is a block of either.
     sizes = placed.groupBy("cell").agg(
@@ -192,15 +193,17 @@ def link_vectors(
     links = met.where("links >= 0").groupBy("id").agg(F.sum("links").alias("links"))
     edges = met.where("links < 0").select(F.col("id").alias("a"), F.col("to").alias("b")).distinct()
     classes = components(edges)
-    known = (
-        alike.join(links, "id", "left")
-        .join(classes.withColumnRenamed("node", "id"), "id", "left")
-        .select(
-            "size",
-            "vector",
-            (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
-        )
+    counted = alike.join(links, "id", "left").select(
+        "id", "least", "size", "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
+    )
+    named = counted.join(classes.withColumnRenamed("node", "id"), "id", "left")
+    single = named.where("component is null").select(
+        "size", "vector", "n_links", F.col("least").alias("component_id")
+    )
+    several = named.where("component is not null")
+    least = several.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = single.unionByName(
+        several.join(least, "component").select("size", "vector", "n_links", "component_id")
     )
     linked = packed.where("vector is not null").join(known, ["size", "vector"])
     alone = packed.where("vector is null").select(
