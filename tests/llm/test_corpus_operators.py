@@ -154,9 +154,9 @@ def test_dart_signatures_estimate_weighted_similarity():
     assert (dart_signatures([base], 64) == dart_signatures([base[::-1], base[:3]], 64)[:1]).all()
 
 
-@pytest.mark.parametrize("bound,cross", [(0, 16), (1_000_000, -1_000_000)])
-def test_near_duplicates(docs, bound, cross, monkeypatch):
-    monkeypatch.setattr(near_dup, "CROSS", cross)
+@pytest.mark.parametrize("bound,rounds", [(0, 1), (1_000_000, 0)])
+def test_near_duplicates(docs, bound, rounds, monkeypatch):
+    monkeypatch.setattr(near_dup, "HUB_ROUNDS", rounds)
     rng = random.Random(3)
     rows, i = [], 0
     for _ in range(25):
