@@ -78,6 +78,10 @@ concat('/mail/user', cast(doc_id % 100 as string), case doc_id % 5
   when 0 then '/_sent_mail/' when 1 then '/.archive/' when 2 then '/inbox/.'
   when 3 then '/inbox/_' else '/inbox/' end, cast(doc_id as string), '.')"""
 
+# Where an empty file stands beside the mails.
+EMPTY_EVERY = 97
+EMPTY_PATH = "concat('/mail/empty/_', cast(doc_id as string))"
+
 BOUNDARY = "=_postmill"
 MAIL_SHAPES = 11
 
@@ -208,6 +212,12 @@ def raw_mails(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("path", content.alias("content"))
 
 
+def empty_mails(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, content``: some empty files."""
+    some = documents(spark, folder).where(f"doc_id % {EMPTY_EVERY} = 0")
+    return some.selectExpr(f"{EMPTY_PATH} as path", "cast('' as binary) as content")
+
+
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """``path, content``: the web pages as raw mails, with their address as plain text."""
     pages = table(spark, folder, "pages")

@@ -304,6 +304,13 @@ ORACLE = {
     "mail_scan": f"""with {MAILBOX}, {cleaned('m')}
         select '{fixed.CORPUS_NAME}' as source, path, subject, clean_text, urls
         from c where not failed""",
+    "mail_files": f"""with {MAILBOX}, {cleaned('m')}
+        select path, case when failed then '' else subject end as subject,
+          case when failed then '' else clean_text end as clean_text,
+          case when failed then '' else urls end as urls,
+          case when failed then 'TypeError: the body is binary' end as error from c
+        union all select {fixtures.EMPTY_PATH}, '', '', '', null from documents
+        where doc_id % {fixtures.EMPTY_EVERY} = 0""",
     "preferred_body": f"""with p as (select *, page_id {SHAPE} as shape from pages)
         select page_id,
           case when shape in (3, 4, 5, 6) then 'html' when shape <> 9 then 'plain' end as body_kind,
@@ -385,6 +392,14 @@ ORACLE = {
               when 'categorize' then list_contains(string_split(allowed, ', '), lower(answer))
               else true end, false) end as valid from f""",
     "cap_items": f"{CLEAN} select doc_id, clean_text from c order by doc_id limit {queries.CAP}",
+    "semantic_search": f"""with v as (select vec_id as id, embedding::double[] as v from embeddings
+          where vec_id is not null and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+            and len(list_filter(embedding, lambda e: e <> 0)) > 0),
+        s as (select q.id as query_id, v.id, round(list_cosine_similarity(q.v, v.v), 9) as similarity
+          from v q join v on q.id <> v.id and len(q.v) = len(v.v) where q.id % {queries.QUERY_EVERY} = 0)
+        select query_id, cast(row_number() over o as int) as rank, id, similarity from s
+        window o as (partition by query_id order by similarity desc, id)
+        qualify row_number() over o <= {queries.NEAREST}""",
     "task_serving": f"""with {REQUESTS},
         nb as (select * exclude (body), {strip("coalesce(body, '')")} as body from q),
         sent as (select * from nb where body <> '' and lower(task) in ({KNOWN_TASKS})),

@@ -35,6 +35,7 @@ from postmill.operators.labelling import (
     label_requests,
     label_stats,
 )
+from postmill.operators.search import build_index, semantic_search
 from postmill.operators.routing import multitask_mix, route_requests, serve_requests
 from postmill.operators.shaping import batch_plan, cap_items, cap_sequences, length_batches, sample_items
 from postmill.plans import fixtures
@@ -46,12 +47,15 @@ from postmill.sources.jsonl import (
     write_chat_examples,
     write_clean_emails,
 )
+from postmill.sources.mail_source import read_mail_files, write_mail_files
 from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import body_text, parse_mails
 from postmill.sources.texts import nonblank_bodies
 from postmill.streaming.incremental import start_email_stream
 
 CAP = 500
+NEAREST = 10
+QUERY_EVERY = 50
 SAMPLE_FRACTION = 0.25
 SKIP_EVERY = 11
 
@@ -120,6 +124,20 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return quarantined(_scanned(spark, folder))
 
 
+def mail_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as mail files and read back, clean ones and failures."""
+    root = shared_dir(spark, "mailbox")
+    raw = fixtures.raw_mails(spark, folder).unionByName(fixtures.empty_mails(spark, folder))
+    lost = write_mail_files(raw, root).where("error is not null")
+    if not lost.isEmpty():
+        raise OSError(lost.first().error)
+    records = clean_records(read_mail_files(spark, root))
+    path = F.regexp_replace("path", "^.*?(?=/mail/)", "")
+    return records.select(
+        path.alias("path"), "subject", "clean_text", _flat(F.col("urls")), "error"
+    )
+
+
 def nonblank(spark: SparkSession, folder: str) -> DataFrame:
     bodies = fixtures.documents(spark, folder, "text").selectExpr(
         "doc_id", f"{fixtures.BLANKABLE} as body"
@@ -321,6 +339,14 @@ def task_serving(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def search(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest other vectors to every 50th, over all vectors."""
+    vectors = fixtures.table(spark, folder, "embeddings").select("vec_id", "embedding")
+    index = build_index(vectors, None, "vec_id", "embedding")
+    queries = vectors.where(F.col("vec_id") % QUERY_EVERY == 0)
+    return semantic_search(index, queries, NEAREST, "vec_id", "embedding", exclude_same_id=True)
+
+
 def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaner over a stream of the documents, read back from what the stream wrote."""
     target = shared_dir(spark, "stream")
@@ -348,6 +374,7 @@ QUERIES = {
     "hard_cut": hard_cuts,
     "nonblank_bodies": nonblank,
     "mail_scan": mail_scan,
+    "mail_files": mail_files,
     "preferred_body": preferred_body,
     "quarantine": quarantine,
     "clean_jsonl_roundtrip": clean_jsonl_roundtrip,
@@ -375,6 +402,7 @@ QUERIES = {
     "sample_items": sample,
     "multitask_mix": multitask,
     "task_replies": task_replies,
+    "semantic_search": search,
     "task_serving": task_serving,
     "stream_clean_emails": stream_clean,
 }
