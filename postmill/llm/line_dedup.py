@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,12 +157,12 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["key", "place", "id", "line"])
 
 
-@F.pandas_udf(BooleanType())
-def _within_one(left: pd.Series, right: pd.Series) -> pd.Series:
+@F.arrow_udf(BooleanType())
+def _within_one(left: pa.Array, right: pa.Array) -> pa.Array:
     """Whether two word sequences are within one insertion, deletion or replacement."""
 
-    def near(x: bytes, y: bytes) -> bool:
-        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    def near(x: pa.Scalar, y: pa.Scalar) -> bool:
+        a, b = (np.frombuffer(value.as_buffer(), np.uint64) for value in (x, y))
         if len(a) > len(b):
             a, b = b, a
         if len(b) - len(a) > 1:
@@ -175,7 +174,7 @@ def _within_one(left: pd.Series, right: pd.Series) -> pd.Series:
         rest = a[at + 1 :] if len(a) == len(b) else a[at:]
         return np.array_equal(rest, b[at + 1 :])
 
-    return pd.Series([near(x, y) for x, y in zip(left, right, strict=True)], dtype=bool)
+    return pa.array([near(x, y) for x, y in zip(left, right, strict=True)], pa.bool_())
 
 
 def _part(text: Column) -> Column:
@@ -282,13 +281,14 @@ def dropped_lines(
     return gone.groupBy("id", part).agg(F.array_sort(F.collect_set(number)).alias("lines"))
 
 
-@F.pandas_udf(StringType())
-def _without(text: pd.Series, lines: pd.Series) -> pd.Series:
-    def cut(x: str, numbers: np.ndarray) -> str:
-        gone = set(numbers.tolist())
+@F.arrow_udf(StringType())
+def _without(text: pa.Array, lines: pa.Array) -> pa.Array:
+    def cut(x: str, numbers: list[int]) -> str:
+        gone = set(numbers)
         return "\n".join(s for i, s in enumerate(x.split("\n")) if i not in gone)
 
-    return pd.Series([None if x is None else cut(x, n) for x, n in zip(text, lines, strict=True)])
+    rows = zip(text, lines, strict=True)
+    return pa.array([cut(x.as_py(), n.as_py()) if x.is_valid else None for x, n in rows], pa.string())
 
 
 def dedup_lines(

@@ -13,7 +13,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,13 +156,14 @@ def _sets(n: int, weighted: bool):
     return by_blocks(work)
 
 
-@F.pandas_udf(DoubleType())
-def _similarity(a: pd.Series, wa: pd.Series, b: pd.Series, wb: pd.Series) -> pd.Series:
+@F.arrow_udf(DoubleType())
+def _similarity(a: pa.Array, wa: pa.Array, b: pa.Array, wb: pa.Array) -> pa.Array:
     """Weighted Jaccard similarity: the sum of minima over the sum of maxima."""
 
-    def one(x: bytes, u: bytes, y: bytes, v: bytes) -> float:
+    def one(*row: pa.Scalar) -> float:
+        x, u, y, v = (value.as_buffer() for value in row)
         left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if not u:
+        if not u.size:
             merged = np.concatenate([left, right])
             merged.sort(kind="stable")
             common = int((merged[1:] == merged[:-1]).sum())
@@ -173,7 +173,7 @@ def _similarity(a: pd.Series, wa: pd.Series, b: pd.Series, wb: pd.Series) -> pd.
         common = int(np.minimum(p[i], q[j]).sum())
         return common / (int(p.sum()) + int(q.sum()) - common)
 
-    return pd.Series([one(*row) for row in zip(a, wa, b, wb, strict=True)], dtype=float)
+    return pa.array([one(*row) for row in zip(a, wa, b, wb, strict=True)], pa.float64())
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:

@@ -12,7 +12,6 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -237,17 +236,22 @@ def rate_documents(
 
 
 def keep_good(documents: DataFrame, model: Model, text_column: str = "text", **options) -> DataFrame:
-    """``documents`` that the model keeps, all their columns unchanged."""
+    """``documents`` that the model keeps, all their columns unchanged.
+
+    Each row is judged by its own text alone: a null text as an empty one, a very long text as a
+    whole, rows that repeat an id or a text one by one, rows without an id as well. An empty table
+    is returned as it is.
+    """
     prepare(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     wanted, threshold = options.get("wanted", 2), options.get("threshold", THRESHOLD)
 
-    @F.pandas_udf(BooleanType())
-    def good(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf(BooleanType())
+    def good(texts: pa.Array) -> pa.Array:
         found = [np.empty(0)]
         for a in range(0, len(texts), 256):
-            for _, block in blocks(texts.iloc[a : a + 256].tolist()):
+            for _, block in blocks(texts.slice(a, 256).to_pylist()):
                 found.append(sent.value.reach(_features(block))[:, wanted - 1])
-        return pd.Series(np.concatenate(found) >= threshold)
+        return pa.array(np.concatenate(found) >= threshold)
 
     return documents.where(good(F.coalesce(F.col(f"`{text_column}`"), F.lit(""))))

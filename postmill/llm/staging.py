@@ -11,7 +11,7 @@ from postmill.session import shared_dir, ship_package
 #: What a batch of rows for Python may have, so that a worker's memory stays bounded.
 BATCH = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20),
 }
 
 
