@@ -11,21 +11,27 @@ from pyspark.sql import functions as F
 # free of characters, so no text uses it.
 GAP = "\ufdd0"
 
-_ATTRS = r"""(?:=[ \t\n\r\f]*"[^"]*"|=[ \t\n\r\f]*'[^']*'|=|[^>=]+{p})*{p}(?:>|\z)"""
+_ATTRS = r"""(?:=[ \t\n\r\f]*"[^"]*"|=[ \t\n\r\f]*'[^']*'|=|[^>=]++)*+(?:>|\z)"""
+_WESTERN = {
+    code: bytes([code]).decode("cp1252", "ignore")
+    for code in range(0x80, 0xA0)
+    if bytes([code]).decode("cp1252", "ignore")
+}
 _UNREAD = ("script", "style", "template")
 
 
-def markup_pattern(possessive: str = "+") -> str:
+def markup_pattern() -> str:
     """Comments, unread subtrees, tags and declarations, as one alternation.
 
+    Ruby annotations (``rt``, ``rp``) are unread up to the next one or the end of their ruby.
+
     One pass from the left decides what each ``<`` opens, so markup inside a script
     string or a comment does not count. Quoted attribute values may hold ``>``.
-    ``possessive`` is the mark for quantifiers that never give back; engines without
-    backtracking take an empty one.
     """
-    attrs = _ATTRS.format(p=possessive)
-    unread = "|".join(rf"<{t}\b{attrs}.*?(?:</{t}\b[^>]*{possessive}(?:>|\z)|\z)" for t in _UNREAD)
-    return rf"(?is)<!--.*?(?:-->|\z)|{unread}|</?[a-z]{attrs}|<[!?][^>]*(?:>|\z)"
+    attrs = _ATTRS
+    unread = "|".join(rf"<{t}\b{attrs}.*?(?:</{t}\b[^>]*+(?:>|\z)|\z)" for t in _UNREAD)
+    ruby = rf"<r[tp]\b{attrs}.*?(?=</?(?:rt|rp|ruby)\b|\z)"
+    return rf"(?is)<!--.*?(?:-->|\z)|{unread}|{ruby}|</?[a-z]{attrs}|<[!?][^>]*(?:>|\z)"
 
 
 def html_to_text(html: Column) -> Column:
@@ -61,7 +67,10 @@ def decode_references(text: Column) -> Column:
 
 
 def _character(code: Column) -> Column:
-    """The character of a code point; empty for one that may not occur in markup."""
+    """The character of a code point; empty for one that may not occur in markup.
+
+    Numbers from 128 to 159 are meant in windows-1252, where that has a character.
+    """
     allowed = (
         code.isin(9, 10, 13)
         | code.between(0x20, 0xD7FF)
@@ -69,4 +78,6 @@ def _character(code: Column) -> Column:
         | code.between(0x10000, 0x10FFFF)
     )
     as_bytes = F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0"))
-    return F.when(allowed, F.decode(as_bytes, "UTF-32")).otherwise("")
+    western = F.create_map(*[F.lit(x) for pair in _WESTERN.items() for x in pair])
+    meant = F.when(code.between(0x80, 0x9F), F.try_element_at(western, code))
+    return F.coalesce(meant, F.when(allowed, F.decode(as_bytes, "UTF-32")).otherwise(""))

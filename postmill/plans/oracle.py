@@ -11,7 +11,6 @@ import re
 from html.entities import name2codepoint
 
 from postmill import fixed_values as fixed
-from postmill.functions.html import GAP, markup_pattern
 from postmill.functions.summary import PREFIXES
 from postmill.operators.routing import BLANK_ERROR
 from postmill.operators.shaping import CHUNK_BATCHES
@@ -248,19 +247,87 @@ def decoded(x: str) -> str:
         f"({code} in (9, 10, 13) or {code} between 32 and 55295 "
         f"or {code} between 57344 and 65533 or {code} between 65536 and 1114111)"
     )
+    # The code points that windows-1252 has for 128 to 159, without the five it lacks.
+    points = (
+        0x20AC, 0x201A, 0x0192, 0x201E, 0x2026, 0x2020, 0x2021, 0x02C6, 0x2030, 0x0160, 0x2039, 0x0152, 0x017D,
+        0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2013, 0x2014, 0x02DC, 0x2122, 0x0161, 0x203A, 0x0153, 0x017E, 0x0178,
+    )
+    western = ", ".join(str(c) for c in range(128, 160) if c not in (129, 141, 143, 144, 157))
+    signs = ", ".join(f"chr({c})" for c in points)
     named = f"(map {{{names}}})[regexp_extract(s, '^([a-zA-Z][a-zA-Z0-9]*);', 1)]"
     piece = f"""case when i = 1 then s
       when {named} is not null then {named} || regexp_replace(s, '^[^;]*;', '')
       when regexp_matches(s, '^#(?:[0-9]|[xX][0-9a-fA-F])')
-        then (case when {fits} then chr(cast({code} as int)) else '' end)
+        then (case when {code} between 128 and 159 and list_contains([{western}], {code})
+            then [{signs}][list_position([{western}], {code})]
+            when {fits} then chr(cast({code} as int)) else '' end)
           || regexp_replace(s, '^#(?:[0-9]+|[xX][0-9a-fA-F]+);?', '')
       else '&' || s end"""
     return f"array_to_string(list_transform(string_split({x}, '&'), lambda s, i: {piece}), '')"
 
 
-def html_text(x: str) -> str:
-    marked = f"regexp_replace({x}, {quote(markup_pattern(''))}, '{GAP}', 'g')"
-    return decoded(f"regexp_replace(trim({marked}, '{GAP}'), '{GAP}+', ' ', 'g')")
+# A page is walked construct by construct: what opens at the next "<", then to its end. Each
+# step gives a piece of text, or a mark where markup stood.
+MARK = "chr(64976)"
+
+
+def _step(pos: str, mode: str, name: str = "''", piece: str = "''") -> str:
+    return f"struct_pack(pos := {pos}, mode := {mode}, name := {name}, piece := {piece})"
+
+
+def _to_end(found: str, after: str) -> str:
+    """``after`` if ``found``, else the end of the page."""
+    return f"case when {found} = 0 then pos + length(s) else {after} end"
+
+
+_TEXT_STEP = f"""case when strpos(s, '<') = 0 then {_step("pos + length(s)", "'done'", piece="s")}
+  else {_step("pos + strpos(s, '<') - 1", "'open'", piece="substring(s, 1, strpos(s, '<') - 1)")} end"""
+_COMMENT_END = "strpos(substring(s, 5), '-->')"
+_OPEN_STEP = f"""case
+  when starts_with(s, '<!--') then {_step(_to_end(_COMMENT_END, f"pos + 6 + {_COMMENT_END}"), "'text'", piece=MARK)}
+  when regexp_matches(s, '(?i)^<(script|style|template|rt|rp)\\b') then {_step(
+      "pos + 1 + length(regexp_extract(s, '^<([A-Za-z]+)', 1))", "'tag'", "lower(regexp_extract(s, '^<([A-Za-z]+)', 1))")}
+  when regexp_matches(s, '^</?[A-Za-z]') then {_step("pos + length(regexp_extract(s, '^</?[A-Za-z]'))", "'tag'")}
+  when starts_with(s, '<!') or starts_with(s, '<?')
+    then {_step(_to_end("strpos(s, '>')", "pos + strpos(s, '>')"), "'text'", piece=MARK)}
+  else {_step("pos + 1", "'text'", piece="'<'")} end"""
+# In a tag: an equals sign with a quoted value behind it, another equals sign, or the end.
+_VALUE = "ltrim(substring(s, strpos(s, '=') + 1), ' ' || chr(9) || chr(10) || chr(13) || chr(12))"
+_VALUE_END = f"strpos(substring({_VALUE}, 2), substring({_VALUE}, 1, 1))"
+_TAG_STEP = f"""case
+  when strpos(s, '=') > 0 and (strpos(s, '>') = 0 or strpos(s, '=') < strpos(s, '>')) then
+    case when substring({_VALUE}, 1, 1) in ('"', chr(39)) and {_VALUE_END} > 0
+      then {_step(f"pos + length(s) - length({_VALUE}) + 1 + {_VALUE_END}", "'tag'", "name")}
+      else {_step("pos + strpos(s, '=')", "'tag'", "name")} end
+  else {_step(_to_end("strpos(s, '>')", "pos + strpos(s, '>')"),
+              "case when name = '' then 'text' when name in ('rt', 'rp') then 'ruby' else 'unread' end", "name", MARK)} end"""
+_LOW = "translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CLOSE = f"strpos({_LOW}, '</' || name)"
+_UNREAD_STEP = f"""case when {_CLOSE} = 0 then {_step("pos + length(s)", "'text'")}
+  when regexp_matches(substring(s, {_CLOSE} + 2 + length(name), 1), '[A-Za-z0-9_]')
+    then {_step(f"pos + {_CLOSE}", "'unread'", "name")}
+  else {_step(_to_end(f"strpos(substring(s, {_CLOSE}), '>')", f"pos + {_CLOSE} - 1 + strpos(substring(s, {_CLOSE}), '>')"),
+              "'text'", piece=MARK)} end"""
+_RUBY_STEP = f"""case when strpos(s, '<') = 0 then {_step("pos + length(s)", "'text'")}
+  when regexp_matches(substring(s, strpos(s, '<')), '(?i)^</?(rt|rp|ruby)\\b')
+    then {_step("pos + strpos(s, '<') - 1", "'open'")}
+  else {_step("pos + strpos(s, '<')", "'ruby'", "name")} end"""
+
+#: CTEs (of a recursive WITH) that end in ``page_texts``: page_id, url and the text of the page.
+PAGE_TEXTS = f"""
+numbered as (select row_number() over () as r, page_id, url, coalesce(html, '') as h from pages),
+walk as (
+  select r, 0 as n, {_step("cast(1 as bigint)", "'text'")} as state from numbered
+  union all
+  select r, n + 1, case mode when 'text' then {_TEXT_STEP} when 'open' then {_OPEN_STEP}
+    when 'tag' then {_TAG_STEP} when 'unread' then {_UNREAD_STEP} else {_RUBY_STEP} end
+  from (select w.r, w.n, w.state.pos as pos, w.state.mode as mode, w.state.name as name, substring(p.h, w.state.pos) as s
+    from walk w join numbered p on w.r = p.r where w.state.mode <> 'done')
+),
+glued as (select r, string_agg(state.piece, '' order by n) as t from walk group by r),
+page_texts as (select page_id, url, {decoded(
+    f"array_to_string(list_filter(string_split(t, {MARK}), lambda x: x <> ''), ' ')")} as text
+  from numbered join glued using (r))"""
 
 
 # What parsing must give for the mail shapes of the fixtures, by variant number.
@@ -291,7 +358,7 @@ _FIRST = (("system", SUMMARY_SYSTEM), ("user", "user_text"))
 
 ORACLE = {
     "clean_emails": f"{CLEAN} select doc_id, coalesce(subject, '') as subject, clean_text, urls from c",
-    "html_to_text": f"select page_id, {html_text('html')} as text from pages",
+    "html_to_text": f"with recursive {PAGE_TEXTS} select page_id, text from page_texts",
     "strip_quoted_history": _cut_query(quotes_cut),
     "remove_signature": _cut_query(signature_cut),
     "normalize_whitespace": _scalar_query(collapse("body")),
@@ -311,10 +378,10 @@ ORACLE = {
           case when failed then 'TypeError: the body is binary' end as error from c
         union all select {fixtures.EMPTY_PATH}, '', '', '', null from documents
         where doc_id % {fixtures.EMPTY_EVERY} = 0""",
-    "preferred_body": f"""with p as (select *, page_id {SHAPE} as shape from pages)
+    "preferred_body": f"""with recursive {PAGE_TEXTS}, p as (select *, page_id {SHAPE} as shape from page_texts)
         select page_id,
           case when shape in (3, 4, 5, 6) then 'html' when shape <> 9 then 'plain' end as body_kind,
-          case when shape in (3, 4, 5, 6) then {html_text('html')} when shape = 8 then ''
+          case when shape in (3, 4, 5, 6) then text when shape = 8 then ''
             when shape <> 9 then url end as body,
           case when shape = 9 then 'TypeError: the body is binary' end as error from p""",
     "quarantine": f"""with {MAILBOX}
@@ -322,6 +389,9 @@ ORACLE = {
     "clean_jsonl_roundtrip": f"""{CLEAN} select 'documents' as source,
         cast(doc_id as varchar) as path, subject, clean_text, urls from c""",
     "chat_jsonl_roundtrip": f"{EXAMPLES} select system, user_text as \"user\", draft as assistant from x",
+    "kept_count": f"""with {DRAFTS}, l as (select {content_lines('draft')} as ls from d)
+        select count(*) as every, count(*) filter ({lenient('ls')}) as kept,
+          count(*) filter ({lenient('ls')}) as read_back from l""",
     "summary_strict": f"""with {DRAFTS}, l as (select doc_id, {content_lines('draft')} as ls from d)
         select doc_id, {strict('ls')} as valid from l""",
     "summary_lenient": f"""with {DRAFTS}, l as (select doc_id, {content_lines('draft')} as ls from d)

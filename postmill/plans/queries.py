@@ -275,6 +275,22 @@ def chat_jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.select(*_contents(F.col("messages"), "system", "user", "assistant"))
 
 
+def kept_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Chat examples of the drafts that pass, over a former output of all: the sink's own count,
+    and what is read back."""
+    path = shared_dir(spark, "kept")
+    rows = clean_emails(fixtures.drafts(spark, folder))
+    prompt = summary_messages(F.col("subject"), F.col("clean_text"))
+    made = rows.select("draft", with_reply(prompt, F.col("draft")).alias("messages"))
+    every = write_chat_examples(made, path)
+    kept = write_chat_examples(made.where(is_lenient_summary(F.col("draft"))), path)
+    return read_chat_examples(spark, path).agg(
+        F.lit(every).cast("bigint").alias("every"),
+        F.lit(kept).cast("bigint").alias("kept"),
+        F.count("*").alias("read_back"),
+    )
+
+
 def chat_render(spark: SparkSession, folder: str) -> DataFrame:
     return fixtures.conversations(spark, folder).select(
         "conv_id", render_chat(F.col("messages")).alias("text")
@@ -379,6 +395,7 @@ QUERIES = {
     "quarantine": quarantine,
     "clean_jsonl_roundtrip": clean_jsonl_roundtrip,
     "chat_jsonl_roundtrip": chat_jsonl_roundtrip,
+    "kept_count": kept_count,
     "summary_strict": _draft_flag(is_strict_summary),
     "summary_lenient": _draft_flag(is_lenient_summary),
     "summary_coerce": coerce,

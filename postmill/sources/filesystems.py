@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
+from typing import BinaryIO, NamedTuple
 
 from pyarrow import fs
 
@@ -62,6 +62,10 @@ class MountedFiles:
             file.write(content)
         os.replace(f"{path}.part", path)
 
+    def create(self, path: str) -> BinaryIO:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        return open(path, "wb")
+
     def delete(self, path: str) -> None:
         try:
             os.remove(path)
@@ -98,6 +102,11 @@ class ArrowFiles:
             file.write(content)
         self.system.move(f"{inner}.part", inner)
 
+    def create(self, path: str) -> BinaryIO:
+        inner = self._inner(path)
+        self.system.create_dir(inner.rpartition("/")[0], recursive=True)
+        return self.system.open_output_stream(inner)
+
     def delete(self, path: str) -> None:
         try:
             self.system.delete_file(self._inner(path))

@@ -2,36 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill.schemas import CHAT_EXAMPLE, CLEAN_EMAIL
+from postmill.sources.committed import committed_paths, write_json_lines
 
 CORRUPT = "_corrupt_record"
 
 
-def _write(table: DataFrame, path: str) -> int:
-    """Write with all keys, also those of null fields; the rows are counted on the way."""
-    written = Observation("written")
-    counted = table.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return written.get["rows"]
-
-
 def _read(spark: SparkSession, path: str, schema: StructType, strict: bool) -> DataFrame:
+    paths = committed_paths(spark, path)
+    if not paths:
+        kinds = schema if strict else StructType([*schema.fields]).add(CORRUPT, "string")
+        return spark.createDataFrame([], kinds)
     if strict:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
     return (
         spark.read.schema(StructType([*schema.fields]).add(CORRUPT, "string"))
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
+        .json(paths)
     )
 
 
 def write_clean_emails(table: DataFrame, path: str) -> int:
-    """Overwrite ``path`` with clean mails; returns how many."""
-    return _write(table.select(*CLEAN_EMAIL.names), path)
+    """Overwrite ``path`` with clean mails; returns how many.
+
+    The old output is there until the new one is complete (``committed``).
+    """
+    return write_json_lines(table.select(*CLEAN_EMAIL.names), path)
 
 
 def read_clean_emails(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
@@ -48,8 +48,8 @@ def read_clean_emails(spark: SparkSession, path: str, *, strict: bool = True) ->
 
 
 def write_chat_examples(table: DataFrame, path: str) -> int:
-    """Overwrite ``path`` with chat examples; returns how many were kept."""
-    return _write(table.select(*CHAT_EXAMPLE.names), path)
+    """Overwrite ``path`` with chat examples; returns how many were kept, as the tasks report it."""
+    return write_json_lines(table.select(*CHAT_EXAMPLE.names), path)
 
 
 def read_chat_examples(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:

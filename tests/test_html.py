@@ -65,6 +65,39 @@ def test_pages_match_a_parser(spark):
         assert row.text.split() == " ".join(parser.parts).split()
 
 
+def test_ruby_and_western_numbers(apply):
+    pages = [
+        ("<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby> c", "a  c"),
+        ("<ruby>a<rp>(<rt>b<b>x</b><rp>)</ruby>c<p>rt", "a c rt"),
+        ("a<rt>b", "a"),
+        ("a<rtx>b", "a b"),
+        ("&#128;&#x92;&#129;&#159;", "\u20ac\u2019\x81\u0178"),
+        ("a<rt>" + "<b" * 50_000, "a"),
+    ]
+    markup, expected = zip(*pages, strict=True)
+    assert apply(html_to_text, markup) == list(expected)
+
+
+def test_sql_walks_the_same_pages(apply, tmp_path):
+    """The check's own walk through a page, on odd markup."""
+    import random
+
+    import duckdb
+    import pyarrow as pa
+
+    from postmill.plans.oracle import ORACLE
+
+    rng = random.Random(2)
+    parts = ["<p>", "</p", "<!--", "-->", "<script", "</script>", "<STYLE>", "</style ", "<rt>", "</rt>", "<rp", "</ruby>"]
+    parts += ["=", "'", '"', ">", "<", " ", "x", "\n", "&lt;", "&#150;", "&amp", "<!D", "<?", "/", "<a b= 'c>d'>", "</scripts>"]
+    pages = [p for p, _ in PAGES] + ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(400)]
+    db = duckdb.connect()
+    db.register("pages", pa.table({"page_id": range(len(pages)), "url": [""] * len(pages), "html": pages}))
+    found = dict(db.sql(ORACLE["html_to_text"]).fetchall())
+    for i, text in enumerate(apply(html_to_text, pages)):
+        assert found[i] == text, pages[i]
+
+
 def test_long_markup(apply):
     """Long tags, comments and tag runs must not overflow the matcher's stack."""
     pages = [
