@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BinaryType,
+    DataType,
+    DateType,
+    IntegralType,
+    StringType,
+    TimestampType,
+)
 
 from postmill.fixed_values import (
     ACCUMULATION_STEPS,
@@ -20,7 +29,7 @@ from postmill.session import shared_dir
 
 HASH_DIGITS = 3  # 16**3 buckets of the shuffled order, unless more are asked for
 CHUNK_BATCHES = 50  # batches that are sorted by length together
-MERGE_WAYS = 256
+BUCKET_ROWS = 10_000  # keys that one task may sort
 
 
 def word_tokens(text: Column) -> Column:
@@ -130,20 +139,68 @@ def batch_plan(
     )
 
 
-def cap_items(table: DataFrame, limit: int, key: str) -> DataFrame:
+def ordered_bytes(key: Column, kind: DataType) -> Column:
+    """``key`` as bytes in the same order: texts as UTF-8, numbers and times as fixed hex digits."""
+    if isinstance(kind, StringType):
+        return F.encode(key, "UTF-8")
+    if isinstance(kind, BinaryType):
+        return key
+    if isinstance(kind, TimestampType):
+        key = F.unix_micros(key)
+    elif isinstance(kind, DateType):
+        key = F.unix_date(key)
+    elif not isinstance(kind, IntegralType):
+        raise ValueError(f"rows are not capped by a key of type {kind.simpleString()}")
+    # With the sign bit turned, negative numbers come first.
+    turned = key.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))
+    return F.encode(F.lpad(F.hex(turned), 16, "0"), "UTF-8")
+
+
+def cutoff_key(table: DataFrame, limit: int, key: str, bucket_rows: int = BUCKET_ROWS) -> Column | None:
+    """The ``limit``-th key in order as a literal, or None if there are not so many.
+
+    Found by refining a histogram: rows are counted by the first byte in which keys differ, the
+    bucket that holds the ``limit``-th key is taken, and its keys are counted by the next byte in
+    which they differ, until a bucket has at most ``bucket_rows`` keys, which one task sorts. A
+    round counts at most 257 buckets, each with its least and greatest key, so bytes that all keys
+    of a bucket share take no round of their own.
+    """
+    kind = table.schema[key].dataType
+    known = table.select(F.col(f"`{key}`").alias("key")).where("key is not null")
+    known = known.withColumn("b", ordered_bytes(F.col("key"), kind))
+    ends = [F.count("*").alias("n")]
+    ends += [f(c).alias(f"{name}_{c}") for c in ("key", "b") for name, f in (("low", F.min), ("high", F.max))]
+    bucket = known.agg(*ends).first()
+    if bucket.n < limit:
+        return None
+    while bucket.n > bucket_rows and bucket.low_b != bucket.high_b:
+        shared = len(os.path.commonprefix([bytes(bucket.low_b), bytes(bucket.high_b)]))
+        # By the keys themselves, which the scan can compare with its statistics.
+        inside = known.where(F.col("key").between(F.lit(bucket.low_key), F.lit(bucket.high_key)))
+        # The digit is empty where a key ends there, and such a key comes first.
+        digit = F.substring("b", shared + 1, 1).alias("digit")
+        for bucket in sorted(inside.groupBy(digit).agg(*ends).collect(), key=lambda r: bytes(r.digit)):
+            if bucket.n >= limit:
+                break
+            limit -= bucket.n
+    if bucket.low_b == bucket.high_b:
+        return F.lit(bucket.low_key)
+    last = known.where(F.col("key").between(F.lit(bucket.low_key), F.lit(bucket.high_key)))
+    return F.lit(last.orderBy("key").limit(limit).agg(F.max("key")).first()[0])
+
+
+def cap_items(table: DataFrame, limit: int, key: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The first ``limit`` rows by a unique key; all rows when ``limit`` is not positive.
 
-    The cut-off key is found on the key column alone, in two rounds: the first rows of
-    each task, then the first rows of what groups of tasks kept, so that no task merges
-    the candidates of all others. The wide rows are then filtered where they are read.
+    Rows without a key are not kept, and rows that repeat the last key all are. The cut-off key is
+    found on the key column alone (``cutoff_key``), before the result is read; the wide rows are then filtered
+    at the scan. Keys are texts, bytes, whole numbers, dates or timestamps; others are a ``ValueError``.
     """
     if limit <= 0:
         return table
-    keys = table.select(F.col(key).alias("key"), (F.spark_partition_id() % MERGE_WAYS).alias("way"))
-    in_way = Window.partitionBy("way").orderBy("key")
-    kept = keys.withColumn("rank", F.row_number().over(in_way)).where(F.col("rank") <= limit)
-    cutoff = kept.select("key").orderBy("key").limit(limit).agg(F.max("key")).scalar()
-    return table.where(F.col(key) <= cutoff)
+    cutoff = cutoff_key(table, limit, key, bucket_rows)
+    column = F.col(f"`{key}`")
+    return table.where(column.isNotNull() if cutoff is None else column <= cutoff)
 
 
 def sample_items(table: DataFrame, fraction: float, key: str, seed: int = SEED) -> DataFrame:

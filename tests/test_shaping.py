@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators.shaping import (
@@ -75,11 +76,49 @@ def test_cap_items(spark):
     assert cap_items(table.where("id < 0"), 5, "path").count() == 0
 
 
-def test_cap_merges_in_groups(spark):
-    """Tasks prune before the shuffle, and only the key takes part."""
+def test_cap_filters_at_the_scan(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = cap_items(table, 10, "doc_id")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "LessThanOrEqual(doc_id" in plan and "Exchange" not in plan
+
+
+def test_cap_by_any_ordered_key(spark):
+    rows = spark.range(3000, numPartitions=7).selectExpr(
+        "(id * 7919 % 3000 - 1500) * 1000003 as number",
+        "concat('/mail/user', id % 40, '/', repeat('x', id % 3), id) as path",
+        "concat('\u00e9\U0001f600', id) as odd",
+        "encode(concat('\uffff', id * 31 % 3000), 'UTF-8') as raw",
+        "timestamp_seconds(id * 7919 % 3000 - 1500) as at",
+        "date_add(date'1970-01-02', int(id * 7919 % 3000 - 1500)) as day",
+        "if(id % 3 = 0, null, id) as some",
+    ).cache()
+    for key in rows.columns:
+        keys = sorted((r[0] for r in rows.select(key).collect() if r[0] is not None), key=lambda k: k.encode() if isinstance(k, str) else k)
+        for limit in (1, 2, 255, len(keys) // 2, len(keys) - 1, len(keys), len(keys) + 1):
+            found = [r[0] for r in cap_items(rows, limit, key, bucket_rows=16).select(key).collect()]
+            assert sorted(found, key=lambda k: k.encode() if isinstance(k, str) else k) == keys[:limit]
+    with pytest.raises(ValueError, match="double"):
+        cap_items(rows.selectExpr("cast(number as double) as d"), 5, "d")
+
+
+def test_cap_of_repeated_keys(spark):
+    rows = spark.range(1000).selectExpr("if(id < 900, 'same', concat('z', id)) as k")
+    assert cap_items(rows, 10, "k", bucket_rows=4).count() == 900
+    assert cap_items(rows, 905, "k", bucket_rows=4).count() == 905
+
+
+def test_no_task_of_a_cap_sorts_more_than_a_bucket(spark, monkeypatch):
+    """For half of the table, rounds bring at most 257 counts each, and one bucket is sorted."""
+    rows = spark.range(40_000, numPartitions=16).selectExpr("concat('/very/long/prefix/', md5(string(id))) as path")
+    collected, sorted_rows = [], []
+    collect, order = DataFrame.collect, DataFrame.orderBy
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    monkeypatch.setattr(DataFrame, "orderBy", lambda self, *c: sorted_rows.append(self.count()) or order(self, *c))
+    frame = cap_items(rows, 20_000, "path", bucket_rows=500)
+    monkeypatch.undo()
+    assert frame.count() == 20_000
+    assert len(sorted_rows) == 1 and sorted_rows[0] <= 500
+    assert 1 <= len(collected) <= 5 and max(map(len, collected)) <= 257
 
 
 def test_shared_folder_is_required_on_a_cluster(spark):
