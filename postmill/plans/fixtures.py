@@ -78,6 +78,20 @@ concat('/mail/user', cast(doc_id % 100 as string), case doc_id % 5
   when 0 then '/_sent_mail/' when 1 then '/.archive/' when 2 then '/inbox/.'
   when 3 then '/inbox/_' else '/inbox/' end, cast(doc_id as string), '.')"""
 
+# Mails as they arrive at a stream: for each run, which documents, their times and texts.
+ARRIVALS = (
+    (("true", "1700000000 + doc_id % 1000", "text"),),
+    (
+        ("doc_id % 3 = 0", "1700001000 + doc_id % 10", "text"),
+        ("doc_id % 5 = 0", "1700001000 + doc_id % 10", "concat(text, ' v2')"),
+    ),
+    (("doc_id % 7 = 0", "1700172800 + 0 * doc_id", "text"),),
+    (
+        ("doc_id % 11 = 0", "1700172860 + 0 * doc_id", "text"),
+        ("doc_id % 13 = 0", "1700005000 + 0 * doc_id", "concat(text, ' late')"),
+    ),
+)
+
 # Where an empty file stands beside the mails.
 EMPTY_EVERY = 97
 EMPTY_PATH = "concat('/mail/empty/_', cast(doc_id as string))"

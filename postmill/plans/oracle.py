@@ -481,5 +481,14 @@ ORACLE = {
         select doc_id, null, 'rejected', 0,
           case when body = '' then '{BLANK_ERROR}' else {TASK_ERROR} end from nb
         where body = '' or lower(task) not in ({KNOWN_TASKS})""",
+    # A day's repeats are known, those of two days later too, as nothing has moved the stream's
+    # time on before them; after them all others are forgotten.
+    "stream_mail_versions": """with k as (select doc_id, text from documents where doc_id is not null)
+        select doc_id, 1700000000 + doc_id % 1000 as seconds, md5(text) as text_md5, cast(1 as bigint) as version,
+          'new' as kind from k
+        union all select doc_id, 1700001000 + doc_id % 10, md5(text || ' v2'), 2, 'changed' from k
+          where doc_id % 5 = 0 and text is not null
+        union all select doc_id, 1700172860, md5(text), 1, 'new' from k
+          where doc_id % 11 = 0 and doc_id % 7 <> 0""",
     "stream_clean_emails": f"{CLEAN} select doc_id, clean_text, urls from c",
 }

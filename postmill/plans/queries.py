@@ -52,6 +52,7 @@ from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import body_text, parse_mails
 from postmill.sources.texts import nonblank_bodies
 from postmill.streaming.incremental import start_email_stream
+from postmill.streaming.versions import mail_versions
 
 CAP = 500
 NEAREST = 10
@@ -379,6 +380,32 @@ def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("doc_id", "clean_text", _flat(F.col("urls")))
 
 
+def stream_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Four runs of one stream over the documents as mails: all; repeats and changes; repeats two
+    days later; repeats of forgotten and of known ones, and late ones."""
+    target = shared_dir(spark, "versions")
+    documents = fixtures.documents(spark, folder, "text").where("doc_id is not null")
+    kinds = "id string, at timestamp, text string"
+    for run in fixtures.ARRIVALS:
+        for where, seconds, text in run:
+            arrived = documents.where(where).selectExpr(
+                "cast(doc_id as string) as id", f"timestamp_seconds({seconds}) as at", f"{text} as text"
+            )
+            arrived.write.mode("append").parquet(f"{target}/in")
+        stream = spark.readStream.schema(kinds).parquet(f"{target}/in")
+        found = mail_versions(stream, "id", "at", ["text"])
+        writer = found.writeStream.format("parquet").option("path", f"{target}/out")
+        writer = writer.option("checkpointLocation", f"{target}/state").trigger(availableNow=True)
+        writer.start().awaitTermination()
+    return spark.read.parquet(f"{target}/out").select(
+        F.col("id").cast("bigint").alias("doc_id"),
+        F.unix_seconds("at").alias("seconds"),
+        F.md5("text").alias("text_md5"),
+        F.col("version").cast("bigint").alias("version"),
+        "kind",
+    )
+
+
 QUERIES = {
     "clean_emails": clean,
     "html_to_text": html,
@@ -422,4 +449,5 @@ QUERIES = {
     "semantic_search": search,
     "task_serving": task_serving,
     "stream_clean_emails": stream_clean,
+    "stream_mail_versions": stream_versions,
 }
