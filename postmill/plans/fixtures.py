@@ -129,6 +129,30 @@ def drafts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def labelled_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``value``: each document as a labelled record, in one of three shapes with keys of their own."""
+    text, number = F.coalesce("text", F.lit("")), F.col("doc_id")
+    meta = F.struct(F.col("lang").alias("lang"), F.col("source").alias("from"))
+
+    def pairs(first: str, second: str, names: tuple[str, str]) -> Column:
+        made = [
+            F.struct(F.lit(name).alias(first), content.alias(second))
+            for name, content in zip(names, (text, F.col("source")), strict=True)
+        ]
+        return F.array(*made)
+
+    shapes = [
+        F.struct(number.alias("id"), pairs("role", "content", ("user", "assistant")).alias("messages"), meta.alias("meta")),
+        F.struct(pairs("from", "value", ("human", "gpt")).alias("conversations"), number.alias("id")),
+        F.struct(text.alias("prompt"), F.col("source").alias("response"), F.lit("x").alias("system")),
+    ]
+    value = F.lit(None).cast("string")
+    for shape, made in enumerate(shapes):
+        value = F.when(number % len(shapes) == shape, F.to_json(made)).otherwise(value)
+    rows = documents(spark, folder, "text", "lang", "source").where("doc_id is not null and source is not null and lang is not null")
+    return rows.select(value.alias("value"))
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id`` and the columns of a task request."""
     rows = documents(spark, folder, "text").selectExpr(
@@ -226,6 +250,31 @@ def raw_mails(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("path", content.alias("content"))
 
 
+def attachment_mails(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, content``: mails with none, one or two attachments that hold the document, or
+    with one in a character set that does not exist."""
+    rows = documents(spark, folder, "text").where("doc_id is not null")
+    number = F.col("doc_id").cast("string")
+    coded = F.base64(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    bound = f"{BOUNDARY}_parts"
+
+    def attached(kind: str, name: Column | str, content: Column) -> Column:
+        name = F.lit(name) if isinstance(name, str) else name
+        head = f"--{bound}\nContent-Type: {kind}\nContent-Transfer-Encoding: base64\nContent-Disposition: attachment; "
+        return F.concat(F.lit(head), name, F.lit("\n\n"), content, F.lit("\n"))
+
+    hello = F.concat(F.lit(f"--{bound}\nContent-Type: text/plain\n\nsee "), number, F.lit("\n"))
+    pdf = attached("application/pdf", F.concat(F.lit('filename="report'), number, F.lit('.pdf"')), coded)
+    table_ = attached("text/csv; charset=utf-8", F.concat(F.lit("filename*=utf-8''na%C3%AFve%20"), number, F.lit(".csv")), coded)
+    odd = attached("text/plain; charset=no-such-set", "filename=odd.txt", coded)
+    empty = F.lit("")
+    parts = F.when(F.col("doc_id") % 4 == 1, pdf).when(F.col("doc_id") % 4 == 2, F.concat(pdf, table_))
+    parts = parts.when(F.col("doc_id") % 4 == 3, odd).otherwise(empty)
+    head = f'From: a@example.com\nMIME-Version: 1.0\nContent-Type: multipart/mixed; boundary="{bound}"\n\n'
+    mail = F.encode(F.concat(F.lit(head), hello, parts, F.lit(f"--{bound}--\n")), "UTF-8")
+    return rows.select(number.alias("path"), mail.alias("content"))
+
+
 def empty_mails(spark: SparkSession, folder: str) -> DataFrame:
     """``path, content``: some empty files."""
     some = documents(spark, folder).where(f"doc_id % {EMPTY_EVERY} = 0")

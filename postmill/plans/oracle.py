@@ -378,6 +378,22 @@ ORACLE = {
           case when failed then 'TypeError: the body is binary' end as error from c
         union all select {fixtures.EMPTY_PATH}, '', '', '', null from documents
         where doc_id % {fixtures.EMPTY_EVERY} = 0""",
+    "mail_parts": """with k as (select doc_id, coalesce(text, '') as text from documents where doc_id is not null)
+        select doc_id, cast(0 as bigint) as part_no, 'text/plain' as content_type, cast(null as varchar) as file_name,
+          false as is_attachment, strlen('see ' || doc_id) as size, cast(null as varchar) as error from k
+        union all select doc_id, 1, 'application/pdf', 'report' || doc_id || '.pdf', true, strlen(text), null
+          from k where doc_id % 4 in (1, 2)
+        union all select doc_id, 2, 'text/csv', 'na\u00efve ' || doc_id || '.csv', true, strlen(text), null
+          from k where doc_id % 4 = 2
+        union all select doc_id, 1, 'text/plain', 'odd.txt', true, strlen(text),
+          'LookupError: unknown encoding: no-such-set' from k where doc_id % 4 = 3""",
+    "prompt_attachment": f"""with q as (select doc_id, 'attachment' as task, 'files' as subject,
+          'see ' || doc_id as body, '{fixed.DEFAULT_TONE}' as tone, '{fixed.DEFAULT_STYLE}' as style,
+          '{fixed.DEFAULT_LENGTH}' as length_word, {quote(', '.join(fixed.DEFAULT_CATEGORIES))} as categories,
+          case doc_id % 4 when 0 then {quote(fixed.NO_ATTACHMENTS)} when 1 then 'report' || doc_id || '.pdf'
+            when 2 then 'report' || doc_id || '.pdf, na\u00efve ' || doc_id || '.csv' else 'odd.txt' end as attachments
+          from documents where doc_id is not null)
+        select doc_id, {task_system()} as system, {task_user("body")} as "user" from q""",
     "preferred_body": f"""with recursive {PAGE_TEXTS}, p as (select *, page_id {SHAPE} as shape from page_texts)
         select page_id,
           case when shape in (3, 4, 5, 6) then 'html' when shape <> 9 then 'plain' end as body_kind,
@@ -389,6 +405,13 @@ ORACLE = {
     "clean_jsonl_roundtrip": f"""{CLEAN} select 'documents' as source,
         cast(doc_id as varchar) as path, subject, clean_text, urls from c""",
     "chat_jsonl_roundtrip": f"{EXAMPLES} select system, user_text as \"user\", draft as assistant from x",
+    "labelled_variants": f"""select
+          case when doc_id % 3 = 2 then 'system: x' || {NL} else '' end
+            || 'user: ' || coalesce(text, '') || {NL} || 'assistant: ' || source as said,
+          case doc_id % 3 when 0 then '{{"id":' || doc_id || ',"meta":{{"from":"' || source
+            || '","lang":"' || lang || '"}}}}' when 1 then '{{"id":' || doc_id || '}}' end as extra,
+          cast(null as varchar) as error
+        from documents where doc_id is not null and source is not null and lang is not null""",
     "kept_count": f"""with {DRAFTS}, l as (select {content_lines('draft')} as ls from d)
         select count(*) as every, count(*) filter ({lenient('ls')}) as kept,
           count(*) filter ({lenient('ls')}) as read_back from l""",

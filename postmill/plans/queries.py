@@ -47,9 +47,11 @@ from postmill.sources.jsonl import (
     write_chat_examples,
     write_clean_emails,
 )
+from postmill.sources.labelled import read_labelled
 from postmill.sources.mail_source import read_mail_files, write_mail_files
 from postmill.sources.maildir import is_mail_name
 from postmill.sources.mime import body_text, parse_mails
+from postmill.sources.parts import attachment_names, with_parts
 from postmill.sources.texts import nonblank_bodies
 from postmill.streaming.incremental import start_email_stream
 from postmill.streaming.versions import mail_versions
@@ -121,6 +123,26 @@ def mail_scan(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("source", "path", "subject", "clean_text", _flat(F.col("urls")))
 
 
+def mail_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts of mails with attachments."""
+    parts = with_parts(fixtures.attachment_mails(spark, folder))
+    return parts.select(
+        F.col("path").cast("bigint").alias("doc_id"), F.col("part_no").cast("bigint").alias("part_no"),
+        "content_type", "file_name", "is_attachment", "size", "error",
+    )
+
+
+def prompt_attachment(spark: SparkSession, folder: str) -> DataFrame:
+    """The attachment task's prompt, with the names that the mails themselves have."""
+    named = attachment_names(fixtures.attachment_mails(spark, folder))
+    requests = named.select(
+        F.col("path").cast("bigint").alias("doc_id"), F.lit("attachment").alias("task"),
+        F.lit("files").alias("subject"), F.concat(F.lit("see "), "path").alias("body"), "attachments",
+    )
+    routed = route_requests(requests)
+    return routed.select("doc_id", *_contents(F.col("messages"), "system", "user"))
+
+
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return quarantined(_scanned(spark, folder))
 
@@ -276,6 +298,15 @@ def chat_jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.select(*_contents(F.col("messages"), "system", "user", "assistant"))
 
 
+def labelled_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of three shapes, read back as chat messages and their other keys."""
+    path = shared_dir(spark, "labelled")
+    fixtures.labelled_lines(spark, folder).write.text(path)
+    rows = read_labelled(spark, path)
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
+    return rows.select(said.alias("said"), "extra", "error")
+
+
 def kept_count(spark: SparkSession, folder: str) -> DataFrame:
     """Chat examples of the drafts that pass, over a former output of all: the sink's own count,
     and what is read back."""
@@ -418,11 +449,14 @@ QUERIES = {
     "nonblank_bodies": nonblank,
     "mail_scan": mail_scan,
     "mail_files": mail_files,
+    "mail_parts": mail_parts,
+    "prompt_attachment": prompt_attachment,
     "preferred_body": preferred_body,
     "quarantine": quarantine,
     "clean_jsonl_roundtrip": clean_jsonl_roundtrip,
     "chat_jsonl_roundtrip": chat_jsonl_roundtrip,
     "kept_count": kept_count,
+    "labelled_variants": labelled_variants,
     "summary_strict": _draft_flag(is_strict_summary),
     "summary_lenient": _draft_flag(is_lenient_summary),
     "summary_coerce": coerce,
