@@ -19,7 +19,7 @@ from postmill.llm.ordinal_quality import grade, rate_documents, train_model
 from postmill.llm.packing import pack_documents
 from postmill.llm.revisits import resolve_revisits
 from postmill.llm.secret_crf import scan_secrets
-from postmill.llm.url_filter import Rule, judge_urls
+from postmill.llm.url_filter import FILE_ENDINGS, HOST_WORDS, Rule, judge_urls
 
 TOKENIZER = "word_bpe_49k.json"
 SURE_WORDS = 4  # a place of so many mandatory words scores a half
@@ -208,6 +208,18 @@ QUERIES = {
     "op13_fill_in_middle": fill_middle,
 }
 
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _unescaped_sql(column: str) -> str:
+    """Escapes of visible ASCII signs but ``/ ? #`` are read, then A-Z is in lower case."""
+    code = "try_cast('0x' || substring(x, 1, 2) as int)"
+    fits = f"regexp_matches(x, '^[2-7][0-9A-Fa-f]') and {code} not in (32, 35, 47, 63, 127)"
+    piece = f"case when i = 1 then x when {fits} then chr({code}) || substring(x, 3) else '%' || x end"
+    whole = f"array_to_string(list_transform(string_split({column}, '%'), lambda x, i: {piece}), '')"
+    return f"translate({whole}, {_LETTERS})"
+
+
 _URL_SQL = """
 with split as (
     select page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') as raw,
@@ -222,8 +234,21 @@ with split as (
         ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
         ('com/de/', 'com', '/de/', 'block')
 ), globs(pattern, host_part, path_end) as (
-    values ('*casino*/', 'casino', ''), ('*/*.exe', '', '.exe'), ('*/*.zip', '', '.zip'),
-        ('*spam*/', 'spam', ''), ('*porn*/', 'porn', '')
+    select '*' || w || '*/', w, '' from (select unnest([{words}]) as w)
+    union all select '*/*.' || e, '', '.' || e from (select unnest([{endings}]) as e)
+), parted as (
+    select page_id, {unescaped_host} as h, string_split({unescaped_path}, '/')[2:] as segments,
+        host = '' and path = '' as nothing
+    from named
+), seen as (
+    select page_id, nothing,
+        rtrim(regexp_replace(regexp_replace(h, '^(?s).*@', ''), ':(80|443)?$', ''), '.') as host,
+        '/' || array_to_string(list_concat(
+            list_reduce(list_transform(segments, lambda x: [x]), lambda a, b: case b[1]
+                when '.' then a when '..' then a[1:greatest(len(a) - 1, 1)] else list_concat(a, b) end,
+                ['']),
+            case when segments[-1] in ('.', '..') then [''] else [] end)[2:], '/') as path
+    from parted
 ), fits as (
     select page_id, max_by(struct_pack(rule, verdict), length(rule)) as best
     from named join rules
@@ -231,15 +256,19 @@ with split as (
     group by page_id
 ), judged as (
     select page_id, max_by(pattern, length(pattern)) as pattern
-    from named join globs on contains(host, host_part) and contains(path, path_end)
-        and starts_with(path, '/')
+    from seen join globs on not nothing and contains(host, host_part) and ends_with(path, path_end)
     group by page_id
 )
 select n.page_id, host, path, f.best.rule as rule,
     coalesce(f.best.verdict, case when j.pattern is null then 'allow' else 'block' end) as verdict,
     case when f.best is null then j.pattern end as "glob"
 from named n left join fits f using (page_id) left join judged j using (page_id)
-"""
+""".format(
+    words=", ".join(f"'{w}'" for w in HOST_WORDS),
+    endings=", ".join(f"'{e}'" for e in FILE_ENDINGS),
+    unescaped_host=_unescaped_sql("host"),
+    unescaped_path=_unescaped_sql("path"),
+)
 
 _CLASSES_SQL = """
 , walk as (

@@ -8,6 +8,7 @@ each step together, so the work per URL is (length x words) operations.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,22 +29,31 @@ class Rule:
     """``text`` is a host pattern, then a path pattern from its first ``/`` on.
 
     ``*`` is any run of characters and ``?`` any one; neither crosses from host to path. The
-    host pattern fits the host and its subdomains, the path pattern any path that starts so.
+    host pattern fits the host and its subdomains, the path pattern any path that starts so, or
+    with ``whole`` only one that ends there as well.
     """
 
     text: str
     verdict: str  # allow or block
+    whole: bool = False
 
 
+#: Words of hosts that are not wanted, and endings of files that are no pages.
+HOST_WORDS = ("spam", "casino", "porn", "xxx", "viagra", "gambling", "torrent")
+FILE_ENDINGS = (
+    "exe", "msi", "dmg", "apk", "iso", "bin", "zip", "rar", "7z", "gz", "tar", "jpg", "jpeg", "png", "gif",
+    "webp", "ico", "svg", "mp3", "wav", "mp4", "avi", "mov", "webm", "woff", "woff2", "css", "js",
+)
+
 #: What the filter judges by itself, where no given rule fits.
 DEFAULT_GLOBS = (
-    Rule("*spam*/", "block"),
-    Rule("*casino*/", "block"),
-    Rule("*porn*/", "block"),
-    Rule("*/*.exe", "block"),
-    Rule("*/*.zip", "block"),
+    *(Rule(f"*{word}*/", "block") for word in HOST_WORDS),
+    *(Rule(f"*/*.{ending}", "block", whole=True) for ending in FILE_ENDINGS),
 )
 
+_ESCAPE = re.compile("%([2-7][0-9A-Fa-f])")
+_DEFAULT_PORT = re.compile(":(80|443)?$")
+
 
 def host_and_path(url: str | None) -> tuple[str, str]:
     """Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case.
@@ -60,11 +70,49 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return host.lower(), slash + path
 
 
+def _lower(text: str) -> str:
+    return text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text)
+
+
+def _unescaped(text: str) -> str:
+    """Escapes of visible ASCII signs read once, but for those that would end a part of a URL."""
+
+    def sign(found: re.Match) -> str:
+        code = int(found.group(1), 16)
+        return found.group() if code in (0x20, 0x23, 0x2F, 0x3F, 0x7F) else chr(code)
+
+    return _ESCAPE.sub(sign, text) if "%" in text else text
+
+
+def canonical(host: str, path: str) -> tuple[str, str]:
+    """Host and path as globs see them, the same for all spellings of an address.
+
+    Both: escapes of visible ASCII signs are read (once, and not those of ``/ ? #``), then A-Z is in lower
+    case. Host: without what stands before its last ``@``, without a port of 80, 443 or nothing, and
+    without dots at its end. Path: ``.`` and ``..`` segments are followed, an empty one is ``/``. A URL without
+    a host stays as it is.
+    """
+    if not host and not path:
+        return host, path
+    host = _lower(_unescaped(host)).rpartition("@")[2]
+    host = _DEFAULT_PORT.sub("", host).rstrip(".")
+    parts: list[str] = []
+    segments = _lower(_unescaped(path)).split("/")[1:] or [""]
+    for segment in segments:
+        if segment == "..":
+            del parts[-1:]
+        elif segment != ".":
+            parts.append(segment)
+    if segments[-1] in (".", ".."):
+        parts.append("")
+    return host, "/" + "/".join(parts)
+
+
 class Automaton:
     """All rules at once; where several fit a URL, the one that comes first wins."""
 
     def __init__(self, rules: Sequence[Rule]) -> None:
-        tokens = [self._tokens(rule.text) for rule in rules]
+        tokens = [self._tokens(rule.text, rule.whole) for rule in rules]
         bits = sum(len(x) + 1 for x in tokens)
         self.words = max(1, -(-bits // _BITS))
         literals = sorted({t for x in tokens for t, _ in x if isinstance(t, int)})
@@ -94,11 +142,12 @@ class Automaton:
             self.rule_at[at - 1] = number
 
     @staticmethod
-    def _tokens(text: str) -> list[tuple[int | str, bool]]:
-        """(code point or ``?``, whether a ``*`` follows) of ``.host<separator>path*``."""
+    def _tokens(text: str, whole: bool = False) -> list[tuple[int | str, bool]]:
+        """(code point or ``?``, whether a ``*`` follows) of ``.host<separator>path``, and a ``*`` after
+        it unless ``whole``."""
         host, slash, path = text.partition("/")
         found: list[tuple[int | str, bool]] = [(ord("."), False)]
-        for mark in [*host, _SEPARATOR, *(slash + path), "*"]:
+        for mark in [*host, _SEPARATOR, *(slash + path), *("" if whole else "*")]:
             if mark == "*":
                 found[-1] = (found[-1][0], True)
             else:
@@ -159,9 +208,9 @@ def judge_urls(
 ) -> DataFrame:
     """(id, host, path, rule, verdict, glob) for every row of ``pages``.
 
-    Of the ``rules`` that fit, the longest decides (of equal ones, the first given) and is
-    named in ``rule``. Where none fits, ``rule`` is null and the longest fitting of ``globs``
-    decides, named in ``glob``; where none of those fits either, ``default`` does.
+    Of the ``rules`` that fit host and path, the longest decides (of equal ones, the first given) and
+    is named in ``rule``. Where none fits, ``rule`` is null and the longest of ``globs`` that fits the
+    ``canonical`` host and path decides, named in ``glob``; where none does either, ``default``.
 
     A null URL, an empty one and one without ``://`` have an empty host and path, which only
     patterns of ``*`` can fit. Repeated rows and null ids are judged like any other row,
@@ -169,25 +218,29 @@ def judge_urls(
     no shuffle, and memory is bounded by a block of URLs.
     """
     prepare(pages.sparkSession)
-    ordered = [*_by_length(rules), *_by_length(globs)]
-    given = len(rules)
+    first, second = _by_length(rules), _by_length(globs)
     id_type = pages.schema[id_column].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(ordered)
+        by_rule, by_glob = Automaton(first), Automaton(second)
         for batch in batches:
             for begin in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(begin, _ROWS)
                 split = [host_and_path(url) for url in part.column(1).to_pylist()]
-                fits = automaton.first_fitting([_key(*x) for x in split]).tolist()
+                rule = by_rule.first_fitting([_key(*x) for x in split]).tolist()
+                glob = by_glob.first_fitting([_key(*canonical(*x)) for x in split]).tolist()
+                pairs = list(zip(rule, glob, strict=True))
+                verdicts = [
+                    first[r].verdict if r >= 0 else second[g].verdict if g >= 0 else default for r, g in pairs
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array([host for host, _ in split], pa.string()),
                         pa.array([path for _, path in split], pa.string()),
-                        pa.array([ordered[i].text if 0 <= i < given else None for i in fits], pa.string()),
-                        pa.array([ordered[i].verdict if i >= 0 else default for i in fits], pa.string()),
-                        pa.array([ordered[i].text if i >= given else None for i in fits], pa.string()),
+                        pa.array([first[r].text if r >= 0 else None for r in rule], pa.string()),
+                        pa.array(verdicts, pa.string()),
+                        pa.array([second[g].text if r < 0 <= g else None for r, g in pairs], pa.string()),
                     ],
                     ["id", "host", "path", "rule", "verdict", "glob"],
                 )
