@@ -15,7 +15,7 @@ filling is known to be wrong says nothing.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -27,6 +27,7 @@ from postmill.llm.staging import free_name, id_and_text, joined_with, staged
 from postmill.llm.words import _STEP, Block, by_blocks, mixed, signed, table, windows
 
 WINDOW = 8
+ANCHOR = 4  # tokens by which a window of few plain tokens is found
 MIN_LITERALS = 5  # of a template window, tokens that are not placeholders
 BENCHMARK_CHARS = 8 << 20  # a benchmark up to this size is sent to every task
 BROADCAST_IDS = 1_000_000
@@ -122,9 +123,8 @@ def _readings(block: Block) -> dict[str, Tokens]:
     }
 
 
-def _windows(tokens: Tokens, n: int, least: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows within one text that have ``least`` plain tokens, and
-    not more than ``most``."""
+def _windows(tokens: Tokens, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the windows within one text that have ``least`` plain tokens."""
     count = len(tokens.keys) - n + 1
     if count <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -133,10 +133,7 @@ def _windows(tokens: Tokens, n: int, least: int, most: int | None = None) -> tup
     total = np.concatenate(([0], np.cumsum(tokens.types == _PLAIN)))
     plain = total[n:] - total[:-n]
     ok = (place + n <= text_end) & (plain >= least)
-    if most is None:
-        return place[ok], windows(tokens.keys, n)[ok]
-    place = place[ok & (plain <= most)]
-    return place, mixed(_polynomial(tokens.keys, place, n))
+    return place[ok], windows(tokens.keys, n)[ok]
 
 
 def _polynomial(keys: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
@@ -148,23 +145,30 @@ def _polynomial(keys: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
 
 
 class Shape(NamedTuple):
-    """A kind of windows: ``sparse`` ones have few plain tokens, and any length."""
+    """A kind of windows. Those of an ``anchor`` are not windows themselves, but the tokens by which
+    sparse windows, with few plain tokens and of any size, are found."""
 
     reading: str
     size: int
-    sparse: bool
+    anchor: bool
 
 
 def _found(tokens: Tokens, shape: Shape, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
     if shape.reading == "exact":
         return _windows(tokens, shape.size, 0)
-    if shape.sparse:
-        return _windows(tokens, shape.size, 1, min(min_literals, shape.size - 1))
-    return _windows(tokens, shape.size, min(min_literals, shape.size))
+    return _windows(tokens, shape.size, 1 if shape.anchor else min(min_literals, shape.size))
 
 
-def _item_windows(tokens: Tokens, reading: str, n: int, min_literals: int) -> set[tuple[Shape, int]]:
-    """Shapes and places of the windows of one item, which leave none of its tokens out.
+def _anchor(tokens: Tokens, a: int, b: int) -> tuple[int, int]:
+    """Of a sparse window, the first ``ANCHOR`` tokens in a row with the most plain ones, at least
+    one: their place and number."""
+    size = min(ANCHOR, b - a)
+    total = np.concatenate(([0], np.cumsum(tokens.types[a:b] == _PLAIN)))
+    return a + int(np.argmax(total[size:] - total[:-size])), size
+
+
+def _item_windows(tokens: Tokens, reading: str, n: int, min_literals: int) -> set[tuple[int, int, bool]]:
+    """(start, end, sparse) of the windows of one item, which leave none of its tokens out.
 
     An item that is shorter than ``n`` is one window. A template window that has not enough
     plain tokens grows to the right until it has, then to the left, up to the whole item.
@@ -172,29 +176,44 @@ def _item_windows(tokens: Tokens, reading: str, n: int, min_literals: int) -> se
     count = len(tokens.keys)
     if reading == "exact":
         size = min(n, count)
-        return {(Shape(reading, size, False), p) for p in range(count - size + 1)} if size else set()
+        return {(p, p + size, False) for p in range(count - size + 1)} if size else set()
     total = np.concatenate(([0], np.cumsum(tokens.types == _PLAIN)))
     found = set()
     for p in range(max(1, count - n + 1) if total[-1] else 0):
         a, b = p, min(p + n, count)
         if total[b] - total[a] >= min(min_literals, b - a):
-            found.add((Shape(reading, b - a, False), a))
+            found.add((a, b, False))
             continue
         b = max(b, min(count, int(np.searchsorted(total, total[a] + min_literals))))
         if total[b] - total[a] < min_literals:
             a = max(0, int(np.searchsorted(total, total[b] - min_literals, "right")) - 1)
-        found.add((Shape(reading, b - a, True), a))
+        found.add((a, b, True))
     return found
 
 
+def _item_keys(tokens: Tokens, reading: str, n: int, min_literals: int) -> Iterator[tuple[Shape, int, int, int, int]]:
+    """(shape, hash, place, start, end) by which a text's tokens are looked up: of each window of an
+    item the window itself, or its anchor."""
+    for a, b, sparse in sorted(_item_windows(tokens, reading, n, min_literals)):
+        place, size = _anchor(tokens, a, b) if sparse else (a, b - a)
+        (key,) = mixed(_polynomial(tokens.keys, np.array([place]), size)).tolist()
+        yield Shape(reading, size, sparse), key, place, a, b
+
+
 class Item(NamedTuple):
     number: int
     values: list[str]
     types: list[int]
+    keys: np.ndarray
 
 
 class Index:
-    """The windows of benchmark items, by shape."""
+    """The windows of benchmark items, by shape.
+
+    There are few shapes whatever the items are: windows of up to ``n`` tokens, and anchors of up
+    to ``ANCHOR``. So a text is hashed a bounded number of times, and sparse windows cost only where
+    their anchor stands.
+    """
 
     def __init__(self, ids: list[int], texts: list[str], n: int, min_literals: int) -> None:
         self.ids = ids
@@ -207,24 +226,19 @@ class Index:
                 low = text.lower() if len(text.lower()) == len(text) else text
                 spans = zip(tokens.starts.tolist(), tokens.ends.tolist(), strict=True)
                 values = [low[a:b] for a, b in spans]
-                self.items[kind].append(Item(number, values, tokens.types.tolist()))
-                of_shape: dict[Shape, list[int]] = {}
-                for shape, p in _item_windows(tokens, kind, n, min_literals):
-                    of_shape.setdefault(shape, []).append(p)
-                for shape, at in of_shape.items():
-                    hashes = mixed(_polynomial(tokens.keys, np.array(at), shape.size))
-                    held[shape] += [(h, number, p) for h, p in zip(hashes.tolist(), at, strict=True)]
+                self.items[kind].append(Item(number, values, tokens.types.tolist(), tokens.keys))
+                for shape, key, place, a, b in _item_keys(tokens, kind, n, min_literals):
+                    held[shape].append((key, number, place, a, b))
         self.tables = {}
-        for key, rows in held.items():
+        for shape, rows in held.items():
             rows.sort()
-            hashes = np.array([r[0] for r in rows], np.uint64)
-            self.tables[key] = (hashes, [r[1] for r in rows], [r[2] for r in rows])
+            self.tables[shape] = (np.array([r[0] for r in rows], np.uint64), [r[1:] for r in rows])
 
     def matches(self, block: Block) -> Iterator[tuple]:
         """(text, item, kind, start, stop, words) of the runs in the block's texts."""
         by_kind = _readings(block)
-        lines: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
-        for shape, (hashes, numbers, at) in self.tables.items():
+        lines: dict[tuple, set[tuple[int, int]]] = defaultdict(set)
+        for shape, (hashes, entries) in self.tables.items():
             tokens = by_kind[shape.reading]
             places, found = _found(tokens, shape, self.min_literals)
             hit = np.flatnonzero(_member(found, hashes))
@@ -233,9 +247,17 @@ class Index:
             places, found = places[hit], found[hit]
             low, high = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
             text = np.searchsorted(tokens.first, places, "right") - 1
+            items = self.items[shape.reading]
             for p, t, i, j in zip(places.tolist(), text.tolist(), low.tolist(), high.tolist(), strict=True):
-                for k in range(i, j):
-                    lines[shape.reading, t, numbers[k], p - at[k]].append((p, p + shape.size))
+                for number, place, a, b in entries[i:j]:
+                    begin, end = p - place + a, p - place + b
+                    if shape.anchor and not (
+                        tokens.first[t] <= begin
+                        and end <= tokens.first[t + 1]
+                        and np.array_equal(tokens.keys[begin:end], items[number].keys[a:b])
+                    ):
+                        continue
+                    lines[shape.reading, t, number, p - place].add((begin, end))
         for (kind, t, number, shift), found_at in lines.items():
             for run in _runs(found_at):
                 yield from self._run(block, by_kind[kind], kind, t, number, shift, run)
@@ -258,7 +280,7 @@ class Index:
             yield t, self.ids[number], "exact" if kind == "exact" else "template", a, b, end - begin
 
 
-def _runs(windows: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+def _runs(windows: Iterable[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
     """Windows that overlap or adjoin, as lists in their order."""
     run: list[tuple[int, int]] = []
     reach = 0
@@ -380,35 +402,41 @@ def find_leaks(
 def _by_join(docs: DataFrame, items: DataFrame, window: int, min_literals: int) -> DataFrame:
     """The same result through a join by window hash, for a benchmark of any size."""
 
-    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(1).to_pylist():
-                found = set()
-                for reading, tokens in _readings(Block([text])).items():
-                    found |= {shape for shape, _ in _item_windows(tokens, reading, window, min_literals)}
-                columns = list(zip(*sorted(found), strict=True)) or [[], [], []]
-                kinds = [pa.string(), pa.int64(), pa.bool_()]
+            for number, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows = {
+                    (*shape, key)
+                    for reading, tokens in _readings(Block([text])).items()
+                    for shape, key, *_ in _item_keys(tokens, reading, window, min_literals)
+                }
+                columns = list(zip(*sorted(rows), strict=True)) or [[]] * 4
+                kinds = [pa.string(), pa.int64(), pa.bool_(), pa.uint64()]
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, list(Shape._fields))
-
-    # At most three readings times the lengths up to that of the longest stretch of slots.
-    kinds = items.mapInArrow(shapes, "reading string, size bigint, sparse boolean").distinct()
-    wanted_shapes = sorted(Shape(*r) for r in kinds.collect())
-    hashed = _hash_rows(min_literals, wanted_shapes)
-    of_items = items.mapInArrow(hashed, "hash bigint, id bigint").distinct()
-    of_docs = docs.mapInArrow(hashed, "hash bigint, id bigint")
-    wanted = of_items.withColumnRenamed("id", "item")
-    pairs = staged(of_docs.join(wanted, "hash").select("id", "item").distinct(), "leak-pairs")
+                arrays[3] = signed(arrays[3].to_numpy())
+                arrays.append(pa.array([number] * len(rows), pa.int64()))
+                yield pa.RecordBatch.from_arrays(arrays, [*Shape._fields, "hash", "item"])
+
+    kinds = "reading string, size bigint, anchor boolean, hash bigint, item bigint"
+    of_items = staged(items.mapInArrow(keys, kinds), "item-windows")
+    # Three readings times ``window`` sizes, and two times ``ANCHOR``, at most.
+    wanted = sorted(Shape(*r) for r in of_items.select(*Shape._fields).distinct().collect())
+    of_docs = docs.mapInArrow(_hash_rows(min_literals, wanted), "hash bigint, id bigint")
+    by_hash = of_items.select("hash", "item").distinct()
+    pairs = staged(of_docs.join(by_hash, "hash").select("id", "item").distinct(), "leak-pairs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, index = None, None
         for batch in batches:
             for row in batch.to_pylist():
-                index = Index([row["item"]], [row["item_text"]], window, min_literals)
+                if row["item"] != last or index is None:  # the rows are in the order of items
+                    last = row["item"]
+                    index = Index([last], [row["item_text"]], window, min_literals)
                 yield _batch([row["id"]], _best(index.matches(Block([row["text"]]))))
 
     texts = items.select(F.col("id").alias("item"), F.col("text").alias("item_text"))
     both = docs.join(pairs, "id").join(texts, "item").select("id", "text", "item", "item_text")
-    return both.mapInArrow(compare, _RESULT)
+    return both.sortWithinPartitions("item").mapInArrow(compare, _RESULT)
 
 
 def drop_leaks(
