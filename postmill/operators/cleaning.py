@@ -16,7 +16,16 @@ from postmill.functions.cleaning import (
 from postmill.schemas import CLEAN_EMAIL
 from postmill.sources.mime import body_text
 
-_VISIBLE, _FLAT = "__visible", "__flat"
+
+def _free_names(table: DataFrame, *names: str) -> list[str]:
+    """The names, made longer where the table has them."""
+    taken = {column.lower() for column in table.columns}
+    found = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        found.append(name)
+    return found
 
 
 def clean_emails(
@@ -35,14 +44,15 @@ def clean_emails(
     body = F.col(body) if isinstance(body, str) else body
     # Texts that are used more than once are columns of their own, or Spark would run
     # the regular expressions behind them once per use.
-    staged = mails.withColumn(_VISIBLE, visible_text(body)).withColumns(
+    visible, flat = _free_names(mails, "visible_text", "flat_text")
+    staged = mails.withColumn(visible, visible_text(body)).withColumns(
         {
-            _FLAT: normalize_whitespace(F.col(_VISIBLE)),
-            "urls": extract_urls(F.col(_VISIBLE)),
+            flat: normalize_whitespace(F.col(visible)),
+            "urls": extract_urls(F.col(visible)),
         }
     )
-    text = with_subject(subject, truncate_thread(F.col(_FLAT), limit))
-    return staged.withColumn("clean_text", text).drop(_VISIBLE, _FLAT)
+    text = with_subject(subject, truncate_thread(F.col(flat), limit))
+    return staged.withColumn("clean_text", text).drop(visible, flat)
 
 
 def clean_records(

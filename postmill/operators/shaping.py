@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -37,14 +37,30 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[^{WS}]+"), F.lit(0))
 
 
-def tokenizer_tokens(make_encoder: Callable[[], Callable[[str], list[int]]]):
-    """Token ids from a user's tokenizer, made once per Python worker and task."""
+def tokenizer_tokens(
+    make_encoder: Callable[[], Callable[[str], list[int]]] | None = None,
+    *,
+    make_batch_encoder: Callable[[], Callable[[list[str]], list[list[int]]]] | None = None,
+):
+    """Token ids from a user's tokenizer, made once per Python worker and task.
+
+    Give an encoder of one text, or one of a list of texts, which is called for a batch at once.
+    A null text has no tokens and is null.
+    """
+    if (make_encoder is None) == (make_batch_encoder is None):
+        raise ValueError("either an encoder of one text or one of a batch")
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = make_encoder()
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = (make_encoder or make_batch_encoder)()
         for texts in batches:
-            yield texts.map(lambda text: list(encoder(text)))
+            known = texts.drop_null().to_pylist()
+            found = list(map(encoder, known)) if make_encoder else list(encoder(known))
+            if len(found) != len(known):
+                raise ValueError(f"{len(found)} rows of tokens for {len(known)} texts")
+            place = iter(found)
+            rows = [list(next(place)) if valid else None for valid in texts.is_valid().to_pylist()]
+            yield pa.array(rows, pa.list_(pa.int32()))
 
     return encode
 

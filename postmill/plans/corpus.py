@@ -20,20 +20,21 @@ from postmill.operators.labelling import (
 from postmill.operators.shaping import cap_items
 from postmill.session import shared_dir
 from postmill.sources.jsonl import read_clean_emails, write_chat_examples, write_clean_emails
-from postmill.sources.maildir import read_mails
+from postmill.sources.mail_source import read_mail_files
 
 
 def clean_corpus(
     spark: SparkSession, mail_root: str, output: str, *, source: str = CORPUS_NAME, limit: int = BODY_LIMIT
 ) -> DataFrame:
-    """Mail folder to clean-mail JSON Lines; returns the failures, path and reason.
+    """Mail folder, or an address such as ``s3://bucket/mail``, to clean-mail JSON Lines; returns the
+    failures, path and reason.
 
     The records are written once to the shared folder, already cleaned and cut to
     length: output and failures are both read from there, no mail is opened twice, and
     whole bodies are never stored. ``limit`` is the length that a cleaned body is cut to.
     """
     staged = shared_dir(spark, "records")
-    clean_records(read_mails(spark, mail_root), source, limit).write.parquet(staged)
+    clean_records(read_mail_files(spark, mail_root), source, limit).write.parquet(staged)
     records = spark.read.parquet(staged)
     write_clean_emails(accepted(records), output)
     return quarantined(records)

@@ -116,7 +116,11 @@ def emails(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
-    """``conv_id, messages``: the turns of each conversation, in their order."""
+    """``conv_id, messages``: the turns of each conversation, in their order.
+
+    All turns of a conversation come into one row, as a chat example is one; its length is the
+    conversation's.
+    """
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     said = F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
     return table(spark, folder, "conversations").groupBy("conv_id").agg(said.alias("messages"))

@@ -205,9 +205,17 @@ REQUESTS = f"""q as (select *, {fixtures.TASK} as task, {fixtures.SUBJECT} as su
     else {quote(', '.join(fixed.DEFAULT_CATEGORIES))} end as categories,
   case when doc_id % 2 = 0 then 'report' || cast(doc_id as varchar) || '.pdf, a.xlsx'
     else {quote(fixed.NO_ATTACHMENTS)} end as attachments from documents)"""
-def _reply_field(names: str) -> str:
-    """What follows one of the names; a reply has only those of its own task."""
-    return f"nullif(rtrim(regexp_extract(reply, '(?im)^[ \\t]*({names})[ \\t]*:[ \\t]*([^\\r\\n]*)', 2)), '')"
+
+
+def _reply_field(*names: str) -> str:
+    """What follows the first colon of the first line that has one of the names before it; a reply
+    has only those of its own task."""
+    blanks = "' ' || chr(9)"
+    before = f"lower(trim(substring(l, 1, strpos(l, ':') - 1), {blanks}))"
+    listed = ", ".join(map(quote, names))
+    fitting = f"list_filter(string_split(reply, {NL}), lambda l: strpos(l, ':') > 0 and {before} in ({listed}))"
+    after = f"list_transform({fitting}, lambda l: rtrim(ltrim(substring(l, strpos(l, ':') + 1), {blanks}), ' '))"
+    return f"nullif({after}[1], '')"
 
 
 KNOWN_TASKS = ", ".join(quote(t) for t in fixed.TASKS)
@@ -473,7 +481,7 @@ ORACLE = {
         {task_user("coalesce(body, '')")} as "user" from m""",
     "task_replies": f"""with {REQUESTS}, r as (select *, {fixtures.REPLY} as reply from q),
         f as (select doc_id, task, lower(task) as name, lower(categories) as allowed,
-          {_reply_field('label|category|summary')} as answer, {_reply_field('reason|checks')} as detail
+          {_reply_field('label', 'category', 'summary')} as answer, {_reply_field('reason', 'checks')} as detail
           from r)
         select doc_id, task,
           case when name in ('phishing', 'spam', 'categorize', 'attachment') then answer end as answer,

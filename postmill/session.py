@@ -46,7 +46,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if application not in _local_dirs:
             _local_dirs[application] = tempfile.mkdtemp(prefix="postmill-")
         base = _local_dirs[application]
-    return f"{base.rstrip('/')}/postmill/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/postmill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_shared(spark: SparkSession) -> bool:
+    """Delete what this application has written to the shared folder; returns if there was any.
+
+    Call it after the last read of a result: results are read from these tables, and a
+    result that is not written elsewhere is lost with them.
+    """
+    own = shared_dir(spark, "x").rpartition("/")[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.delete(path, True))
 
 
 _shipped: set[str] = set()

@@ -40,6 +40,20 @@ def test_own_tokenizer(spark):
     assert (row.n_tokens, row.tokens) == (4, [1, 2, 0])
 
 
+def test_batch_tokenizer(spark):
+    class Encoder:
+        def __call__(self, texts):
+            assert isinstance(texts, list) and None not in texts
+            return [[ord(c) for c in t] for t in texts]
+
+    table = spark.createDataFrame([(1, "ab"), (2, None), (3, ""), (4, "c")], "id int, text string")
+    rows = cap_sequences(table, limit=1, tokens=tokenizer_tokens(make_batch_encoder=Encoder)).collect()
+    assert {r.id: r.tokens for r in rows} == {1: [97], 2: None, 3: [], 4: [99]}
+    for wrong in ({}, {"make_encoder": Encoder, "make_batch_encoder": Encoder}):
+        with pytest.raises(ValueError, match="either"):
+            tokenizer_tokens(**wrong)
+
+
 @pytest.mark.parametrize("rows", [1, 15, 64, 1000, 5000])
 def test_length_batches(spark, rows):
     table = spark.range(rows).select("id", (F.xxhash64("id") % 50 + 50).alias("length"))
@@ -121,6 +135,26 @@ def test_no_task_of_a_cap_sorts_more_than_a_bucket(spark, monkeypatch):
     assert 1 <= len(collected) <= 5 and max(map(len, collected)) <= 257
 
 
+def test_shared_folder_is_cleared(spark):
+    other = spark.newSession()
+    path = shared_dir(other, "kept")
+    spark.range(3).write.parquet(path)
+    folder = path.rpartition("/")[0]
+    assert spark.sparkContext.applicationId in folder
+    # Not the whole of this session's folder, which other tests read from.
+    class Session:
+        conf, sparkContext, _jvm = other.conf, other.sparkContext, other._jvm
+
+    import postmill.session as session
+
+    plain = session.shared_dir
+    try:
+        session.shared_dir = lambda _, name: f"{path}/{name}"
+        assert session.clear_shared(Session) and not session.clear_shared(Session)
+    finally:
+        session.shared_dir = plain
+
+
 def test_shared_folder_is_required_on_a_cluster(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

@@ -169,3 +169,11 @@ def test_cleaner_is_row_local(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
     assert "ReadSchema: struct<text:string,source:string>" in text
+
+
+def test_cleaning_keeps_columns_of_any_name(spark):
+    from postmill.operators.cleaning import clean_emails
+
+    rows = spark.createDataFrame([("s", "b", 1, "v", "f")], "subject string, body string, visible_text int, Flat_Text string, __flat string")
+    row = clean_emails(rows).first()
+    assert (row.visible_text, row.Flat_Text, row["__flat"], row.clean_text) == (1, "v", "f", "Subject: s\nb")
