@@ -46,11 +46,14 @@ def stream_raw_mails(spark: SparkSession, folder: str, max_files: int = 100_000)
 def start_mail_stream(
     raw: DataFrame, output: str, checkpoint: str, **trigger: str | bool
 ) -> StreamingQuery:
-    """Parse and clean raw mails into ``output/clean``, failures into ``output/quarantine``."""
+    """Clean mails into ``output/clean``, failures into ``output/quarantine``.
+
+    ``raw`` are raw mails, or parsed ones as ``stream_mail_files`` gives them.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         # Both outputs read the cleaned records, which are written once to the shared folder.
-        made = clean_records(parse_mails(batch))
+        made = clean_records(parse_mails(batch) if "content" in batch.columns else batch)
         staged = shared_dir(batch.sparkSession, "stream-records")
         made.write.parquet(staged)
         records = batch.sparkSession.read.schema(made.schema).parquet(staged)

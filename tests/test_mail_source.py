@@ -16,7 +16,9 @@ from postmill.sources.mail_source import (
     stream_mail_files,
     write_mail_files,
 )
+from postmill.operators.cleaning import accepted, clean_records, quarantined
 from postmill.sources.maildir import read_mails
+from postmill.streaming.incremental import start_mail_stream
 from test_sources import MAILS, mail, relative
 
 
@@ -175,3 +177,19 @@ def test_offsets_go_by_the_log(maildir, tmp_path):
     assert max(len(s.files) for s in again.partitions(start, second)) == 1
     waiting = MailStreamReader(maildir, str(tmp_path / "other"), 4, 3600, 3)
     assert waiting.latestOffset() == start and waiting.partitions(start, start) == []
+
+
+def test_cleaned_stream_equals_batch(spark, maildir, tmp_path):
+    """Hidden names as well, cleaned and in quarantine, from a stream that is started twice."""
+    output, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for _ in range(2):
+        frame = stream_mail_files(spark, maildir, str(tmp_path / "log"), settleSeconds="0", maxFilesPerTrigger="4")
+        query = start_mail_stream(frame, output, state, processingTime="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+    batch = clean_records(read_mail_files(spark, maildir))
+    expected = accepted(batch)
+    found = spark.read.schema(expected.schema).json(f"{output}/clean").select(expected.columns)
+    assert sorted(found.collect()) == sorted(expected.collect()) and found.count() == len(MAILS) - 2
+    lost = spark.read.schema("path string, error string").json(f"{output}/quarantine")
+    assert sorted(lost.select("path", "error").collect()) == sorted(quarantined(batch).collect())
