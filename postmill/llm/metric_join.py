@@ -20,7 +20,7 @@ from postmill.llm.components import components
 from postmill.llm.staging import prepare, staged
 
 COSINE = 0.95
-CELL = 1024  # vectors that a cell is meant to have at home
+CELL = 4096  # vectors that a cell is meant to have at home: one block of homes
 MAX_PIVOTS = 1024
 MEMBERS = 8192  # of a cell, members in one tile
 HOMES = 4096  # and homes
