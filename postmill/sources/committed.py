@@ -26,6 +26,7 @@ from postmill.sources.filesystems import shared_files
 FORMAT = "committed_lines"
 MANIFEST = "_manifest.json"
 FILE_BYTES = 256 << 20
+_PORTION = 4 << 20  # of lines that are put together at a time
 
 
 @dataclass
@@ -58,18 +59,17 @@ class LineWriter(DataSourceArrowWriter):
         done = Written()
         file, rows, size = None, 0, 0
         try:
-            for batch in iterator:
-                for line in batch.column(0):
-                    if file is None:
-                        name = f"{task}-{len(done.files)}{self.suffix}"
-                        file, rows, size = store.create(f"{root}/{name}"), 0, 0
-                    content = line.as_py().encode() + b"\n"
-                    file.write(content)
-                    rows, size = rows + 1, size + len(content)
-                    if size >= self.file_bytes:
-                        file.close()
-                        done.files.append((name, rows))
-                        file = None
+            for lines in self._portions(iterator):
+                if file is None:
+                    name = f"{task}-{len(done.files)}{self.suffix}"
+                    file, rows, size = store.create(f"{root}/{name}"), 0, 0
+                content = "\n".join([*lines, ""]).encode()
+                file.write(content)
+                rows, size = rows + len(lines), size + len(content)
+                if size >= self.file_bytes:
+                    file.close()
+                    done.files.append((name, rows))
+                    file = None
         finally:
             if file is not None:
                 file.close()
@@ -77,6 +77,15 @@ class LineWriter(DataSourceArrowWriter):
             done.files.append((name, rows))
         return done
 
+    def _portions(self, batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+        """The lines in lists of about ``_PORTION`` bytes, and of one line at least."""
+        most = min(_PORTION, self.file_bytes)
+        for batch in batches:
+            column = batch.column(0)
+            count = max(1, int(most / max(1, column.nbytes / max(1, len(column)))))
+            for start in range(0, len(column), count):
+                yield column.slice(start, count).to_pylist()
+
     def _others(self, keep: set[str], prefix: str) -> list[str]:
         store, root = shared_files(self.path)
         try:
