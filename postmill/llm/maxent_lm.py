@@ -259,11 +259,14 @@ def _learn(weights, seen, bias, places, kinds, rate: float) -> None:
         here, gold = places[:, a : a + BATCH], kinds[a : a + BATCH]
         error = -_predicted(weights, bias, here)
         error[np.arange(len(gold)), gold] += 1
+        by_class = np.ascontiguousarray(error.T, np.float64)
         for kind in range(KINDS):
-            order = np.argsort(here[kind], kind="stable")
-            slots, begin = np.unique(here[kind][order], return_index=True)
-            change = np.add.reduceat(error[order], begin, axis=0)
-            change /= np.diff(np.append(begin, len(order)))[:, None]
+            counts = np.bincount(here[kind], minlength=SLOTS)
+            slots = np.flatnonzero(counts)
+            sums = np.empty((CLASSES, SLOTS))
+            for number, column in enumerate(by_class):
+                sums[number] = np.bincount(here[kind], column, SLOTS)
+            change = (sums[:, slots].T / counts[slots, None]).astype(np.float32)
             seen[kind][slots] += change**2
             weights[kind][slots] += rate * change / np.sqrt(seen[kind][slots])
 
