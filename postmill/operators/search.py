@@ -70,14 +70,25 @@ def unit_vectors(table: DataFrame, id_column: str, vector_column: str, size: int
     read = read.where(F.col("id").isNotNull() & (F.size("v") > 0) & whole)
     if size is not None:
         read = read.where(F.size("v") == size)
-    # The largest component first, so that no square overflows or vanishes.
-    largest = F.array_max(F.transform("v", F.abs))
-    scaled = read.withColumn("m", largest).where("m > 0")
-    scaled = scaled.withColumn("v", F.transform("v", lambda x: x / F.col("m")))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return scaled.withColumn("m", norm).select(
-        "id", F.transform("v", lambda x: x / F.col("m")).alias("vector")
-    )
+    return read.mapInArrow(_to_unit, "id bigint, vector array<double>")
+
+
+def _to_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column("v")
+        sizes = column.value_lengths().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        values = np.asarray(column.flatten())
+        # The largest component first, so that no square overflows or vanishes.
+        largest = np.maximum.reduceat(np.abs(values), ends[:-1])
+        values = values / np.repeat(np.where(largest > 0, largest, 1), sizes)
+        norm = np.sqrt(np.add.reduceat(values * values, ends[:-1]))
+        values = values / np.repeat(np.where(largest > 0, norm, 1), sizes)
+        vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+        made = pa.RecordBatch.from_arrays([batch.column("id"), vectors], ["id", "vector"])
+        yield made.filter(pa.array(largest > 0))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -194,36 +205,102 @@ def _bounds(centroids: np.ndarray, cells: np.ndarray, least: np.ndarray, most: n
     return run
 
 
+def _shelves(cells: list, size: int) -> dict[int, int]:
+    """A shelf for each cell: cells of one tile that follow each other share one, up to ``size`` vectors."""
+    shelves, held, shelf = {}, 0, -1
+    for row in cells:
+        if row.tiles > 1 or held + row.n > size or shelf < 0:
+            shelf += 1
+            held = 0
+        held += row.n if row.tiles == 1 else size
+        shelves[row.cell] = shelf
+    return shelves
+
+
+def _by_shelf(shelf_of: np.ndarray):
+    """For batches of (query, floor, limit, cells and bounds): the cells within the limit, by shelf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, _BATCH // 8):
+                batch = whole.slice(start, _BATCH // 8)
+                cells, bounds = batch.column("cells"), batch.column("bounds")
+                row = np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy())
+                kept = np.asarray(bounds.flatten()) <= np.asarray(batch.column("limit"))[row]
+                row, cell = row[kept], np.asarray(cells.flatten())[kept]
+                if not len(row):
+                    continue
+                shelf = shelf_of[cell]
+                order = np.lexsort((cell, shelf, row))
+                row, cell, shelf = row[order], cell[order], shelf[order]
+                first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (shelf[1:] != shelf[:-1])])
+                ends = np.append(first, len(row)).astype(np.int32)
+                columns = [
+                    batch.column("query").take(pa.array(row[first])),
+                    batch.column("floor").take(pa.array(row[first])),
+                    pa.array(shelf[first].astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(cell.astype(np.int32))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["query", "floor", "shelf", "cells"])
+
+    return run
+
+
 def _best_of_tile(k: int) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """The ``k`` best members of a tile for each query that probes it."""
+    """The ``k`` best members of a tile for each query, of the cells that it probes there, and none
+    below its ``floor``."""
 
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query": [], "id": [], "similarity": []}).astype({"query": "int64", "id": "int64"})
         if vectors.empty or queries.empty:
             return empty
-        ids = vectors["id"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
+        order = np.argsort(vectors["cell"].to_numpy(), kind="stable")
+        ids, held = vectors["id"].to_numpy()[order], vectors["cell"].to_numpy()[order]
         members = np.stack(vectors["vector"].to_numpy())[order]
-        asked = np.stack(queries["vector"].to_numpy())
-        rows = []
+        by_id = np.argsort(ids, kind="stable")
+        risen = ids[by_id]
+        cells, starts = np.unique(held, return_index=True)
+        ends = np.append(starts[1:], len(held))
+        asked, numbers = np.stack(queries["vector"].to_numpy()), queries["query"].to_numpy()
+        floors = queries["floor"].to_numpy(float)
+        floors = np.where(np.isnan(floors), -np.inf, floors)
+        own = queries["own"].to_list()
+        wanted = queries["cells"].to_list()
+        parts = []
         step = max(1, (4 << 20) // len(ids))  # similarities held at once
+        edge = 10.0**-DIGITS  # rounding moves a similarity by less
         for start in range(0, len(asked), step):
-            near = np.round(asked[start : start + step] @ members.T, DIGITS)
-            own = queries["own"].to_numpy()[start : start + step]
-            for i, row in enumerate(near):
-                # Ids rise, so a stable sort gives the smaller id of two that tie.
-                row = np.where(ids == own[i], -np.inf, row) if own[i] is not None and not pd.isna(own[i]) else row
-                if len(row) > k:
-                    least = -np.partition(-row, k - 1)[k - 1]
-                    some = np.flatnonzero(row >= least)
-                else:
-                    some = np.arange(len(row))
-                best = some[np.argsort(-row[some], kind="stable")[:k]]
-                best = best[np.isfinite(row[best])]
-                number = queries["query"].iat[start + i]
-                rows.append(pd.DataFrame({"query": number, "id": ids[best], "similarity": row[best]}))
-        return pd.concat(rows, ignore_index=True) if rows else empty
+            mine = slice(start, start + step)
+            probed = np.stack([np.isin(cells, c) for c in wanted[mine]])
+            if probed.all():
+                near = asked[mine] @ members.T
+            else:
+                near = np.full((len(probed), len(ids)), -np.inf)
+                for place in np.flatnonzero(probed.any(axis=0)):
+                    some = np.flatnonzero(probed[:, place])
+                    own_cell = slice(starts[place], ends[place])
+                    near[some, own_cell] = asked[mine][some] @ members[own_cell].T
+            for row, name in enumerate(own[mine]):
+                if name is not None and not pd.isna(name):
+                    low, high = np.searchsorted(risen, name, "left"), np.searchsorted(risen, name, "right")
+                    near[row, by_id[low:high]] = -np.inf
+            least = floors[mine].copy()
+            # A query without a floor, or with many members above it, takes the k-th best of this tile.
+            many = np.flatnonzero((near >= (least - edge)[:, None]).sum(axis=1) > 4 * k)
+            if len(many) and near.shape[1] > k:
+                kth = -np.partition(-near[many], k - 1, axis=1)[:, k - 1]
+                least[many] = np.maximum(least[many], kth)
+            above = near >= np.where(np.isfinite(least), least - edge, -2.0)[:, None]
+            row, column = np.nonzero(above)
+            similarity, found = np.round(near[row, column], DIGITS), ids[column]
+            # By similarity, and of two that tie the smaller id.
+            order = np.lexsort((found, -similarity, row))
+            row = row[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row, "left")
+            best = order[rank < k]
+            parts.append((numbers[mine][row[rank < k]], found[best], similarity[best]))
+        query, found, similarity = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pd.DataFrame({"query": query, "id": found, "similarity": similarity})
 
     return run
 
@@ -263,9 +340,10 @@ def semantic_search(
     bound is beyond its ``k``-th hit. Between rounds only hits and probes are kept, ``k`` rows and
     the open cells of a query.
 
-    A cell meets its queries in blocks, a tile of vectors with ``query_tile`` queries at most, so
-    neither a large cell nor one that all queries probe is one task. What is broadcast are
-    centroids and cell statistics, at most ``MAX_CELLS`` rows.
+    Small cells share a shelf of ``TILE`` vectors at most. A shelf meets its queries in blocks, a tile of
+    vectors with ``query_tile`` queries at most, so neither a large cell nor one that all queries
+    probe is one task, and a query goes once to a shelf, with the list of its cells there. What is
+    broadcast are centroids and cell statistics, at most ``MAX_CELLS`` rows.
     """
     spark = index.spark
     ship_package(spark)
@@ -287,8 +365,12 @@ def semantic_search(
     if max_probes is not None:
         order = order.select("query", *(F.slice(c, 1, max_probes).alias(c) for c in ("cells", "bounds")))
     order = _written(order, "probe-orders")
-    tiles = spark.createDataFrame([(r.cell, r.tiles) for r in cells], "cell int, tiles int")
-    vectors = index.vectors
+    shelves = _shelves(cells, TILE)
+    shelf_of = np.full(numbers.max() + 1, -1)
+    shelf_of[list(shelves)] = list(shelves.values())
+    tiles = spark.createDataFrame(list({shelves[r.cell]: r.tiles for r in cells}.items()), "shelf int, tiles int")
+    places = spark.createDataFrame(list(shelves.items()), "cell int, shelf int")
+    vectors = index.vectors.join(F.broadcast(places), "cell")
     hits = spark.createDataFrame([], _HITS)
     done = 0
     for count in (*probes, None):
@@ -298,32 +380,32 @@ def semantic_search(
         near = F.greatest(F.least(F.col("worst") - 10.0**-DIGITS, F.lit(1.0)), F.lit(-1.0))
         limit = F.when(F.col("worst").isNotNull(), F.acos(near) + _SLACK).otherwise(F.lit(4.0))
         open_ = order.join(worst, "query", "left").withColumn("limit", limit)
-        left = F.slice(F.arrays_zip("cells", "bounds"), done + 1, count or len(cells))
-        wanted = F.filter(left, lambda c: c["bounds"] <= F.col("limit"))
-        probed = open_.select("query", F.explode(wanted).alias("c")).select("query", F.col("c.cells").alias("cell"))
+        left = [F.slice(c, done + 1, count or len(cells)).alias(c) for c in ("cells", "bounds")]
+        probed = open_.select("query", F.col("worst").alias("floor"), "limit", *left).mapInArrow(
+            _by_shelf(shelf_of), "query bigint, floor double, shelf int, cells array<int>"
+        )
         probed = _written(probed, "probes")
-        busy = probed.groupBy("cell").agg(F.ceil(F.count("*") / query_tile).cast("int").alias("parts"))
-        busy = busy.join(F.broadcast(tiles), "cell").collect()  # MAX_CELLS at most
+        busy = probed.groupBy("shelf").agg(F.ceil(F.count("*") / query_tile).cast("int").alias("parts"))
+        busy = busy.join(F.broadcast(tiles), "shelf").collect()  # MAX_CELLS at most
         if not busy:
             if count is None or not _more(order, hits, done + count):
                 break
             done += count
             continue
-        blocks = spark.createDataFrame([tuple(r) for r in busy], "cell int, parts int, tiles int")
+        blocks = spark.createDataFrame([tuple(r) for r in busy], "shelf int, parts int, tiles int")
         part = F.pmod(F.xxhash64("query"), F.col("parts")).cast("int")
-        mine = probed.join(F.broadcast(blocks), "cell").select(
-            "query", "cell", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile")
-        )
+        mine = probed.join(F.broadcast(blocks), "shelf").withColumn("part", part)
+        mine = mine.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         own = F.col("query_id") if exclude_same_id else F.lit(None).cast("bigint")
         mine = mine.join(asked.select("query", "vector", own.alias("own")), "query")
-        theirs = vectors.join(F.broadcast(blocks.drop("tiles")), "cell").withColumn(
+        theirs = vectors.join(F.broadcast(blocks.drop("tiles")), "shelf").withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         )
-        keys = ("cell", "tile", "part")
+        keys = ("shelf", "tile", "part")
         met = (
-            theirs.select(*keys, "id", "vector")
+            theirs.select(*keys, "cell", "id", "vector")
             .groupBy(*keys)
-            .cogroup(mine.select(*keys, "query", "own", "vector").groupBy(*keys))
+            .cogroup(mine.select(*keys, "query", "own", "floor", "cells", "vector").groupBy(*keys))
             .applyInPandas(_best_of_tile(k), _HITS)
         )
         hits = _written(_first(hits.unionByName(met), k).drop("rank"), "hits")
